@@ -2,8 +2,9 @@
 
 The order crosses series boundaries: a value missing at the end of one series is taken from the
 start of the next. A window over the unpartitioned frame would put every row into one task, so the
-fill works in three steps: inside blocks, across blocks through one summary row per block, and
-across buckets of blocks through one row per bucket.
+fill first runs inside blocks (a series, or a segment of one). One summary row per block then tells
+which columns stay open at the end of some block; only those look across blocks, first inside
+buckets of blocks and then across the buckets.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidecast.session import ensure_checkpoint_dir
+
 #: Number of buckets the block summaries are ordered in; bounds the one unpartitioned window.
 BUCKETS = 256
 
@@ -26,6 +29,8 @@ def fill_chain(
 ) -> DataFrame:
     """Fill ``columns``; the result has no NULL in them.
 
+    The block summaries are checkpointed, so the call runs one job over the frame.
+
     Args:
         segment: optional column that cuts a series into consecutive blocks, rising with ``ts``.
     """
@@ -36,44 +41,51 @@ def fill_chain(
         .orderBy(F.desc(ts))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    next_here = {f"_own_{c}": F.last(c, ignorenulls=True).over(ahead) for c in columns}
-
-    # One row per block: its first value per column, and its last one.
-    summary = df.groupBy(*block).agg(
-        *[F.min_by(c, F.when(F.col(c).isNotNull(), F.col(ts))).alias(f"_head_{c}") for c in columns],
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(ts))).alias(f"_tail_{c}") for c in columns],
-    )
-    following, final = _following_heads(summary, columns, block, key)
-    filled = {
-        c: F.coalesce(
-            F.col(f"_own_{c}"),
-            F.col(f"_next_{c}"),
-            F.col(f"_final.{c}"),
-            F.lit(0).cast(df.schema[c].dataType),
+    owned = df.withColumns({f"_own_{c}": F.last(c, ignorenulls=True).over(ahead) for c in columns})
+    ensure_checkpoint_dir(df.sparkSession)
+    summary = (
+        owned.groupBy(*block)
+        .agg(
+            F.min_by(F.struct(*[F.col(f"_own_{c}").alias(c) for c in columns]), ts).alias("head"),
+            F.max_by(F.struct(*columns), ts).alias("end"),
         )
-        for c in columns
-    }
-    return (
-        df.withColumns(next_here)
-        .join(following, block, "left")
-        .withColumn("_final", final)
-        .select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
+        .checkpoint()
     )
+    gaps = summary.agg(*[F.count_if(F.col(f"end.{c}").isNull()).alias(c) for c in columns]).first()
+    crossing = [c for c in columns if gaps[c]]
+    filled = {c: F.col(f"_own_{c}") for c in columns}
+    if crossing:
+        owned = owned.join(_following_heads(summary, crossing, block), block, "left")
+        final = _final_values(df, crossing, key, ts)
+        for c in crossing:
+            kind = df.schema[c].dataType
+            filled[c] = F.coalesce(
+                F.col(f"_own_{c}"), F.col(f"_next_{c}"), F.lit(final[c]).cast(kind), F.lit(0).cast(kind)
+            )
+    return owned.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
 
 
-def _following_heads(summary: DataFrame, columns: list[str], block: list[str], key: str):
-    """Per block the first value of any later block, and the last value of the whole frame."""
-    # Up to BUCKETS series names, picked by hash, cut the ordered blocks into similar buckets.
+def _final_values(df: DataFrame, columns: list[str], key: str, ts: str):
+    """Last value of the whole frame per column: what a forward fill meets at the very end."""
+    order = F.struct(key, ts)
+    return df.agg(
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in columns]
+    ).first()
+
+
+def _following_heads(summary: DataFrame, columns: list[str], block: list[str]) -> DataFrame:
+    """Per block the first value that any later block has."""
+    # Up to BUCKETS blocks, picked by hash, cut the ordered blocks into similar buckets.
     # Any cuts give the same fill; they only balance the work.
+    order = F.struct(*block)
     cuts = (
-        summary.groupBy(F.pmod(F.xxhash64(key), F.lit(BUCKETS)).alias("_h"))
-        .agg(F.min_by(key, F.xxhash64(key, F.lit(7))).alias("_cut"))
+        summary.groupBy(F.pmod(F.xxhash64(*block), F.lit(BUCKETS)).alias("_h"))
+        .agg(F.min_by(order, F.xxhash64(*block, F.lit(7))).alias("_cut"))
         .agg(F.array_sort(F.collect_list("_cut")).alias("cuts"))
-        .select("cuts")
         .scalar()
     )
     bucketed = summary.withColumn("_cuts", cuts).withColumn(
-        "_bucket", F.size(F.filter("_cuts", lambda c: c <= F.col(key)))
+        "_bucket", F.size(F.filter("_cuts", lambda c: c <= order))
     )
     later_in_bucket = (
         Window.partitionBy("_bucket")
@@ -83,33 +95,23 @@ def _following_heads(summary: DataFrame, columns: list[str], block: list[str], k
     inside = bucketed.select(
         "_bucket",
         *block,
-        *[F.last(f"_head_{c}", ignorenulls=True).over(later_in_bucket).alias(f"_in_{c}") for c in columns],
+        *[
+            F.last(f"head.{c}", ignorenulls=True).over(later_in_bucket).alias(f"_in_{c}")
+            for c in columns
+        ],
     )
-    order = F.struct(*block)
     per_bucket = bucketed.groupBy("_bucket").agg(
         *[
-            F.min_by(f"_head_{c}", F.when(F.col(f"_head_{c}").isNotNull(), order)).alias(f"_head_{c}")
+            F.min_by(f"head.{c}", F.when(F.col(f"head.{c}").isNotNull(), order)).alias(c)
             for c in columns
         ]
     )
-    # At most BUCKETS + 1 rows reach this unpartitioned window.
+    # At most BUCKETS + 1 rows reach this unpartitioned window, and the broadcast.
     later_buckets = Window.orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     across = per_bucket.select(
         "_bucket",
-        *[F.last(f"_head_{c}", ignorenulls=True).over(later_buckets).alias(f"_out_{c}") for c in columns],
+        *[F.last(c, ignorenulls=True).over(later_buckets).alias(f"_out_{c}") for c in columns],
     )
-    following = inside.join(F.broadcast(across), "_bucket", "left").select(
-        *block,
-        *[F.coalesce(f"_in_{c}", f"_out_{c}").alias(f"_next_{c}") for c in columns],
-    )
-    final = (
-        summary.agg(
-            *[
-                F.max_by(f"_tail_{c}", F.when(F.col(f"_tail_{c}").isNotNull(), order)).alias(c)
-                for c in columns
-            ]
-        )
-        .select(F.struct(*columns).alias("final"))
-        .scalar()
+    return inside.join(F.broadcast(across), "_bucket", "left").select(
+        *block, *[F.coalesce(f"_in_{c}", f"_out_{c}").alias(f"_next_{c}") for c in columns]
     )
-    return following, final
