@@ -1,0 +1,143 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from tidecast.config import FEATURE_COLUMNS, LAGS, ROLLING_WINDOWS
+from tidecast.operators import features, segments
+from tidecast.operators.fill import fill_chain
+from tests.conftest import demand
+
+
+def by_pandas(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Lags and rolling statistics as pandas computes them."""
+    out = pdf.sort_values(["city", "date"], ignore_index=True)
+    group = out.groupby("city")["orders"]
+    for n in LAGS:
+        out[f"orders_lag_{n}"] = group.shift(n)
+    lag1 = out.groupby("city")["orders_lag_1"]
+    for w in ROLLING_WINDOWS:
+        for stat in ("mean", "std", "min", "max"):
+            out[f"rolling_{stat}_{w}"] = lag1.transform(
+                lambda x, w=w, stat=stat: getattr(x.rolling(w, min_periods=1), stat)()
+            )
+        out[f"rolling_std_{w}"] = out[f"rolling_std_{w}"].fillna(0.0)
+    return out
+
+
+def test_there_are_46_features_and_none_is_null(panel):
+    assert len(FEATURE_COLUMNS) == 46 == len(set(FEATURE_COLUMNS))
+    out = features.build_features(panel)
+    assert set(FEATURE_COLUMNS) <= set(out.columns)
+    nulls = out.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in out.columns]).first()
+    assert sum(nulls) == 0
+    assert out.count() == panel.count()
+
+
+def test_lags_of_a_plain_series(spark):
+    rows = [(dt.date(2023, 1, 1) + dt.timedelta(days=i), "A", 10 * (i + 1)) for i in range(10)]
+    df = spark.createDataFrame(rows, "date date, city string, orders bigint")
+    out = features.lag_features(df).orderBy("date").collect()
+    assert out[1]["orders_lag_1"] == 10
+    assert [out[3][f"orders_lag_{n}"] for n in (1, 2, 3)] == [30, 20, 10]
+    assert out[0]["orders_lag_1"] is None
+
+
+@pytest.mark.parametrize("segment_rows", [None, 28, 45])
+def test_windows_equal_pandas(panel, panel_pdf, segment_rows):
+    expected = by_pandas(panel_pdf)
+    got = (
+        features.build_features(panel, fill="none", segment_rows=segment_rows)
+        .orderBy("city", "date")
+        .toPandas()
+    )
+    names = [c for c in FEATURE_COLUMNS if c.startswith(("orders_lag", "rolling_")) and "ratio" not in c]
+    for c in names:
+        np.testing.assert_allclose(got[c].astype(float), expected[c].astype(float), rtol=1e-9, err_msg=c)
+
+
+def test_segments_copy_only_the_lookback(panel):
+    out = segments.segmented(panel, rows=40, lookback=28)
+    assert out.where(~F.col(segments.HALO)).count() == panel.count()
+    sizes = out.groupBy("city", segments.SEGMENT).count().agg(F.max("count")).first()[0]
+    assert sizes <= 68
+    with pytest.raises(ValueError):
+        segments.segmented(panel, rows=10, lookback=28)
+
+
+def test_whole_frame_fill_equals_pandas(spark):
+    rng = np.random.default_rng(5)
+    for trial in range(4):
+        pdf = pd.DataFrame(
+            {
+                "city": np.repeat(["a", "b", "c", "d", "e"], 8),
+                "date": [dt.date(2024, 1, 1) + dt.timedelta(days=int(i)) for i in np.tile(np.arange(8), 5)],
+                "x": np.where(rng.random(40) < 0.5, np.nan, rng.integers(0, 99, 40)),
+                "y": rng.normal(size=40),
+                "z": np.nan,
+            }
+        )
+        pdf.loc[pdf.city == ["a", "c", "e", "d"][trial], ["x", "y"]] = np.nan
+        expected = pdf[["x", "y", "z"]].bfill().ffill().fillna(0.0)
+        df = spark.createDataFrame(pdf, "city string, date date, x double, y double, z double")
+        df = df.withColumns({c: F.nanvl(c, F.lit(None).cast("double")) for c in "xyz"})
+        seg = df.withColumn("s", F.floor(F.dayofmonth("date") / 3))
+        for got in (fill_chain(df, ["x", "y", "z"]), fill_chain(seg, ["x", "y", "z"], segment="s")):
+            out = got.orderBy("city", "date").toPandas()[["x", "y", "z"]]
+            np.testing.assert_allclose(out.to_numpy(), expected.to_numpy())
+
+
+def test_filled_features_equal_pandas(panel, panel_pdf):
+    expected = by_pandas(panel_pdf)
+    expected["lag_7_ratio"] = expected["orders_lag_1"] / (expected["orders_lag_7"] + 1.0)
+    expected = expected.bfill().ffill().fillna(0.0)
+    got = features.build_features(panel).orderBy("city", "date").toPandas()
+    for c in ("orders_lag_28", "rolling_mean_7", "rolling_min_28", "lag_7_ratio"):
+        np.testing.assert_allclose(got[c].astype(float), expected[c].astype(float), rtol=1e-9)
+
+
+def test_encoding_comes_from_training_rows_only(spark):
+    schema = "date date, city string, orders bigint, temperature_c double, rainfall_mm double"
+    day = dt.date(2023, 1, 1)
+    train = spark.createDataFrame([(day, "New York", 100, 10.0, 0.0), (day, "Chicago", 200, 10.0, 0.0)], schema)
+    test = spark.createDataFrame(
+        [(day, "New York", 9999, 1.0, 0.0), (day, "Chicago", 8888, 1.0, 0.0), (day, "Miami", 1, 1.0, 0.0)], schema
+    )
+    enc = features.fit_target_encoding(train)
+    out = {r.city: r.city_target_enc for r in features.build_features(test, enc, fill="none").collect()}
+    assert out == {"New York": 100.0, "Chicago": 200.0, "Miami": 150.0}
+    empty = features.fit_target_encoding(train.drop("orders"))
+    assert empty.count() == 0
+    assert features.apply_target_encoding(test, empty).agg(F.max("city_target_enc")).first()[0] == 0.0
+
+
+def test_absent_inputs_count_as_zero(spark):
+    df = spark.createDataFrame([(dt.date(2023, 7, 1), "A", 5)], "date date, city string, orders bigint")
+    row = features.build_features(df).first()
+    for c in ("temp_sq", "temp_deviation", "log_rainfall", "rain_intensity", "promo_x_weekend", "festival_x_rainy"):
+        assert row[c] == 0
+
+
+def test_features_are_added_on_demand(panel):
+    built = features.build_features(panel, fill="none")
+    assert features.require_features(built) is built
+    again = features.require_features(built.drop("dow"), fill="none")
+    assert set(FEATURE_COLUMNS) <= set(again.columns)
+
+
+def test_gap_rows_count_as_rows(spark):
+    """A lag is the n-th row before, even across missing days."""
+    pdf = demand(40, ("A",)).iloc[::3]
+    df = spark.createDataFrame(pdf[["date", "city", "orders"]], "date date, city string, orders bigint")
+    out = features.lag_features(df, (7,)).orderBy("date").toPandas()
+    np.testing.assert_allclose(out["orders_lag_7"].iloc[7:], pdf["orders"].to_numpy()[:-7])
+
+
+def test_last_rows(panel):
+    out = features.last_rows(panel, 40)
+    assert out.groupBy("city").count().select("count").distinct().first()[0] == 40
+    assert out.agg(F.min("date")).first()[0] == dt.date(2023, 12, 31) - dt.timedelta(days=39)

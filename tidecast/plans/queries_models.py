@@ -152,10 +152,9 @@ def ab_compare(spark, sf_dir):
 
 def linear(spark, sf_dir):
     """Features with linear attributions and z-score flags on the deviation from the 28-row mean."""
-    feats = build_features(orders_panel(spark, sf_dir))
-    with_effects = explain.linear_attributions(feats, explain.fit_linear_effects(feats))
-    scored = with_effects.withColumn("residuals", F.col("orders") - F.col("rolling_mean_28"))
-    return scored
+    feats = jobs.materialize(build_features(orders_panel(spark, sf_dir)), "features")
+    explained = explain.linear_attributions(feats, explain.fit_linear_effects(feats))
+    return explained.withColumn("residuals", F.col("orders") - F.col("rolling_mean_28"))
 
 
 LINEAR_SQL = f"""{PANEL}, {features_sql()},
