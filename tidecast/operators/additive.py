@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidecast.config import ADDITIVE_REGRESSORS
@@ -16,7 +16,7 @@ from tidecast.config import ADDITIVE_REGRESSORS
 WEEKLY_ORDER, YEARLY_ORDER = 3, 10
 CHANGEPOINTS = 10
 CHANGEPOINT_RANGE = 0.8
-#: Ridge penalties on a target scaled to [0, 1].
+#: Ridge penalties of the trend changes and of the seasonal and regressor terms.
 TREND_PENALTY, SEASON_PENALTY = 4.0, 1e-3
 PARAMS_SCHEMA = "origin date, span double, coef array<double>, sigma double"
 
@@ -51,39 +51,69 @@ def fit_additive(
 ) -> DataFrame:
     """(key, origin, span, coef, sigma): one ridge regression per series.
 
-    A group holds one series, at most one row per day; the window and the grouped function share
-    one shuffle by series.
+    The normal equations add up, so they are formed per (series, year) and summed per series: no
+    task holds more rows than a year of one series, however long or uneven the series are. Time runs
+    from the first to the last day of the whole frame.
     """
-    whole = Window.partitionBy(key)
-    rows = (
-        df.where(F.col(target).isNotNull())
-        .withColumn("_origin", F.min(ts).over(whole))
-        .withColumn("_span", F.greatest(F.datediff(F.max(ts).over(whole), "_origin"), F.lit(1)).cast("double"))
+    rows = df.where(F.col(target).isNotNull())
+    bounds = rows.agg(
+        F.struct(F.min(ts).cast("date").alias("lo"), F.max(ts).cast("date").alias("hi")).alias("b")
+    ).scalar()
+    used = [c for c in ADDITIVE_REGRESSORS if c in df.columns]
+    span = F.greatest(F.datediff("_b.hi", "_b.lo"), F.lit(1)).cast("double")
+    yearly = (
+        rows.select(key, F.col(ts).cast("date").alias(ts), target, *used)
+        .withColumn("_year", F.year(ts))
+        # Shuffle the few input columns; the design vector is formed behind the shuffle.
+        .repartition(key, "_year")
+        .withColumn("_b", bounds)
         .select(
             key,
-            F.col("_origin").alias("origin"),
-            F.col("_span").alias("span"),
-            design(ts, F.col("_origin"), F.col("_span"), df.columns).alias("x"),
+            "_year",
+            F.col("_b.lo").alias("origin"),
+            span.alias("span"),
+            design(ts, F.col("_b.lo"), span, used).alias("x"),
             F.col(target).cast("double").alias("y"),
         )
     )
     penalty = _penalties()
+    size = len(penalty)
 
-    def solve(series: pd.DataFrame) -> pd.DataFrame:
-        x, y = np.stack(series["x"].to_numpy()), series["y"].to_numpy()
-        scale = max(float(np.abs(y).max()), 1.0)
-        coef = np.linalg.solve(x.T @ x + np.diag(penalty), x.T @ (y / scale)) * scale
+    def form(part: pd.DataFrame) -> pd.DataFrame:
+        x, y = np.stack(part["x"].to_numpy()), part["y"].to_numpy()
         return pd.DataFrame(
             {
-                key: [series[key].iloc[0]],
-                "origin": [series["origin"].iloc[0]],
-                "span": [series["span"].iloc[0]],
+                key: [part[key].iloc[0]],
+                "origin": [part["origin"].iloc[0]],
+                "span": [part["span"].iloc[0]],
+                "gram": [(x.T @ x).ravel()],
+                "moment": [x.T @ y],
+                "square": [float(y @ y)],
+                "n": [len(y)],
+            }
+        )
+
+    def solve(parts: pd.DataFrame) -> pd.DataFrame:
+        gram = np.sum(np.stack(parts["gram"].to_numpy()), axis=0).reshape(size, size)
+        moment = np.sum(np.stack(parts["moment"].to_numpy()), axis=0)
+        coef = np.linalg.solve(gram + np.diag(penalty), moment)
+        left = parts["square"].sum() - 2 * coef @ moment + coef @ gram @ coef
+        return pd.DataFrame(
+            {
+                key: [parts[key].iloc[0]],
+                "origin": [parts["origin"].iloc[0]],
+                "span": [parts["span"].iloc[0]],
                 "coef": [coef],
-                "sigma": [float(np.std(y - x @ coef))],
+                "sigma": [float(np.sqrt(max(left, 0.0) / parts["n"].sum()))],
             }
         )
 
-    return rows.groupBy(key).applyInPandas(solve, f"`{key}` string, {PARAMS_SCHEMA}")
+    equations = yearly.groupBy(key, "_year").applyInPandas(
+        form,
+        f"`{key}` string, origin date, span double, gram array<double>, moment array<double>, "
+        "square double, n bigint",
+    )
+    return equations.groupBy(key).applyInPandas(solve, f"`{key}` string, {PARAMS_SCHEMA}")
 
 
 def with_series_params(df: DataFrame, params: DataFrame, key: str = "city") -> DataFrame:

@@ -92,13 +92,24 @@ class HybridDetector:
         self, df: DataFrame, identity: tuple[str, ...] = ("city", "date"), residual: str = "residuals"
     ) -> HybridDetector:
         """Fit on residual rows; ``identity`` names the columns that identify a row."""
-        spark = df.sparkSession
+        facts = df.agg(
+            F.avg(residual).alias("mean"), F.stddev_pop(residual).alias("std"), F.count(residual).alias("n")
+        ).first()
+        if not facts.n:
+            raise ValueError("no residuals to fit on")
         # One row; as a literal table it cannot drift when the input is read again.
-        self.baseline = spark.createDataFrame(
-            residual_baseline(df, residual=residual).collect(), "res_mean double, res_std double"
+        self.baseline = df.sparkSession.createDataFrame(
+            [(facts.mean, max(facts.std, 1e-6))], "res_mean double, res_std double"
         )
         self.forest = isolation.fit(
-            df, identity, residual, self.trees, self.sample_size, self.contamination, self.seed
+            df,
+            identity,
+            residual,
+            self.trees,
+            self.sample_size,
+            self.contamination,
+            self.seed,
+            facts.n,
         )
         return self
 

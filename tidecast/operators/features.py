@@ -94,7 +94,7 @@ def _windowed(df, lags, sizes, key, ts, target, segment_rows, keep_segment=False
     lookback = max([*lags, *sizes])
     window = _newest_first(key, ts, SEGMENT)
     out = (
-        segmented(df, segment_rows, lookback, key, ts)
+        segmented(df, segment_rows, lookback, key=key, ts=ts)
         .withColumns(_lag_columns(window, target, lags) | _rolling_columns(window, target, sizes))
         .where(~F.col(HALO))
         .drop(HALO)

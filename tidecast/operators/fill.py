@@ -2,9 +2,9 @@
 
 The order crosses series boundaries: a value missing at the end of one series is taken from the
 start of the next. A window over the unpartitioned frame would put every row into one task, so the
-fill first runs inside blocks (a series, or a segment of one). One summary row per block then tells
-which columns stay open at the end of some block; only those look across blocks, first inside
-buckets of blocks and then across the buckets.
+fill runs inside blocks (a series, or a segment of one). One aggregate first tells which columns
+have gaps at all, and which stay open at the end of some block; only those look across blocks,
+first inside buckets of blocks and then across the buckets.
 """
 
 from __future__ import annotations
@@ -29,33 +29,42 @@ def fill_chain(
 ) -> DataFrame:
     """Fill ``columns``; the result has no NULL in them.
 
-    The block summaries are checkpointed, so the call runs one job over the frame.
+    The call runs one aggregate over the frame, and a second one when a column has to be filled
+    across blocks. The frame should be cheap to read again, for example a stored table.
 
     Args:
         segment: optional column that cuts a series into consecutive blocks, rising with ``ts``.
     """
     columns = list(columns)
     block = [key] + ([segment] if segment else [])
+    gaps = (
+        df.groupBy(*block)
+        .agg(
+            F.max_by(F.struct(*columns), ts).alias("end"),
+            *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns],
+        )
+        .agg(
+            *[F.sum(f"null_{c}").alias(f"null_{c}") for c in columns],
+            *[F.count_if(F.col(f"end.{c}").isNull()).alias(f"open_{c}") for c in columns],
+        )
+        .first()
+    )
+    gappy = [c for c in columns if gaps[f"null_{c}"]]
+    crossing = [c for c in columns if gaps[f"open_{c}"]]
     ahead = (
         Window.partitionBy(*block)
         .orderBy(F.desc(ts))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    owned = df.withColumns({f"_own_{c}": F.last(c, ignorenulls=True).over(ahead) for c in columns})
-    ensure_checkpoint_dir(df.sparkSession)
-    summary = (
-        owned.groupBy(*block)
-        .agg(
-            F.min_by(F.struct(*[F.col(f"_own_{c}").alias(c) for c in columns]), ts).alias("head"),
-            F.max_by(F.struct(*columns), ts).alias("end"),
-        )
-        .checkpoint()
-    )
-    gaps = summary.agg(*[F.count_if(F.col(f"end.{c}").isNull()).alias(c) for c in columns]).first()
-    crossing = [c for c in columns if gaps[c]]
-    filled = {c: F.col(f"_own_{c}") for c in columns}
+    owned = df.withColumns({f"_own_{c}": F.last(c, ignorenulls=True).over(ahead) for c in gappy})
+    filled = {c: F.col(f"_own_{c}") for c in gappy}
     if crossing:
-        owned = owned.join(_following_heads(summary, crossing, block), block, "left")
+        ensure_checkpoint_dir(df.sparkSession)
+        heads = owned.groupBy(*block).agg(
+            F.min_by(F.struct(*[F.col(f"_own_{c}").alias(c) for c in crossing]), ts).alias("head")
+        )
+        following = _following_heads(heads.checkpoint(), crossing, block)
+        owned = owned.join(following, block, "left")
         final = _final_values(df, crossing, key, ts)
         for c in crossing:
             kind = df.schema[c].dataType

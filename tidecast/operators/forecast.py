@@ -121,6 +121,9 @@ class DemandForecaster:
         spark = df.sparkSession
         self.encoding = _stored(spark, fit_target_encoding(df), "encoding")
         feats = self.features(df)
+        if feats is not df:
+            # Both fits and the additive model read the features; built ones are stored once.
+            feats = _stored(spark, feats, "features")
         if intervals:
             span = feats.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
             cut = span.lo + (span.hi - span.lo) * (1.0 - self.holdout)

@@ -65,7 +65,13 @@ def _uniform(*columns: Column) -> Column:
 
 
 def tree_samples(
-    df: DataFrame, identity: tuple[str, ...], value: str, trees: int, sample_size: int, seed: int
+    df: DataFrame,
+    identity: tuple[str, ...],
+    value: str,
+    trees: int,
+    sample_size: int,
+    seed: int,
+    rows: int | None = None,
 ) -> DataFrame:
     """(tree, value): ``sample_size`` rows per tree, drawn without replacement by seeded hashes.
 
@@ -73,21 +79,19 @@ def tree_samples(
     tree never grow with the data.
     """
     ident = [F.col(c).cast("string") for c in identity]
-    rows = df.where(F.col(value).isNotNull())
-    total = rows.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
-    pool_size = float(OVERDRAW * trees * sample_size)
-    pool = rows.select(
+    known = df.where(F.col(value).isNotNull())
+    n = known.count() if rows is None else rows
+    pool_size = OVERDRAW * trees * sample_size
+    pool = known.select(
         F.col(value).cast("double").alias("value"),
         _uniform(*ident, F.lit(seed)).alias("u"),
         F.xxhash64(*ident).alias("row"),
-        total.alias("n"),
-    ).where(F.col("u") * F.col("n") < pool_size)
-    keep = F.least(F.lit(1.0), F.lit(OVERDRAW * sample_size) / F.least(F.col("n"), F.lit(pool_size)))
+    ).where(F.col("u") * float(n) < pool_size)
+    keep = min(1.0, OVERDRAW * sample_size / max(min(n, pool_size), 1.0))
     drawn = (
-        pool.withColumn("keep", keep)
-        .withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+        pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
         .withColumn("draw", _uniform(F.col("row"), F.col("tree"), F.lit(seed)))
-        .where(F.col("draw") < F.col("keep"))
+        .where(F.col("draw") < keep)
     )
     rank = F.row_number().over(Window.partitionBy("tree").orderBy("draw", "row"))
     return drawn.withColumn("rank", rank).where(F.col("rank") <= sample_size).select("tree", "value")
@@ -118,6 +122,7 @@ def fit(
     sample_size: int,
     contamination: float,
     seed: int,
+    rows: int | None = None,
 ) -> IsolationForest:
     """Grow the trees in parallel, merge their steps, and place the offset at the contamination."""
 
@@ -127,7 +132,7 @@ def fit(
         out = pd.DataFrame(steps, columns=["edge", "length"])
         return out.assign(tree=int(key[0]), norm=expected_depth(len(values)))
 
-    samples = tree_samples(df, identity, value, trees, sample_size, seed)
+    samples = tree_samples(df, identity, value, trees, sample_size, seed, rows)
     grown = samples.groupBy("tree").applyInPandas(
         grow, "edge double, length double, tree int, norm double"
     )

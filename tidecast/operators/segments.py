@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 POSITION = "_position"
 SEGMENT = "_segment"
 HALO = "_halo"
+#: Rows of one series that a single task may window over.
+SERIES_LIMIT = 100_000
 
 
 def with_positions(df: DataFrame, key: str = "city", ts: str = "date") -> DataFrame:
@@ -38,20 +40,39 @@ def with_positions(df: DataFrame, key: str = "city", ts: str = "date") -> DataFr
 
 
 def segmented(
-    df: DataFrame, rows: int, lookback: int, key: str = "city", ts: str = "date"
+    df: DataFrame,
+    rows: int,
+    lookback: int,
+    lookahead: int = 0,
+    key: str = "city",
+    ts: str = "date",
+    keep_position: bool = False,
 ) -> DataFrame:
-    """Assign rows to segments of ``rows`` rows and copy each segment's tail into the next one.
+    """Assign rows to segments of ``rows`` rows, with copies of their neighbours' rims.
 
-    Copies are marked in the ``_halo`` column and have to be filtered out after the window.
+    A segment also gets the last ``lookback`` rows of the one before and the first ``lookahead`` rows
+    of the one after. Copies are marked in the ``_halo`` column and have to be filtered out after the
+    window.
     """
-    if rows < lookback:
-        raise ValueError("a segment must be at least as long as the lookback")
+    if rows < max(lookback, lookahead):
+        raise ValueError("a segment must be at least as long as lookback and lookahead")
     placed = with_positions(df, key, ts)
-    own = F.floor(F.col(POSITION) / rows)
-    in_tail = F.col(POSITION) % rows >= rows - lookback
-    targets = F.when(in_tail, F.array(own, own + 1)).otherwise(F.array(own))
-    return (
-        placed.withColumn(SEGMENT, F.explode(targets))
-        .withColumn(HALO, F.col(SEGMENT) != own)
-        .drop(POSITION)
+    own, at = F.floor(F.col(POSITION) / rows), F.col(POSITION) % rows
+    targets = F.array_compact(
+        F.array(
+            own,
+            F.when(at >= rows - lookback, own + 1),
+            F.when((at < lookahead) & (own > 0), own - 1),
+        )
     )
+    out = placed.withColumn(SEGMENT, F.explode(targets)).withColumn(HALO, F.col(SEGMENT) != own)
+    return out if keep_position else out.drop(POSITION)
+
+
+def rows_per_segment(df: DataFrame, key: str = "city", limit: int = SERIES_LIMIT) -> int | None:
+    """``limit`` when some series is longer than that, else None: whole series then fit a task.
+
+    One aggregate over the key column; meant for stored tables.
+    """
+    longest = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    return limit if longest is not None and longest > limit else None

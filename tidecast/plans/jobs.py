@@ -13,6 +13,7 @@ from tidecast.config import SETTINGS
 from tidecast.operators import anomaly, backtest
 from tidecast.operators.features import apply_target_encoding, build_features, fit_target_encoding
 from tidecast.operators.forecast import DemandForecaster
+from tidecast.operators.segments import rows_per_segment
 from tidecast.session import scratch_path
 from tidecast.sources import panel as panel_io
 from tidecast.sources.exports import write_csv
@@ -26,14 +27,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def walk_forward_predictions(
-    df: DataFrame, n_splits: int = SETTINGS.folds, **model_options
+    df: DataFrame, n_splits: int = SETTINGS.folds, segment_rows: int | None = None, **model_options
 ) -> DataFrame:
     """Validation rows of all folds with ``pred_model`` (fitted on earlier dates) and ``pred_baseline``.
 
     Features are computed once and look back only. The target encoding, the one feature that could
     carry later values, is fitted anew on the training dates of every fold.
     """
-    feats = build_features(df, fill="none").drop("city_target_enc")
+    feats = build_features(df, fill="none", segment_rows=segment_rows).drop("city_target_enc")
     feats = materialize(backtest.assign_folds(feats, n_splits), "folds")
     parts = []
     for fold in range(1, n_splits + 1):
@@ -56,9 +57,13 @@ def walk_forward_predictions(
     return materialize(reduce(DataFrame.unionByName, parts), "fold-predictions")
 
 
-def evaluate_walk_forward(df: DataFrame, n_splits: int = SETTINGS.folds, **model_options) -> DataFrame:
+def evaluate_walk_forward(
+    df: DataFrame, n_splits: int = SETTINGS.folds, segment_rows: int | None = None, **model_options
+) -> DataFrame:
     """Fold metrics of the forecaster against the lag-7 baseline."""
-    return backtest.fold_metrics(walk_forward_predictions(df, n_splits, **model_options))
+    return backtest.fold_metrics(
+        walk_forward_predictions(df, n_splits, segment_rows, **model_options)
+    )
 
 
 def score_history(
@@ -96,11 +101,12 @@ def run_daily_job(
         "detector": f"{out}/detector",
         "scored": f"{out}/scored.parquet",
     }
-    orders = panel_io.read_orders(spark, orders_path, as_of)
-    panel_io.write_features(build_features(orders), paths["features"])
+    orders = materialize(panel_io.read_orders(spark, orders_path, as_of), "orders")
+    segment_rows = rows_per_segment(orders)
+    panel_io.write_features(build_features(orders, segment_rows=segment_rows), paths["features"])
     feats = spark.read.parquet(paths["features"])
 
-    metrics = materialize(evaluate_walk_forward(orders, n_splits, **model_options), "metrics")
+    metrics = materialize(evaluate_walk_forward(orders, n_splits, segment_rows, **model_options), "metrics")
     write_csv(metrics, paths["metrics"], single_file=True)
 
     forecaster = DemandForecaster(**model_options).fit(feats)

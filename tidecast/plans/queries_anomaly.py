@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidecast.operators import anomaly
+from tidecast.plans import jobs
 from tidecast.plans.catalog import SCORED, labels, query, rounded
 from tidecast.plans.queries_metrics import naive, scored
 from tidecast.session import scratch_path
@@ -14,6 +15,11 @@ def residuals(spark, sf_dir):
     return anomaly.add_residuals(naive(spark, sf_dir))
 
 
+def stored_residuals(spark, sf_dir):
+    """Residuals written once: fitting and applying a detector read them several times."""
+    return jobs.materialize(residuals(spark, sf_dir), "residuals")
+
+
 @query(
     "residual_baseline",
     f"with {SCORED} select round(res_mean, 6) as res_mean, round(res_std, 6) as res_std from bl",
@@ -122,7 +128,7 @@ def threshold_sweep(spark, sf_dir):
 @query("iforest_flags")
 def iforest_flags(spark, sf_dir):
     """Isolation signal alone: score and flag of every residual."""
-    df = residuals(spark, sf_dir)
+    df = stored_residuals(spark, sf_dir)
     detector = anomaly.HybridDetector().fit(df)
     scores = detector.forest.transform(df, "residuals")
     return scores.select("date", "city", "residuals", "forest_score", (F.col("forest_score") < 0).alias("is_anomaly"))
@@ -131,7 +137,7 @@ def iforest_flags(spark, sf_dir):
 @query("hybrid_flag")
 def hybrid_flag(spark, sf_dir):
     """Either signal against both signals on the same rows."""
-    df = residuals(spark, sf_dir)
+    df = stored_residuals(spark, sf_dir)
     detector = anomaly.HybridDetector().fit(df)
     z = F.col("z_score") >= detector.z_threshold
     forest = F.col("forest_score") < 0
@@ -145,7 +151,7 @@ def hybrid_flag(spark, sf_dir):
 
 @query("anomaly_score")
 def anomaly_score(spark, sf_dir):
-    df = residuals(spark, sf_dir)
+    df = stored_residuals(spark, sf_dir)
     scored_rows = anomaly.HybridDetector().fit(df).transform(df)
     return scored_rows.select("date", "city", "z_score", "forest_score", "anomaly_score")
 
@@ -153,7 +159,7 @@ def anomaly_score(spark, sf_dir):
 @query("hybrid_detect")
 def hybrid_detect(spark, sf_dir):
     """Fit, save, load and apply the detector."""
-    df = residuals(spark, sf_dir)
+    df = stored_residuals(spark, sf_dir)
     path = scratch_path(spark, "detector")
     anomaly.HybridDetector().fit(df).save(path)
     detector = anomaly.HybridDetector.load(spark, path)
@@ -165,6 +171,6 @@ def hybrid_detect(spark, sf_dir):
 @query("hybrid_evaluate")
 def hybrid_evaluate(spark, sf_dir):
     """Precision, recall and F1 of the hybrid detector against the labels."""
-    df = residuals(spark, sf_dir)
+    df = stored_residuals(spark, sf_dir)
     flagged = anomaly.resolve_flags(df, anomaly.HybridDetector().fit(df))
     return anomaly.evaluate_flags(anomaly.join_labels(flagged, labels(spark, sf_dir)))

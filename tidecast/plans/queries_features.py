@@ -324,22 +324,29 @@ def backtest_summary(spark, sf_dir):
     return rounded(backtest.fold_summary(backtest.fold_metrics(_fold_predictions(spark, sf_dir))), 6, *SCORES)
 
 
-@query(
-    "decompose_weekly",
-    f"""with {PANEL}, t as (select city, date, orders,
+DECOMPOSE_SQL = f"""with {PANEL}, t as (select city, date, orders,
     (row_number() over (partition by city order by date) - 1) % 7 as ph,
     case when count(*) over w = 7 then avg(orders) over w end as trend, count(*) over (partition by city) as n
   from panel window w as (partition by city order by date rows between 3 preceding and 3 following)),
 m as (select city, ph, avg(orders - trend) as pm from t group by 1, 2),
 s as (select city, ph, pm - avg(pm) over (partition by city) as seasonal from m)
 select t.city, t.date, cast(orders as double) as observed, round(trend, 6) as trend, round(seasonal, 6) as seasonal,
-  round(orders - trend - seasonal, 6) as resid from t join s on s.city = t.city and s.ph = t.ph where n >= 14""",
-)
+  round(orders - trend - seasonal, 6) as resid from t join s on s.city = t.city and s.ph = t.ph where n >= 14"""
+
+
+@query("decompose_weekly", DECOMPOSE_SQL)
 def decompose_weekly(spark, sf_dir):
     out = decompose.decompose_weekly(orders_panel(spark, sf_dir))
     return rounded(out, 6, "trend", "seasonal", "resid")
 
 
+@query("decompose_segmented", DECOMPOSE_SQL)
+def decompose_segmented(spark, sf_dir):
+    """The same with every series cut into segments of 300 rows."""
+    out = decompose.decompose_weekly(orders_panel(spark, sf_dir), segment_rows=300)
+    return rounded(out, 6, "trend", "seasonal", "resid")
+
+
 @query(
     "pred_sanitize",
     f"""with {SCORED}, raw as (select date, city, case when orders % 11 = 0 then null
