@@ -8,26 +8,32 @@ from pyspark.sql import functions as F
 from tidecast.config import FEATURE_COLUMNS, WEATHER_ATTRIBUTION_FEATURES
 
 
+def _values(df: DataFrame) -> Column:
+    return F.array(*[F.col(c).cast("double") for c in FEATURE_COLUMNS])
+
+
 def fit_linear_effects(df: DataFrame, target: str = "orders") -> DataFrame:
-    """One row (slopes, means): per feature its simple regression slope, 0 for a constant feature."""
-    y = F.col(target).cast("double")
-    # A constant feature has no slope; Spark and SQL engines disagree on its value, so it is 0 here.
-    slopes = [
-        F.when(F.max(c) > F.min(c), F.regr_slope(y, F.col(c).cast("double"))).otherwise(0.0)
-        for c in FEATURE_COLUMNS
-    ]
-    means = [F.avg(F.col(c).cast("double")) for c in FEATURE_COLUMNS]
-    return df.agg(F.array(*slopes).alias("slopes"), F.array(*means).alias("means"))
+    """One row (slopes, means): per feature its simple regression slope, 0 for a constant feature.
+
+    Features become rows of one small aggregate with map-side combine; 46 times four aggregates in
+    one row would be too wide to compile.
+    """
+    tall = df.select(F.col(target).cast("double").alias("y"), F.posexplode(_values(df)).alias("i", "x"))
+    effects = tall.groupBy("i").agg(
+        # The slope of a constant feature differs between engines, so it is 0 by definition.
+        F.when(F.max("x") > F.min("x"), F.regr_slope("y", "x")).otherwise(0.0).alias("slope"),
+        F.avg("x").alias("mean"),
+    )
+    ordered = effects.agg(F.array_sort(F.collect_list(F.struct("i", "slope", "mean"))).alias("e"))
+    return ordered.select(F.col("e.slope").alias("slopes"), F.col("e.mean").alias("means"))
 
 
 def linear_attributions(df: DataFrame, effects: DataFrame) -> DataFrame:
     """Add ``attributions``: slope * (value - mean) per feature."""
     fitted = effects.select(F.struct("slopes", "means").alias("e")).scalar()
-    parts = [
-        F.col("_e.slopes")[i] * (F.col(c).cast("double") - F.col("_e.means")[i])
-        for i, c in enumerate(FEATURE_COLUMNS)
-    ]
-    return df.withColumn("_e", fitted).withColumn("attributions", F.array(*parts)).drop("_e")
+    centred = F.zip_with(_values(df), F.col("_e.means"), lambda x, m: x - m)
+    parts = F.zip_with(F.col("_e.slopes"), centred, lambda s, d: s * d)
+    return df.withColumn("_e", fitted).withColumn("attributions", parts).drop("_e")
 
 
 def top_drivers(df: DataFrame, n: int = 5) -> DataFrame:
@@ -35,20 +41,19 @@ def top_drivers(df: DataFrame, n: int = 5) -> DataFrame:
 
     Sorting happens inside the row, so nothing is shuffled. Ties keep the feature order.
     """
-    items = F.array(
-        *[
-            F.struct(
-                (-F.abs(F.col("attributions")[i])).alias("rank"),
-                F.lit(i).alias("i"),
-                F.lit(c).alias("feature"),
-                F.col("attributions")[i].alias("attribution"),
-            )
-            for i, c in enumerate(FEATURE_COLUMNS)
-        ]
+    names = F.array(*[F.lit(c) for c in FEATURE_COLUMNS])
+    items = F.transform(
+        "attributions",
+        lambda v, i: F.struct((-F.abs(v)).alias("rank"), i.alias("i"), v.alias("attribution")),
     )
     best = F.slice(F.array_sort(items), 1, n)
-    slim = F.transform(best, lambda d: F.struct(d["feature"].alias("feature"), d["attribution"].alias("attribution")))
-    return df.withColumn("drivers", slim)
+    named = F.transform(
+        best,
+        lambda d: F.struct(
+            F.get(names, d["i"]).alias("feature"), d["attribution"].alias("attribution")
+        ),
+    )
+    return df.withColumn("drivers", named)
 
 
 def drivers_long(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -67,16 +72,15 @@ def weather_attribution(df: DataFrame) -> DataFrame:
 
 
 def global_importance(df: DataFrame, n: int = 15) -> DataFrame:
-    """The n features with the largest mean absolute attribution, in one aggregate row."""
-    means = df.agg(
-        *[F.avg(F.abs(F.col("attributions")[i])).alias(c) for i, c in enumerate(FEATURE_COLUMNS)]
+    """The n features with the largest mean absolute attribution."""
+    names = F.array(*[F.lit(c) for c in FEATURE_COLUMNS])
+    means = (
+        df.select(F.posexplode("attributions").alias("i", "v"))
+        .groupBy("i")
+        .agg(F.avg(F.abs("v")).alias("mean_abs_attribution"))
     )
-    cells = [
-        F.struct(F.lit(c).alias("feature"), F.col(c).alias("mean_abs_attribution"), F.lit(i).alias("i"))
-        for i, c in enumerate(FEATURE_COLUMNS)
-    ]
-    tall = means.select(F.inline(F.array(*cells)))
-    return tall.orderBy(F.desc("mean_abs_attribution"), "i").limit(n).drop("i")
+    largest = means.orderBy(F.desc("mean_abs_attribution"), "i").limit(n)
+    return largest.select(F.get(names, F.col("i")).alias("feature"), "mean_abs_attribution")
 
 
 def anomaly_drilldown(df: DataFrame, n: int = 3) -> DataFrame:
