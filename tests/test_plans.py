@@ -1,4 +1,4 @@
-"""Shape of the physical plans: shuffles, pushdown, absence of cross joins and of Python."""
+"""Shape of the physical plans: shuffles, pushdown, early limits."""
 
 from __future__ import annotations
 
@@ -8,7 +8,8 @@ import pytest
 
 import __spark_entry__ as entry
 from tidecast.operators import backtest, decompose, features, metrics
-from tidecast.plans.catalog import QUERIES, orders_panel
+from tidecast.plans.catalog import orders_panel
+from tidecast.sources import promos
 
 SF = "/root/testdata/sf0.001"
 
@@ -55,15 +56,17 @@ def test_scan_reads_only_what_the_query_needs(stored):
     assert "EqualTo(city,Austin)" in text
 
 
-CHEAP = [n for n in QUERIES if n in entry.oracle_sql() and not n.startswith("stream")]
+def test_newest_rows_are_limited_before_the_shuffle(stored):
+    text = plan(features.last_rows(stored, 40))
+    assert text.count("WindowGroupLimit") == 2
+    assert text.index("Final") < text.index("Exchange") < text.index("Partial")
 
 
-@pytest.mark.parametrize("name", CHEAP)
-def test_no_cross_join_and_no_python_in_declarative_queries(spark, name):
-    text = plan(QUERIES[name](spark, SF))
-    assert "CartesianProduct" not in text
-    assert "BroadcastNestedLoopJoin" not in text
-    assert "Python" not in text and "InPandas" not in text
+def test_promo_overlay_has_no_range_join(spark, stored):
+    calendar = promos.add_promo(promos.empty_calendar(spark), "Austin", "2023-12-01", "2023-12-05")
+    text = plan(promos.overlay_promos(stored, calendar))
+    assert "NestedLoop" not in text
+    assert "Cartesian" not in text
 
 
 def test_panel_prunes_columns(spark):

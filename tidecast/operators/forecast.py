@@ -91,6 +91,7 @@ class DemandForecaster:
     depth: int = SETTINGS.tree_depth
     seed: int = SETTINGS.random_seed
     holdout: float = 0.2
+    segment_rows: int | None = None
     tree_model: GBTRegressionModel | None = None
     encoding: DataFrame | None = None
     additive: DataFrame | None = None
@@ -106,7 +107,7 @@ class DemandForecaster:
         if set(FEATURE_COLUMNS) <= set(df.columns):
             return df
         raw = df.drop(*[c for c in FEATURE_COLUMNS if c in df.columns])
-        return build_features(raw, self.encoding, fill="none")
+        return build_features(raw, self.encoding, fill="none", segment_rows=self.segment_rows)
 
     def fit(self, df: DataFrame, intervals: bool = True) -> DemandForecaster:
         """Fit on a panel or on a feature table.

@@ -7,7 +7,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
@@ -34,27 +33,25 @@ def fit_trees(
     depth: int = SETTINGS.tree_depth,
     seed: int = SETTINGS.random_seed,
 ) -> GBTRegressionModel:
-    """One model over all series. The encoding feature tells the series apart."""
+    """One model over all series. The encoding feature tells the series apart.
+
+    The rows are read a few times to find split candidates and to bin the values; the rounds then
+    run on the binned rows, which the estimator keeps itself. Best given a stored feature table.
+    """
     ensure_checkpoint_dir(df.sparkSession)
     train = assemble(df.where(F.col(target).isNotNull())).select(
         VECTOR, F.col(target).cast("double").alias("_label")
     )
-    # Every round reads the training rows again; partitions that do not fit go to disk, and a lost
-    # executor's share is computed again.
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return GBTRegressor(
-            featuresCol=VECTOR,
-            labelCol="_label",
-            predictionCol="tree_pred",
-            maxIter=rounds,
-            stepSize=step,
-            maxDepth=depth,
-            seed=seed,
-            checkpointInterval=10,
-        ).fit(train)
-    finally:
-        train.unpersist()
+    return GBTRegressor(
+        featuresCol=VECTOR,
+        labelCol="_label",
+        predictionCol="tree_pred",
+        maxIter=rounds,
+        stepSize=step,
+        maxDepth=depth,
+        seed=seed,
+        checkpointInterval=10,
+    ).fit(train)
 
 
 def predict_trees(model: GBTRegressionModel, df: DataFrame) -> DataFrame:

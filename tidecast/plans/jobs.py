@@ -109,7 +109,7 @@ def run_daily_job(
     metrics = materialize(evaluate_walk_forward(orders, n_splits, segment_rows, **model_options), "metrics")
     write_csv(metrics, paths["metrics"], single_file=True)
 
-    forecaster = DemandForecaster(**model_options).fit(feats)
+    forecaster = DemandForecaster(segment_rows=segment_rows, **model_options).fit(feats)
     forecaster.save(paths["forecaster"])
     residuals = materialize(anomaly.add_residuals(forecaster.predict_intervals(feats)), "residuals")
     detector = anomaly.HybridDetector().fit(residuals)
