@@ -7,7 +7,7 @@ series into one row of coefficients; scoring is a join and a dot product.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,41 +79,38 @@ def fit_additive(
     penalty = _penalties()
     size = len(penalty)
 
-    def form(part: pd.DataFrame) -> pd.DataFrame:
-        x, y = np.stack(part["x"].to_numpy()), part["y"].to_numpy()
-        return pd.DataFrame(
+    def form(part: pa.Table) -> pa.Table:
+        y = part["y"].to_numpy()
+        x = np.concatenate([c.flatten().to_numpy() for c in part["x"].chunks]).reshape(-1, size)
+        return pa.table(
             {
-                key: [part[key].iloc[0]],
-                "origin": [part["origin"].iloc[0]],
-                "span": [part["span"].iloc[0]],
-                "gram": [(x.T @ x).ravel()],
-                "moment": [x.T @ y],
+                **{c: part[c].slice(0, 1) for c in (key, "origin", "span")},
+                "gram": pa.array([(x.T @ x).ravel()], pa.list_(pa.float64())),
+                "moment": pa.array([x.T @ y], pa.list_(pa.float64())),
                 "square": [float(y @ y)],
                 "n": [len(y)],
             }
         )
 
-    def solve(parts: pd.DataFrame) -> pd.DataFrame:
-        gram = np.sum(np.stack(parts["gram"].to_numpy()), axis=0).reshape(size, size)
-        moment = np.sum(np.stack(parts["moment"].to_numpy()), axis=0)
+    def solve(parts: pa.Table) -> pa.Table:
+        gram = np.sum([g.values.to_numpy() for g in parts["gram"]], axis=0).reshape(size, size)
+        moment = np.sum([m.values.to_numpy() for m in parts["moment"]], axis=0)
         coef = np.linalg.solve(gram + np.diag(penalty), moment)
-        left = parts["square"].sum() - 2 * coef @ moment + coef @ gram @ coef
-        return pd.DataFrame(
+        left = parts["square"].to_numpy().sum() - 2 * coef @ moment + coef @ gram @ coef
+        return pa.table(
             {
-                key: [parts[key].iloc[0]],
-                "origin": [parts["origin"].iloc[0]],
-                "span": [parts["span"].iloc[0]],
-                "coef": [coef],
-                "sigma": [float(np.sqrt(max(left, 0.0) / parts["n"].sum()))],
+                **{c: parts[c].slice(0, 1) for c in (key, "origin", "span")},
+                "coef": pa.array([coef], pa.list_(pa.float64())),
+                "sigma": [float(np.sqrt(max(left, 0.0) / parts["n"].to_numpy().sum()))],
             }
         )
 
-    equations = yearly.groupBy(key, "_year").applyInPandas(
+    equations = yearly.groupBy(key, "_year").applyInArrow(
         form,
         f"`{key}` string, origin date, span double, gram array<double>, moment array<double>, "
         "square double, n bigint",
     )
-    return equations.groupBy(key).applyInPandas(solve, f"`{key}` string, {PARAMS_SCHEMA}")
+    return equations.groupBy(key).applyInArrow(solve, f"`{key}` string, {PARAMS_SCHEMA}")
 
 
 def with_series_params(df: DataFrame, params: DataFrame, key: str = "city") -> DataFrame:

@@ -21,7 +21,7 @@ from tidecast.functions.columns import (
     ratio_columns,
     weather_columns,
 )
-from tidecast.operators.fill import fill_chain
+from tidecast.operators.fill import Gaps, fill_chain
 from tidecast.operators.segments import HALO, SEGMENT, segmented
 
 
@@ -167,10 +167,35 @@ def build_features(
             and f.dataType.typeName()
             in ("double", "float", "integer", "long", "short", "byte", "boolean")
         ]
-        out = fill_chain(out, fillable, key, ts, SEGMENT if segment_rows else None)
+        segment = SEGMENT if segment_rows else None
+        known = _known_gaps(df, [c for c in fillable if c in df.columns], key, segment_rows)
+        out = fill_chain(out, fillable, key, ts, segment, known)
     return out.select(*df.columns, *FEATURE_COLUMNS)
 
 
+def _known_gaps(
+    df: DataFrame, inputs: list[str], key: str, segment_rows: int | None
+) -> Gaps | None:
+    """Gaps of the features when no input has any: they follow from the length of the series.
+
+    One aggregate over the inputs, without windows. With gaps in an input the answer is None.
+    """
+    facts = (
+        df.groupBy(key)
+        .agg(F.count(F.lit(1)).alias("_n"), *[F.count(c).alias(c) for c in inputs])
+        .agg(F.min("_n").alias("_n"), *[F.sum(F.col("_n") - F.col(c)).alias(c) for c in inputs])
+        .first()
+    )
+    if any(facts[c] for c in inputs):
+        return None
+    # The first row that has a value: the lag itself, and 1 for what needs any earlier row.
+    first_row = {f"orders_lag_{n}": n for n in LAGS}
+    first_row |= {f"rolling_{s}_{w}": 1 for w in ROLLING_WINDOWS for s in ("mean", "min", "max")}
+    first_row |= {"lag_7_ratio": 7, "rolling_ratio_7_28": 1}
+    shortest = min(facts["_n"] or 0, segment_rows or facts["_n"] or 0)
+    return list(first_row), [c for c, row in first_row.items() if shortest <= row]
+
+
 def require_features(df: DataFrame, **options) -> DataFrame:
     """The frame itself when all features are present, otherwise the frame with features built."""
     if set(FEATURE_COLUMNS) <= set(df.columns):

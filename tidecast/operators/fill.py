@@ -18,6 +18,8 @@ from tidecast.session import ensure_checkpoint_dir
 
 #: Number of buckets the block summaries are ordered in; bounds the one unpartitioned window.
 BUCKETS = 256
+#: (columns with gaps, columns still open at the end of some block)
+Gaps = tuple[list[str], list[str]]
 
 
 def fill_chain(
@@ -26,31 +28,19 @@ def fill_chain(
     key: str = "city",
     ts: str = "date",
     segment: str | None = None,
+    known: Gaps | None = None,
 ) -> DataFrame:
     """Fill ``columns``; the result has no NULL in them.
 
-    The call runs one aggregate over the frame, and a second one when a column has to be filled
-    across blocks. The frame should be cheap to read again, for example a stored table.
+    Unless the gaps are ``known``, the call runs one aggregate over the frame; a column that has to
+    be filled across blocks takes a second one. The frame should then be cheap to read again.
 
     Args:
         segment: optional column that cuts a series into consecutive blocks, rising with ``ts``.
     """
     columns = list(columns)
     block = [key] + ([segment] if segment else [])
-    gaps = (
-        df.groupBy(*block)
-        .agg(
-            F.max_by(F.struct(*columns), ts).alias("end"),
-            *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns],
-        )
-        .agg(
-            *[F.sum(f"null_{c}").alias(f"null_{c}") for c in columns],
-            *[F.count_if(F.col(f"end.{c}").isNull()).alias(f"open_{c}") for c in columns],
-        )
-        .first()
-    )
-    gappy = [c for c in columns if gaps[f"null_{c}"]]
-    crossing = [c for c in columns if gaps[f"open_{c}"]]
+    gappy, crossing = known or find_gaps(df, columns, block, ts)
     ahead = (
         Window.partitionBy(*block)
         .orderBy(F.desc(ts))
@@ -74,6 +64,23 @@ def fill_chain(
     return owned.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
 
 
+def find_gaps(df: DataFrame, columns: list[str], block: list[str], ts: str) -> Gaps:
+    """Columns with any NULL, and those that are NULL at the last row of some block."""
+    gaps = (
+        df.groupBy(*block)
+        .agg(
+            F.max_by(F.struct(*columns), ts).alias("end"),
+            *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns],
+        )
+        .agg(
+            *[F.sum(f"null_{c}").alias(f"null_{c}") for c in columns],
+            *[F.count_if(F.col(f"end.{c}").isNull()).alias(f"open_{c}") for c in columns],
+        )
+        .first()
+    )
+    return [c for c in columns if gaps[f"null_{c}"]], [c for c in columns if gaps[f"open_{c}"]]
+
+
 def _final_values(df: DataFrame, columns: list[str], key: str, ts: str):
     """Last value of the whole frame per column: what a forward fill meets at the very end."""
     order = F.struct(key, ts)

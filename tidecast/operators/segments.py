@@ -14,7 +14,7 @@ POSITION = "_position"
 SEGMENT = "_segment"
 HALO = "_halo"
 #: Rows of one series that a single task may window over.
-SERIES_LIMIT = 100_000
+SERIES_LIMIT = 20_000
 
 
 def with_positions(df: DataFrame, key: str = "city", ts: str = "date") -> DataFrame:
