@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidecast.sources import promos, weather
 from tidecast.sources.requests import parse_requests, request_features
-from tidecast.operators.features import build_features, fit_target_encoding
+from tidecast.operators.features import fit_target_encoding
 
 
 def grid(spark, cities, first, days):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 from statistics import NormalDist
 
@@ -14,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tidecast.config import (
-    ENCODING_FEATURE,
     FEATURE_COLUMNS,
     FLAG_COLUMNS,
     LAG_FEATURES,

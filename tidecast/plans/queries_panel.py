@@ -5,11 +5,10 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from tidecast.operators import quality
 from tidecast.operators.features import last_rows
-from tidecast.plans.catalog import PANEL, labels, orders_panel, panel, panel_sql, query, rounded, table
+from tidecast.plans.catalog import PANEL, labels, orders_panel, panel, query, rounded, table
 from tidecast.session import scratch_path
 from tidecast.sources import panel as panel_io
 from tidecast.sources import promos, requests, weather

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tidecast.operators import anomaly, metrics
 from tidecast.plans.catalog import SCORED, query, rounded, table
 from tidecast.plans.queries_anomaly import residuals
