@@ -8,10 +8,16 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", partitions: int = 8, app: str = "tidecast") -> SparkSession:
-    """Session for tests and benchmarks; on a cluster the submitter builds the session."""
+def local_session(
+    cores: int | str = "*", partitions: int = 8, app: str = "tidecast", shared: str | None = None
+) -> SparkSession:
+    """Session for tests and benchmarks; on a cluster the submitter builds the session.
+
+    ``shared`` is the folder for checkpoints and intermediate tables.
+    """
     return (
         SparkSession.builder.master(f"local[{cores}]")
+        .config("spark.checkpoint.dir", shared or tempfile.mkdtemp(prefix="tidecast-"))
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
@@ -27,17 +33,17 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "tidec
 def shared_dir(spark: SparkSession) -> str:
     """Folder for checkpoints and intermediate tables, visible to every executor.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local master, where driver and
-    executors are one machine, may fall back to a temporary folder.
+    The cluster names it in ``spark.checkpoint.dir``; a session without that setting may have set the
+    checkpoint folder of its context. Only a local master, where driver and executors are one machine,
+    may run without either: it gets a folder of its own.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="tidecast-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidecast-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
