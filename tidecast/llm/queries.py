@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecast.llm import binary, mixing, packing
+from tidecast.llm import binary, mixing, ngram_join, packing
 from tidecast.llm.staging import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,9 @@ def simple8b_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "ids")
     binary.write_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
     return binary.corpus_index(spark, path)
+
+
+@query("op6_ngram_jaccard_join")
+def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of four-word n-grams have a Jaccard similarity of 0.85 or more."""
+    return ngram_join.join_components(table(spark, sf_dir, "documents"))
