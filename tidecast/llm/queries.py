@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecast.llm import binary, mixing, ngram_join, packing
+from tidecast.llm import binary, mixing, ngram_join, packing, secret_scan
 from tidecast.llm.staging import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,10 @@ def simple8b_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of four-word n-grams have a Jaccard similarity of 0.85 or more."""
     return ngram_join.join_components(table(spark, sf_dir, "documents"))
+
+
+@query("op10_randomness_battery")
+def randomness_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all documents by pattern and by randomness."""
+    docs = table(spark, sf_dir, "documents")
+    return secret_scan.scan(docs, secret_scan.fit(docs))

@@ -63,10 +63,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First byte, length and row of every word; ``data`` starts at ``offsets[0]``."""
+def spans(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray = ~SPACES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First byte, length and row of every run of bytes ``inside``; ``data`` starts at ``offsets[0]``."""
     base = offsets - offsets[0]
-    solid = ~SPACES[data]
+    solid = inside[data]
     if not len(data):
         none = np.zeros(0, np.int64)
         return none, none, none
