@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecast.llm import binary, mixing, ngram_join, packing, secret_scan
+from tidecast.llm import binary, language, mixing, ngram_join, packing, secret_scan
 from tidecast.llm.staging import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,10 @@ def randomness_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of all documents by pattern and by randomness."""
     docs = table(spark, sf_dir, "documents")
     return secret_scan.scan(docs, secret_scan.fit(docs))
+
+
+@query("op1_crf_language")
+def crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of all documents, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, language.fit(docs))
