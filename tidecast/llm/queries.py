@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecast.llm import binary, language, mixing, ngram_join, packing, secret_scan
+from tidecast.llm import binary, language, mixing, ngram_join, outliers, packing, secret_scan
 from tidecast.llm.staging import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,9 @@ def crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of all documents, learned from those that are not held out."""
     docs = table(spark, sf_dir, "documents")
     return language.predict(docs, language.fit(docs))
+
+
+@query("op2_covariance_outliers")
+def covariance_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of all documents and which of them are kept."""
+    return outliers.judge(table(spark, sf_dir, "documents")).drop("distance", *outliers.STATISTICS)
