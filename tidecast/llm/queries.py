@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecast.llm import binary, language, mixing, ngram_join, outliers, packing, secret_scan
+from tidecast.llm import binary, graph_search, language, mixing, ngram_join, outliers, packing, secret_scan
 from tidecast.llm.staging import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,11 @@ def crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def covariance_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of all documents and which of them are kept."""
     return outliers.judge(table(spark, sf_dir, "documents")).drop("distance", *outliers.STATISTICS)
+
+
+@query("op5_pruned_graph_search")
+def pruned_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of every twentieth vector."""
+    rows = table(spark, sf_dir, "embeddings")
+    index = graph_search.build_index(rows)
+    return graph_search.search(index, rows.where("vec_id % 20 = 0"))
