@@ -316,6 +316,26 @@ class _Worker:
         return total, np.bincount(rows, minlength=n_rows), np.bincount(rows[change], minlength=n_rows)
 
 
+def _predictor(crf: Crf):
+    """A function of a slice of texts that gives best labels (0: unknown), scores, words and switches."""
+    token = f"{id(crf)} {np.random.default_rng().integers(2**62)}"
+
+    def run(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        n = len(offsets) - 1
+        best, score, count, moves = np.zeros(n, np.int64), np.zeros(n), np.zeros(n, np.int64), np.zeros(n, np.int64)
+        if crf.weights is not None:
+            store = worker_store()
+            if store.get("crf", (None,))[0] != token:
+                store["crf"] = (token, _Worker(crf))
+            total, count, moves = store["crf"][1].label(data, offsets)
+            some = count > 0
+            best[some] = total[some].argmax(axis=1) + 1
+            score[some] = np.minimum(1.0, total[some].max(axis=1) / count[some])
+        return best, score, count, moves
+
+    return run
+
+
 def predict(docs: DataFrame, crf: Crf, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, held_out, lang_pred, score, n_letter_words, n_switches`` of every whole text."""
     schema = T.StructType([
@@ -323,24 +343,28 @@ def predict(docs: DataFrame, crf: Crf, doc_id: str = "doc_id", text: str = "text
         T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
         T.StructField("n_letter_words", T.LongType()), T.StructField("n_switches", T.LongType()),
     ])
-    token = f"crf {id(crf)} {np.random.default_rng().integers(2**62)}"
+    label, names = _predictor(crf), [UNKNOWN, *crf.labels]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store = worker_store()
-        if crf.weights is not None and store.get("crf", (None,))[0] != token:
-            store["crf"] = (token, _Worker(crf))
-        names = np.array([UNKNOWN, *crf.labels], dtype=object)
         for batch in batches:
             data, offsets = words.buffers(batch.column(2))
             for low, high in words.slices(offsets, SLICE_BYTES):
-                n = high - low
-                best, score, count, moves = np.zeros(n, np.int64), np.zeros(n), np.zeros(n, np.int64), np.zeros(n, np.int64)
-                if crf.weights is not None:
-                    total, count, moves = store["crf"][1].label(data[offsets[low] : offsets[high]], offsets[low : high + 1])
-                    some = count > 0
-                    best[some] = total[some].argmax(axis=1) + 1
-                    score[some] = np.minimum(1.0, total[some].max(axis=1) / count[some])
-                columns = [*(c.slice(low, n) for c in batch.columns[:2]), pa.array(names[best], pa.string()), pa.array(score), pa.array(count), pa.array(moves)]
-                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+                best, score, count, moves = label(data[offsets[low] : offsets[high]], offsets[low : high + 1])
+                columns = [*(c.slice(low, high - low) for c in batch.columns[:2]), pa.array([names[i] for i in best], pa.string())]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(score), pa.array(count), pa.array(moves)], names=schema.names)
 
     return docs.select(F.col(doc_id), held_out(doc_id).alias("held_out"), F.col(text)).mapInArrow(run, schema)
+
+
+def keep_languages(docs: DataFrame, crf: Crf, least_score: float = 0.5, text: str = "text") -> DataFrame:
+    """The documents, with all their columns, whose language is known with a score of at least ``least_score``."""
+    at_text, label = docs.columns.index(text), _predictor(crf)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = words.buffers(batch.column(at_text))
+            for low, high in words.slices(offsets, SLICE_BYTES):
+                best, score, _, _ = label(data[offsets[low] : offsets[high]], offsets[low : high + 1])
+                yield batch.slice(low, high - low).filter(pa.array((best > 0) & (score >= least_score)))
+
+    return docs.mapInArrow(run, docs.schema)

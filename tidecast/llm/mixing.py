@@ -103,18 +103,40 @@ def queue(
     return every, mix.select("doc_id", "source", "size", "repeat", "finish", (F.col("_upto") - F.col("size")).alias("position"), "end")
 
 
-def taken(every: DataFrame, mix: DataFrame) -> DataFrame:
-    """``doc_id, source, size, source_size, target, taken`` of every document.
+_SAME = ("doc_id", "source", "size")
+
 
-    A copy is known by its source and its place in that queue, so repeated document ids stay apart.
+def copies(mix: DataFrame) -> DataFrame:
+    """``_d, _s, _z, _nth, _n``: the copies that the mix takes of the ``_nth`` document of an id, source and size.
+
+    A document is known by its source and its place in that queue, so repeated ids stay apart; those of
+    equal id, source and size are interchangeable, and the first of them gets the most.
     """
-    counts = mix.groupBy("doc_id", "source", "end").agg(F.count("*").alias("_n"), F.first("size").alias("_size"))
-    # Documents with the same id, source and size are interchangeable: give the first of them the most.
-    nth = Window.partitionBy("doc_id", "source", "size")
-    got = counts.withColumnRenamed("_size", "size").withColumn("_nth", F.row_number().over(nth.orderBy(F.col("_n").desc(), "end")))
-    got = got.select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("size").alias("_z"), "_nth", "_n")
-    docs = every.withColumn("_k", F.row_number().over(nth.orderBy(F.lit(0))))
+    counts = mix.groupBy("doc_id", "source", "end").agg(F.count("*").alias("_n"), F.first("size").alias("size"))
+    nth = F.row_number().over(Window.partitionBy(*_SAME).orderBy(F.col("_n").desc(), "end"))
+    return counts.select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("size").alias("_z"), nth.alias("_nth"), "_n")
+
+
+def _with_copies(docs: DataFrame, got: DataFrame, how: str) -> DataFrame:
+    numbered = docs.withColumn("_k", F.row_number().over(Window.partitionBy(*_SAME).orderBy(F.lit(0))))
     same = (F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s"))
             & (F.col("size") == F.col("_z")) & (F.col("_k") == F.col("_nth")))
+    return numbered.join(got, same, how)
+
+
+def taken(every: DataFrame, mix: DataFrame) -> DataFrame:
+    """``doc_id, source, size, source_size, target, taken`` of every document."""
     amount = F.coalesce(F.col("_n") * F.col("size"), F.lit(0))
-    return docs.join(got, same, "left").select("doc_id", "source", "size", "source_size", "target", amount.alias("taken"))
+    rows = _with_copies(every, copies(mix), "left")
+    return rows.select("doc_id", "source", "size", "source_size", "target", amount.alias("taken"))
+
+
+def mix_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **settings) -> DataFrame:
+    """The documents of the mix with all their columns, each as often as the mix takes it."""
+    _, mix = queue(docs, doc_id=doc_id, text=text, source=source, **settings)
+    own = docs.select(
+        F.struct("*").alias("_row"), F.col(doc_id).alias("doc_id"), F.col(source).alias("source"),
+        F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+    )
+    rows = _with_copies(own, stage(copies(mix), "mix"), "inner")
+    return rows.select("_row", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))).select("_row.*")

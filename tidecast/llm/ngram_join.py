@@ -294,6 +294,24 @@ def join_components(
     return classes.join(least, ["_h"]).where(same).select("doc_id", "n_shingles", component.alias("component_id"))
 
 
+def keep_one(docs: DataFrame, n: int = 4, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents without those linked, directly or not, to one of a smaller id; all columns.
+
+    Rows that repeat an id are one document: the one with the least text stays. Rows without id stay.
+    """
+    linked = join_components(docs, n, percent, doc_id, text).where("component_id != doc_id")
+    linked = stage(linked.select(F.col("doc_id").alias("_id")).distinct(), "duplicates")
+    kept = docs.join(linked, F.col(doc_id) == F.col("_id"), "left_anti")
+    again = docs.groupBy(F.col(doc_id).alias("_id")).agg(F.count("*").alias("_n")).where("_n > 1 and _id is not null").select("_id")
+    again = stage(again, "repeated")
+    if again.isEmpty():
+        return kept
+    single = kept.join(again, F.col(doc_id) == F.col("_id"), "left_anti")
+    several = kept.join(again, F.col(doc_id) == F.col("_id"), "left_semi")
+    nth = F.row_number().over(Window.partitionBy(doc_id).orderBy(text))
+    return single.unionByName(several.withColumn("_nth", nth).where("_nth = 1").drop("_nth"))
+
+
 def linked_classes(docs: DataFrame, sketches: DataFrame, plan: list[Band], n: int, percent: int, doc_id: str, text: str) -> DataFrame:
     """``node, component`` of all classes that link with another one."""
     rows = members(sketches, plan)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecast.llm import binary, graph_search, language, mixing, ngram_join, outliers, packing, secret_scan
+from tidecast.llm import binary, graph_search, language, licenses, mixing, ngram_join, outliers, packing, secret_scan, url_filters
 from tidecast.llm.staging import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,3 +109,82 @@ def pruned_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     index = graph_search.build_index(rows)
     return graph_search.search(index, rows.where("vec_id % 20 = 0"))
+
+
+def _license_sql() -> str:
+    """The canonical form and the lookup in SQL."""
+
+    def canonical(text: str) -> str:
+        t = f"regexp_replace(lower({text}), '©|\\(c\\)', ' copyright ', 'g')"
+        t = f"regexp_replace({t}, '[^a-z0-9\n]+', ' ', 'g')"
+        t = f"regexp_replace({t}, '(?m)^ ?copyright [^\n]*$|^ ?all rights reserved ?$', '', 'g')"
+        for old, new in licenses.SPELLINGS:
+            t = f"regexp_replace({t}, '\\b{old}\\b', '{new}', 'g')"
+        return f"list_transform(string_split({t}, chr(10)), lambda x: trim(x))"
+
+    known = ", ".join("('" + name + "', '" + text.replace("'", "''") + "')" for name, text in licenses.KNOWN)
+    return f"""
+with known as (select l, array_to_string(list_filter({canonical("t")}, lambda x: x != ''), ' ') as t from (values {known}) as k(l, t)),
+listed as (select sha256(t) as digest, min(l) as license from known where t != '' group by 1),
+docs as (select doc_id, {canonical("text")} as lines from documents),
+parts as (select doc_id, lines, array_to_string(list_filter(lines, lambda x: x != ''), ' ') as whole,
+    list_transform(string_split_regex(array_to_string(lines, chr(10)), '\n\n+'), lambda p: trim(replace(p, chr(10), ' '))) as paragraphs from docs),
+units as (select doc_id, unnest(list_concat(lines, list_filter(paragraphs, lambda p: not list_contains(lines, p)))) as t, false as all_ from parts
+  union all select doc_id, whole, true from parts),
+hits as (select doc_id, all_, license from units join listed on sha256(t) = digest),
+got as (select doc_id, min(case when all_ then license end) as whole_license,
+    coalesce(string_agg(distinct case when not all_ then license end, ',' order by case when not all_ then license end), '') as notices,
+    count(case when not all_ then 1 end) as n_notices from hits group by 1)
+select d.doc_id, g.whole_license, coalesce(g.notices, '') as notices, cast(coalesce(g.n_notices, 0) as bigint) as n_notices
+from documents d left join got g using (doc_id)
+"""
+
+
+@query("op7_license_digests", _license_sql())
+def license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences and notices in all documents."""
+    return licenses.find_licenses(table(spark, sf_dir, "documents"), licenses.known_licenses(spark))
+
+
+URL_SQL = r"""
+with caps as (select page_id, url, timestamp '2024-01-01' + to_seconds(cast((page_id * 7919) % 2592000 as bigint)) as fetched,
+    lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:@]+)', 1)) as host,
+    regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^/?#]+)', 1) as seg from pages),
+labels as (select *, string_split(host, '.') as l from caps),
+pats as (select distinct page_id, fetched, pattern from (
+  select page_id, fetched, array_to_string(l[i:], '.') as pattern, host
+    from (select *, unnest(range(1, cast(greatest(len(l) - 1, 1) + 1 as bigint))) as i from labels)
+  union all select page_id, fetched, host || '/' || seg, host from labels where seg != '') where host != ''),
+n as (select max(page_id) + 1 as n from pages),
+ev as (select distinct event_type as list, case when user_id % 2 = 0 then c.host else c.host || '/' || c.seg end as pattern,
+    case when event_id % 3 = 0 then 'remove' else 'add' end as action, ts
+  from events, n join caps c on c.page_id = (user_id * 31 + event_id) % n.n where c.host != ''),
+st as (select list, pattern, ts, bool_and(action = 'add') as on_ from ev where pattern is not null group by all),
+turn as (select *, lag(on_) over (partition by list, pattern order by ts) as was from st),
+iv as (select * from (select list, pattern, ts, on_, lead(ts) over (partition by list, pattern order by ts) as till
+  from turn where on_ != coalesce(was, false)) where on_),
+hit as (select p.page_id, count(*) as n, min(p.pattern) as f from pats p join iv on p.pattern = iv.pattern
+  and iv.ts <= p.fetched and (till is null or p.fetched < till) group by 1)
+select c.page_id, c.fetched, cast(coalesce(n, 0) as bigint) as n_active, f as first_pattern, coalesce(n, 0) > 0 as blocked
+from caps c left join hit using (page_id)
+"""
+
+
+@query("op9_temporal_url_filter", URL_SQL)
+def temporal_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which of all pages were on a list when fetched.
+
+    The given tables have neither fetch times nor dated lists, so both are derived from them: a page's
+    fetch time from its id, and a list entry from every event, for the host (or the host and first path
+    segment) of the page that the event's user and id point to.
+    """
+    second = F.pmod(F.col("page_id") * 7919, F.lit(2592000))
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", F.timestamp_add("second", second.cast("int"), F.lit("2024-01-01").cast("timestamp_ntz")).alias("fetched"))
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    named = pages.select("page_id", url_filters.host(F.col("url")).alias("host"), F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^/?#]+)", 1).alias("seg"))
+    pattern = F.when(F.col("user_id") % 2 == 0, F.col("host")).otherwise(F.concat_ws("/", "host", "seg"))
+    action = F.when(F.col("event_id") % 3 == 0, "remove").otherwise("add")
+    n = (pages.agg(F.max("page_id")).first()[0] or 0) + 1
+    entries = events.join(named.where("host != ''"), F.col("page_id") == (F.col("user_id") * 31 + F.col("event_id")) % n)
+    entries = entries.select(F.col("event_type").alias("list"), pattern.alias("pattern"), action.alias("action"), F.col("ts").cast("timestamp_ntz").alias("ts"))
+    return url_filters.active_entries(pages, entries)
