@@ -37,13 +37,17 @@ from pyspark.sql import types as T
 
 from tidecast.llm import words
 from tidecast.llm.components import components
-from tidecast.llm.staging import stage
+from tidecast.llm.staging import small, stage
 
 SLICE_BYTES = 2_000_000
 #: Ratio of the largest sizes of neighbouring bands.
 BAND_RATIO = 1.4
 #: Share of its n-grams that a set is taken to have in common with unrelated ones, for the cost model.
-COMMON = 0.3
+COMMON = 0.5
+#: What comparing two sets costs, in signatures.
+PAIR_COST = 4
+#: Rows up to which the ids of the classes to be verified are broadcast.
+BROADCAST_CLASSES = 200_000
 STAR_ROUNDS = 3
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -65,21 +69,27 @@ def bands(percent: int, many: int, largest: int = 1 << 31) -> list[Band]:
         most = (100 - percent) * 2 * high // (100 + percent)
         size = 0.85 * high
         options = []
-        for slack in (0, 1, 2, 3, 4, 6, 8, 12):
+        for slack in range(min(2, most), max(3, most // 2), max(1, most // 32)):
             m = most + 1 + slack
-            chance = math.exp(-(1 - COMMON) * size / m)
-            ways = math.comb(m, slack + 1) * chance ** (slack + 1)
-            options.append((m + many * min(1.0, ways), Band(high, m, slack, False)))
-        if most >= 1:
+            # Segments agree if neither set has an element of its own there.
+            chance = math.exp(-2 * (1 - COMMON) * size / m)
+            options.append((m + PAIR_COST * many * _at_least(slack + 1, m, chance), Band(high, m, slack, False)))
+        if 1 <= most <= 2:
             m = most
-            chance = math.exp(-(1 - COMMON) * size / m)
-            options.append((m + 1 + size / m + many * min(1.0, m * chance * (1 + size / m)), Band(high, m, 0, True)))
+            chance = math.exp(-2 * (1 - COMMON) * size / m) * (1 + size / m)
+            options.append((m + 1 + size / m + PAIR_COST * many * _at_least(1, m, chance), Band(high, m, 0, True)))
         out.append(min(options, key=lambda o: o[0])[1])
         if high >= largest:
             return out
         high = max(high + 6, int(high * BAND_RATIO))
 
 
+def _at_least(k: int, m: int, chance: float) -> float:
+    """A bound on the chance of k or more agreements among m segments."""
+    logs = math.lgamma(m + 1) - math.lgamma(k + 1) - math.lgamma(m - k + 1) + k * math.log(chance)
+    return math.exp(min(0.0, logs))
+
+
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct hashes of each row's word n-grams, sorted, and the bounds of the rows."""
     data = words.LOWER[data]
@@ -203,7 +213,8 @@ def sketch(docs: DataFrame, n: int, percent: int, plan: list[Band], doc_id: str,
 
 def class_sets(docs: DataFrame, wanted: DataFrame, n: int, doc_id: str, text: str) -> DataFrame:
     """``key, items`` of the classes in ``wanted(doc_id, key)``, from the text of one document each."""
-    found = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(wanted, "doc_id").select("key", "text")
+    side = F.broadcast(wanted) if small(wanted, BROADCAST_CLASSES) else wanted
+    found = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(side, "doc_id").select("key", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -300,43 +311,49 @@ def keep_one(docs: DataFrame, n: int = 4, percent: int = 85, doc_id: str = "doc_
     Rows that repeat an id are one document: the one with the least text stays. Rows without id stay.
     """
     linked = join_components(docs, n, percent, doc_id, text).where("component_id != doc_id")
-    linked = stage(linked.select(F.col("doc_id").alias("_id")).distinct(), "duplicates")
-    kept = docs.join(linked, F.col(doc_id) == F.col("_id"), "left_anti")
-    again = docs.groupBy(F.col(doc_id).alias("_id")).agg(F.count("*").alias("_n")).where("_n > 1 and _id is not null").select("_id")
+    linked = stage(linked.select(F.col("doc_id").alias(doc_id)).distinct(), "duplicates")
+    kept = docs.join(linked, doc_id, "left_anti")
+    again = docs.groupBy(doc_id).agg(F.count("*").alias("_n")).where(F.col("_n") > 1).dropna(subset=[doc_id]).select(doc_id)
     again = stage(again, "repeated")
     if again.isEmpty():
         return kept
-    single = kept.join(again, F.col(doc_id) == F.col("_id"), "left_anti")
-    several = kept.join(again, F.col(doc_id) == F.col("_id"), "left_semi")
     nth = F.row_number().over(Window.partitionBy(doc_id).orderBy(text))
-    return single.unionByName(several.withColumn("_nth", nth).where("_nth = 1").drop("_nth"))
+    several = kept.join(again, doc_id, "left_semi").select(F.struct(*[F.col(f"`{c}`") for c in kept.columns]).alias("row"), nth.alias("nth"))
+    return kept.join(again, doc_id, "left_anti").unionByName(several.where("nth = 1").select("row.*"))
 
 
 def linked_classes(docs: DataFrame, sketches: DataFrame, plan: list[Band], n: int, percent: int, doc_id: str, text: str) -> DataFrame:
     """``node, component`` of all classes that link with another one."""
     rows = members(sketches, plan)
     one = sketches.where("doc_id is not null").join(rows.select("key").distinct(), "key")
-    one = one.groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+    one = stage(one.groupBy("key").agg(F.min("doc_id").alias("doc_id")), "chosen")
     sets = stage(class_sets(docs, one, n, doc_id, text), "sets")
-    tested = links = None
+    tested = links = labels = None
     open_rows = rows.withColumn("part", F.col("key"))
-    for turn in range(STAR_ROUNDS + 1):
-        pairs = _stars(open_rows, turn) if turn < STAR_ROUNDS else _across(open_rows)
+    turn = 0
+    while True:
+        last = turn == STAR_ROUNDS
+        pairs = _across(open_rows) if last else _stars(open_rows, turn)
         if tested is not None:
             pairs = pairs.join(tested, ["u", "v"], "left_anti")
         pairs = stage(pairs, "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
         found = stage(verify(pairs, sets, percent), "verified")
         links = found if links is None else links.unionByName(found)
-        labels = stage(components(links), "labels")
+        none = found.isEmpty()
+        if labels is None or not none:
+            labels = stage(components(links), "labels")
+        if last:
+            return labels
         parts = rows.join(labels.select(F.col("node").alias("key"), "component"), "key", "left")
         parts = parts.withColumn("part", F.coalesce("component", "key"))
         by = Window.partitionBy("bucket")
         several = F.min("part").over(by) != F.max("part").over(by)
         open_rows = stage(parts.withColumn("_open", several).where("_open").select("bucket", "key", "weight", "part"), "open")
         if open_rows.isEmpty():
-            break
-    return labels
+            return labels
+        # Stars that connect nothing any more leave the rest to the pairs.
+        turn = STAR_ROUNDS if none else turn + 1
 
 
 def _stars(rows: DataFrame, turn: int) -> DataFrame:
