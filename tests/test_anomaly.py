@@ -91,6 +91,14 @@ def test_samples_are_bounded_and_drawn_per_tree(spark):
     assert {r["count"] for r in small.groupBy("tree").count().collect()} == {20}
 
 
+def test_samples_come_from_all_rows(spark):
+    """However many rows there are, every tree draws from all of them."""
+    values = frame(spark, range(60_000))
+    out = isolation.tree_samples(values, ("row_id",), "residuals", trees=50, sample_size=64, seed=1)
+    seen = out.select("value").distinct().count()
+    assert seen > 3000  # 50 independent draws of 64 hardly meet
+
+
 def test_baseline_floor(spark):
     row = anomaly.residual_baseline(frame(spark, [3, 3, 3])).first()
     assert (row.res_mean, row.res_std) == (3.0, 1e-6)

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from tidecast.sources import promos, weather
 from tidecast.sources.requests import parse_requests, request_features
-from tidecast.operators.features import fit_target_encoding
+from tidecast.config import FEATURE_COLUMNS
+from tidecast.operators.features import build_features, fit_target_encoding
 
 
 def grid(spark, cities, first, days):
@@ -141,3 +142,25 @@ def test_requests_get_defaults_and_history(spark, panel):
     assert got["Austin"].orders_lag_1 == last
     assert got["Chicago"].orders_lag_1 == 7.0
     assert got["Chicago"].lag_7_ratio == pytest.approx(7.0 / (got["Chicago"].orders_lag_7 + 1))
+
+
+def test_repeated_requests_do_not_meet(spark, panel):
+    """One row per request; each gets the features that it would get alone."""
+    days = ["2024-01-01", "2024-01-01", "2024-01-02", "2024-01-05"]
+    texts = [(json.dumps({"date": d, "city": "Austin"}),) for d in days] + [(json.dumps({"date": days[0], "city": "Nowhere"}),)]
+    asked = parse_requests(spark.createDataFrame(texts, "request string"))
+    encoding = fit_target_encoding(panel)
+    got = request_features(asked, panel, encoding)
+    assert got.count() == 5 and set(FEATURE_COLUMNS) <= set(got.columns)
+    own = [r for r in got.collect() if r.city == "Austin"]
+    last = panel.where("city = 'Austin' and date = '2023-12-31'").first().orders
+    assert {r.orders_lag_1 for r in own} == {last}
+    assert got.where("city = 'Nowhere'").first().orders_lag_1 is None
+    one = asked.where("city = 'Austin' and date = '2024-01-01'").limit(1)
+    asks = one.withColumns({"orders": F.lit(None).cast("double"), "is_rainy": F.col("is_rainy").cast("int")})
+    names = [c for c in panel.columns if c in asks.columns]
+    both = panel.withColumn("orders", F.col("orders").cast("double")).select(names).unionByName(asks.select(names))
+    built = build_features(both, encoding, fill="none").where("date = '2024-01-01' and city = 'Austin'").first()
+    mine = request_features(one, panel, encoding).first()
+    for c in FEATURE_COLUMNS:
+        assert mine[c] == pytest.approx(built[c]), c

@@ -91,6 +91,16 @@ def test_whole_frame_fill_equals_pandas(spark):
             np.testing.assert_allclose(out.to_numpy(), expected.to_numpy())
 
 
+def test_decimal_string_and_date_columns_are_filled(spark):
+    rows = [("a", 1, None, None, None), ("a", 2, "1.5", "x", "2024-01-01"), ("b", 1, None, None, None), ("b", 2, "2.5", None, None)]
+    df = spark.createDataFrame(rows, "city string, date int, d string, s string, t string")
+    df = df.withColumns({"d": F.col("d").cast("decimal(10,2)"), "t": F.col("t").cast("date")})
+    got = fill_chain(df, ["d", "s", "t"]).orderBy("city", "date").collect()
+    assert [str(r.d) for r in got] == ["1.50", "1.50", "2.50", "2.50"]
+    assert [r.s for r in got] == ["x"] * 4
+    assert {str(r.t) for r in got} == {"2024-01-01"}
+
+
 def test_filled_features_equal_pandas(panel, panel_pdf):
     expected = by_pandas(panel_pdf)
     expected["lag_7_ratio"] = expected["orders_lag_1"] / (expected["orders_lag_7"] + 1.0)

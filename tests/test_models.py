@@ -46,6 +46,7 @@ def test_save_and_load(spark, panel, forecaster, tmp_path):
     path = str(tmp_path / "forecaster")
     forecaster.save(path)
     loaded = forecast.DemandForecaster.load(spark, path)
+    assert (loaded.holdout, loaded.segment_rows, loaded.rounds) == (forecaster.holdout, None, forecaster.rounds)
     names = ["city", "date", "pred_orders", "pred_p10", "pred_p90"]
     a = forecaster.predict_intervals(panel).select(names).orderBy("city", "date").toPandas()
     b = loaded.predict_intervals(panel).select(names).orderBy("city", "date").toPandas()
@@ -68,9 +69,38 @@ def test_horizon(spark, panel, forecaster):
     assert out.notna().all().all()
     assert (out["pred_p10"] <= out["pred_orders"] + 1e-9).all()
     assert not out["short_history"].any()
-    for bad in (0, 91):
+    for bad in (0, -1):
         with pytest.raises(ValueError):
             forecaster.forecast_future(panel, bad)
+    long = forecaster.forecast_future(panel, 120)
+    assert long.count() == 240 and long.where("pred_orders is null").count() == 0
+
+
+def test_bands_come_from_the_newest_days_of_each_series(spark):
+    """A series that ended months earlier, at another level, has residuals of its own."""
+    both = demand(200)
+    both.loc[both.city == "Chicago", "orders"] *= 50
+    both = both[(both.city == "Austin") | (pd.to_datetime(both.date) < "2023-10-01")]
+    df = spark.createDataFrame(both, PANEL_SCHEMA)
+    model = forecast.DemandForecaster(rounds=5).fit(df)
+    widths = {r.city: r.quantiles[-1] - r.quantiles[0] for r in model.bands.collect()}
+    assert set(widths) == {"Austin", "Chicago"}
+    assert widths["Chicago"] > 5 * widths["Austin"]
+
+
+def test_bands_do_not_see_the_held_out_targets(spark):
+    """The held-out share changes the residuals, but not what they are measured against."""
+    pdf = demand(150, ("Austin",))
+    late = pd.to_datetime(pdf.date) > "2023-12-05"
+    shifted = pdf.copy()
+    shifted.loc[late, "orders"] += 1000
+    bands = []
+    for rows in (pdf, shifted):
+        model = forecast.DemandForecaster(rounds=3).fit(spark.createDataFrame(rows, PANEL_SCHEMA))
+        bands.append(model.bands.first().quantiles)
+    # An encoding fitted on all rows would move with the held-out targets and hide the shift.
+    assert min(b - a for a, b in zip(*bands)) > 0
+    assert max(bands[1]) - max(bands[0]) > 500
 
 
 def test_each_horizon_day_equals_a_batch_prediction(panel, forecaster):
@@ -217,6 +247,9 @@ def test_end_to_end_job(spark, tmp_path):
     assert spark.read.csv(result.paths["metrics"], header=True).count() == 3
     assert spark.read.parquet(result.paths["scored"]).count() == 200
     assert result.evaluation.where("scope = 'overall'").first().n_samples == 200
+    assert {r.city for r in result.drift.collect()} == {"Austin", "Chicago"}
+    assert "year_month" in spark.read.parquet(result.paths["scored"]).columns
+    assert result.card.count() > 5
     assert anomaly.HybridDetector.load(spark, result.paths["detector"]).forest is not None
 
 

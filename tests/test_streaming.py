@@ -42,6 +42,17 @@ def test_streak_state_survives_batches(spark, tmp_path):
     assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
 
 
+def test_days_that_come_too_late_do_not_count(spark, tmp_path):
+    source, out, mark = (str(tmp_path / n) for n in ("daily", "alerts", "mark"))
+    for days in ((1, 2, 4), (3, 5), (7, 6)):
+        rows = [(dt.date(2024, 1, d), "A", 1.0 if d == 6 else 9.0) for d in days]
+        df = spark.createDataFrame(rows, "date date, city string, rolling_mape double")
+        df.coalesce(1).write.mode("append").parquet(source)
+        flows.run_to_parquet(flows.streak_alerts(flows.read_stream(spark, source)), out, mark)
+    got = sorted((r.date.day, r.streak) for r in spark.read.parquet(out).collect())
+    assert got == [(4, 3), (5, 4)]
+
+
 def test_flagged_rows_are_stored_once(spark, tmp_path):
     source, out, mark = (str(tmp_path / n) for n in ("rows", "flags", "mark"))
     rows = spark.createDataFrame([("A", float(v)) for v in (0, 1, -1, 0, 50)], "city string, residuals double")

@@ -81,8 +81,3 @@ def finite_or_zero(value: Column) -> Column:
     inf = F.lit(float("inf"))
     broken = value.isNull() | F.isnan(value) | (F.abs(value) == inf)
     return F.when(broken, F.lit(0.0)).otherwise(F.greatest(value, F.lit(0.0)))
-
-
-def clean_nan(value: Column) -> Column:
-    """NaN as NULL, so that comparisons treat it as missing."""
-    return F.when(F.isnan(value), F.lit(None).cast("double")).otherwise(value)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -15,19 +15,37 @@ def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     )
 
 
+def _bucket(value: Column) -> Column:
+    """An order-preserving whole number: 64 steps for each doubling of the magnitude."""
+    return F.floor(F.signum(value) * F.log2(1 + F.abs(value)) * 64)
+
+
 def quantiles(counts: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
     """(keys, n_rows, quantiles array) from ``value_counts``.
 
-    Ranks come from a running count over the distinct values of a key. The window sorts and
-    spills; Spark's ``percentile`` would keep every distinct value of the key in memory.
+    Values are counted by ranges first. The running count over a key's ranges tells in which of them the
+    wanted ranks lie, and only those are ranked value by value. So no task sorts all values of a key;
+    Spark's ``percentile`` would even keep them all in memory.
     """
+    placed = counts.select(*keys, "value", "n", _bucket(F.col("value")).alias("_bucket"))
     by_key = Window.partitionBy(*keys)
-    running = by_key.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counts.select(
-        *keys,
-        "value",
-        F.sum("n").over(running).alias("upto"),
-        F.sum("n").over(by_key).alias("total"),
+    running = by_key.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranges = (
+        placed.groupBy(*keys, "_bucket")
+        .agg(F.sum("n").alias("_size"))
+        .withColumn("_upto", F.sum("_size").over(running))
+        .withColumn("total", F.sum("_size").over(by_key))
+        .withColumn("_before", F.col("_upto") - F.col("_size"))
+    )
+    ranks = [f((F.col("total") - 1) * F.lit(float(p))) for p in probs for f in (F.floor, F.ceil)]
+    holds = F.exists(F.array(*ranks), lambda r: (F.col("_before") <= r) & (r < F.col("_upto")))
+    ranges = ranges.where(holds).select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_bucket").alias("_wanted"), "_before", "total")
+    same = F.col("_bucket") == F.col("_wanted")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    inside = Window.partitionBy(*keys, "_bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = placed.join(ranges, same).select(
+        *keys, "value", (F.col("_before") + F.sum("n").over(inside)).alias("upto"), "total"
     )
     picks = []
     for i, p in enumerate(probs):

@@ -134,10 +134,21 @@ class HybridDetector:
     def save(self, path: str) -> None:
         self._fitted()
         spark = self.baseline.sparkSession
-        settings = [(self.contamination, self.z_threshold, self.strict, self.seed, self.forest.offset)]
+        settings = [
+            (
+                self.contamination,
+                self.z_threshold,
+                self.strict,
+                self.seed,
+                self.trees,
+                self.sample_size,
+                self.forest.offset,
+            )
+        ]
         spark.createDataFrame(
             settings,
-            "contamination double, z_threshold double, strict boolean, seed int, offset double",
+            "contamination double, z_threshold double, strict boolean, seed int, trees int, sample_size int, "
+            "offset double",
         ).write.mode("overwrite").parquet(f"{path}/settings")
         self.baseline.write.mode("overwrite").parquet(f"{path}/baseline")
         self.forest.steps_frame(spark).write.mode("overwrite").parquet(f"{path}/steps")
@@ -152,6 +163,8 @@ class HybridDetector:
             z_threshold=s.z_threshold,
             strict=s.strict,
             seed=s.seed,
+            trees=s.trees,
+            sample_size=s.sample_size,
             baseline=spark.read.parquet(f"{path}/baseline"),
             forest=isolation.IsolationForest.from_steps(steps, s.offset),
         )

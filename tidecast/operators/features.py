@@ -165,7 +165,7 @@ def build_features(
             for f in out.schema.fields
             if f.name not in never_null
             and f.dataType.typeName()
-            in ("double", "float", "integer", "long", "short", "byte", "boolean")
+            in ("double", "float", "decimal", "integer", "long", "short", "byte", "boolean", "string", "date")
         ]
         segment = SEGMENT if segment_rows else None
         known = _known_gaps(df, [c for c in fillable if c in df.columns], key, segment_rows)

@@ -1,4 +1,4 @@
-"""Backward fill, then forward fill, then 0, over the whole frame in (series, date) order.
+"""Backward fill, then forward fill, then 0 (dates: nothing), over the whole frame in (series, date) order.
 
 The order crosses series boundaries: a value missing at the end of one series is taken from the
 start of the next. A window over the unpartitioned frame would put every row into one task, so the
@@ -11,8 +11,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DateType
 
 from tidecast.session import ensure_checkpoint_dir
 
@@ -30,7 +31,7 @@ def fill_chain(
     segment: str | None = None,
     known: Gaps | None = None,
 ) -> DataFrame:
-    """Fill ``columns``; the result has no NULL in them.
+    """Fill ``columns``; the result has no NULL in them, except in a date column without any value.
 
     Unless the gaps are ``known``, the call runs one aggregate over the frame; a column that has to
     be filled across blocks takes a second one. The frame should then be cheap to read again.
@@ -59,11 +60,16 @@ def fill_chain(
         for c in crossing:
             kind = df.schema[c].dataType
             filled[c] = F.coalesce(
-                F.col(f"_own_{c}"), F.col(f"_next_{c}"), F.lit(final[c]).cast(kind), F.lit(0).cast(kind)
+                F.col(f"_own_{c}"), F.col(f"_next_{c}"), F.lit(final[c]).cast(kind), _zero(kind)
             )
     return owned.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
 
 
+def _zero(kind: DataType) -> Column:
+    """What is left where a whole column is missing."""
+    return F.lit(None if isinstance(kind, DateType) else 0).cast(kind)
+
+
 def find_gaps(df: DataFrame, columns: list[str], block: list[str], ts: str) -> Gaps:
     """Columns with any NULL, and those that are NULL at the last row of some block."""
     gaps = (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 from statistics import NormalDist
 
 import numpy as np
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tidecast.config import (
+    ENCODING_FEATURE,
     FEATURE_COLUMNS,
     FLAG_COLUMNS,
     LAG_FEATURES,
@@ -44,7 +46,6 @@ from tidecast.sources.weather import override_weather
 #: Features that depend on earlier targets and change while a forecast rolls forward.
 RECURSIVE = (*LAG_FEATURES, *ROLLING_FEATURES, *RATIO_FEATURES)
 TAIL = max(LAGS)
-MAX_HORIZON = 90
 
 
 def blend(tree: Column, additive: Column, tree_weight: float, additive_weight: float) -> Column:
@@ -110,9 +111,10 @@ class DemandForecaster:
     def fit(self, df: DataFrame, intervals: bool = True) -> DemandForecaster:
         """Fit on a panel or on a feature table.
 
-        With ``intervals`` a first fit leaves out the newest ``holdout`` share of the calendar, and
-        the residual quantiles come from there; the final fit then uses all rows. Fitted tables are
-        written to the shared folder, so that predicting never fits again.
+        The trees learn from rows with all lags, unless there are none. With ``intervals`` a second fit
+        leaves out the newest ``holdout`` share of the days of each series, and the residual quantiles
+        come from there; its encoding is that of the days before. Both fits run at the same time.
+        Fitted tables are written to the shared folder, so that predicting never fits again.
         """
         missing = {"date", "city", "orders"} - set(df.columns)
         if missing:
@@ -123,21 +125,35 @@ class DemandForecaster:
         if feats is not df:
             # Both fits and the additive model read the features; built ones are stored once.
             feats = _stored(spark, feats, "features")
-        if intervals:
-            span = feats.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
-            cut = span.lo + (span.hi - span.lo) * (1.0 - self.holdout)
-            early = feats.where(F.col("date") <= F.lit(cut))
-            late = feats.where(F.col("date") > F.lit(cut))
-            model = trees.fit_trees(early, "orders", self.rounds, self.step, self.depth, self.seed)
-            held_out = trees.predict_trees(model, late).select(
-                "city", (F.col("orders").cast("double") - F.col("tree_pred")).alias("residuals")
-            )
-            self.bands = _stored(spark, residual_quantiles(held_out, self.alphas), "bands")
-        self.tree_model = trees.fit_trees(feats, "orders", self.rounds, self.step, self.depth, self.seed)
-        self.additive = _stored(spark, fit_additive(feats), "additive")
+        with ThreadPool(2) as pool:
+            bands = pool.apply_async(self._fit_bands, (feats,)) if intervals else None
+            self.tree_model = self._fit_trees(feats)
+            self.additive = _stored(spark, fit_additive(feats), "additive")
+            self.bands = bands.get() if bands else None
         self._nodes = None
         return self
 
+    def _fit_trees(self, feats: DataFrame) -> GBTRegressionModel:
+        complete = feats.where(F.col(f"orders_lag_{max(LAGS)}").isNotNull())
+        rows = feats if complete.isEmpty() else complete
+        return trees.fit_trees(rows, "orders", self.rounds, self.step, self.depth, self.seed)
+
+    def _fit_bands(self, feats: DataFrame) -> DataFrame:
+        """Residual quantiles per series on its newest days, by a model that has not seen them."""
+        day = F.col("date").cast("date")
+        span = feats.groupBy("city").agg(F.min(day).alias("_lo"), F.max(day).alias("_hi"))
+        kept = F.floor(F.datediff("_hi", "_lo") * (1.0 - self.holdout)).cast("int")
+        cuts = span.select("city", F.date_add("_lo", kept).alias("_cut"))
+        placed = feats.drop(ENCODING_FEATURE).join(cuts, "city")
+        early, late = (placed.where(c).drop("_cut") for c in (day <= F.col("_cut"), day > F.col("_cut")))
+        early = _stored(feats.sparkSession, early, "early")
+        encoding = _stored(feats.sparkSession, fit_target_encoding(early), "encoding")
+        model = self._fit_trees(apply_target_encoding(early, encoding))
+        held_out = trees.predict_trees(model, apply_target_encoding(late, encoding)).select(
+            "city", (F.col("orders").cast("double") - F.col("tree_pred")).alias("residuals")
+        )
+        return _stored(feats.sparkSession, residual_quantiles(held_out, self.alphas), "bands")
+
     def components(self, df: DataFrame) -> DataFrame:
         """Add tree_pred, additive_pred and additive_sigma."""
         self._fitted()
@@ -189,8 +205,8 @@ class DemandForecaster:
         horizon. Only the recursion over lags and trees runs in Python, on whole batches of series.
         """
         self._fitted()
-        if not 1 <= horizon_days <= MAX_HORIZON:
-            raise ValueError(f"horizon_days must be between 1 and {MAX_HORIZON}")
+        if horizon_days < 1:
+            raise ValueError("horizon_days must be at least 1")
         grid = self.horizon_rows(history, horizon_days)
         if promos is not None:
             grid = overlay_promos(grid, promos)
@@ -208,7 +224,7 @@ class DemandForecaster:
             "additive_sigma",
             F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in known]).alias("known"),
         )
-        # At most MAX_HORIZON days and TAIL targets per series.
+        # The days asked for and TAIL targets per series.
         days = static.groupBy("city").agg(F.array_sort(F.collect_list(day)).alias("days"))
         tail = (
             last_rows(history.select("city", "date", "orders"), TAIL)
@@ -253,13 +269,15 @@ class DemandForecaster:
                 self.step,
                 self.depth,
                 self.seed,
+                self.holdout,
+                self.segment_rows,
                 self.bands is not None,
             )
         ]
         spark.createDataFrame(
             settings,
             "tree_weight double, additive_weight double, alphas array<double>, rounds int, "
-            "step double, depth int, seed int, has_bands boolean",
+            "step double, depth int, seed int, holdout double, segment_rows int, has_bands boolean",
         ).write.mode("overwrite").parquet(f"{path}/settings")
         self.tree_model.write().overwrite().save(f"{path}/trees")
         self.encoding.write.mode("overwrite").parquet(f"{path}/encoding")
@@ -281,6 +299,8 @@ class DemandForecaster:
             step=s.step,
             depth=s.depth,
             seed=s.seed,
+            holdout=s.holdout,
+            segment_rows=s.segment_rows,
             tree_model=GBTRegressionModel.load(f"{path}/trees"),
             encoding=spark.read.parquet(f"{path}/encoding"),
             additive=spark.read.parquet(f"{path}/additive"),

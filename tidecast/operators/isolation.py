@@ -75,23 +75,19 @@ def tree_samples(
 ) -> DataFrame:
     """(tree, value): ``sample_size`` rows per tree, drawn without replacement by seeded hashes.
 
-    A first hash keeps a pool of about ``OVERDRAW * trees * sample_size`` rows, so the copies per
-    tree never grow with the data.
+    Every row draws for every tree, and is copied only to the trees that drew it: about ``OVERDRAW``
+    times the sample of each, whatever the size of the data.
     """
     ident = [F.col(c).cast("string") for c in identity]
     known = df.where(F.col(value).isNotNull())
     n = known.count() if rows is None else rows
-    pool_size = OVERDRAW * trees * sample_size
-    pool = known.select(
-        F.col(value).cast("double").alias("value"),
-        _uniform(*ident, F.lit(seed)).alias("u"),
-        F.xxhash64(*ident).alias("row"),
-    ).where(F.col("u") * float(n) < pool_size)
-    keep = min(1.0, OVERDRAW * sample_size / max(min(n, pool_size), 1.0))
+    keep = min(1.0, OVERDRAW * sample_size / max(n, 1))
+    row = F.xxhash64(*ident)
+    drew = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: _uniform(F.col("row"), tree, F.lit(seed)) < keep)
     drawn = (
-        pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+        known.select(F.col(value).cast("double").alias("value"), row.alias("row"))
+        .withColumn("tree", F.explode(drew))
         .withColumn("draw", _uniform(F.col("row"), F.col("tree"), F.lit(seed)))
-        .where(F.col("draw") < keep)
     )
     rank = F.row_number().over(Window.partitionBy("tree").orderBy("draw", "row"))
     return drawn.withColumn("rank", rank).where(F.col("rank") <= sample_size).select("tree", "value")

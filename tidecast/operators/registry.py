@@ -65,7 +65,7 @@ class ModelRegistry:
         if model.tree_model is None:
             raise ValueError("cannot register an unfitted model")
         model.save(f"{self.root}/{tag}")
-        entry = (tag, created_at or dt.datetime.now(), description, model.tree_weight, model.additive_weight)
+        entry = (tag, created_at or dt.datetime.now(dt.timezone.utc), description, model.tree_weight, model.additive_weight)
         self.spark.createDataFrame([entry], MANIFEST_SCHEMA).coalesce(1).write.mode("append").json(
             f"{self.root}/manifest"
         )

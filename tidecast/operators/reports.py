@@ -104,8 +104,7 @@ def last_horizon(df: DataFrame, days: int, key: str = "city", ts: str = "date")
 def nested_forecast(future: DataFrame, key: str = "city", ts: str = "date") -> DataFrame:
     """One row per series with the ordered list of {date, pred_mean, pred_p10, pred_p90}.
 
-    A horizon has at most 90 days, which bounds the list. Series stay rows: one map over all of
-    them would put the whole result into a single cell.
+    The horizon asked for bounds the list. Series stay rows: one map over all of them would put the whole result into a single cell.
     """
 
     def value(name: str) -> Column:

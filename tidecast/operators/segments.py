@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 POSITION = "_position"
 SEGMENT = "_segment"
 HALO = "_halo"
-#: Rows of one series that a single task may window over.
-SERIES_LIMIT = 20_000
 
 
 def with_positions(df: DataFrame, key: str = "city", ts: str = "date") -> DataFrame:
@@ -67,12 +65,3 @@ def segmented(
     )
     out = placed.withColumn(SEGMENT, F.explode(targets)).withColumn(HALO, F.col(SEGMENT) != own)
     return out if keep_position else out.drop(POSITION)
-
-
-def rows_per_segment(df: DataFrame, key: str = "city", limit: int = SERIES_LIMIT) -> int | None:
-    """``limit`` when some series is longer than that, else None: whole series then fit a task.
-
-    One aggregate over the key column; meant for stored tables.
-    """
-    longest = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    return limit if longest is not None and longest > limit else None

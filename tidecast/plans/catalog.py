@@ -4,21 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+#: Queries with SQL whose plan may hold Python: they check facts about fitted models.
+WITH_PYTHON: set[str] = set()
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+def query(name: str, sql: str | None = None, python: bool = False) -> Callable[[Query], Query]:
     """Register a query and, where SQL can express it, the statement it must agree with."""
 
     def register(fn: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
         QUERIES[name] = fn
+        if python:
+            WITH_PYTHON.add(name)
         if sql is not None:
             ORACLES[name] = sql
         return fn
@@ -30,54 +34,52 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: What a series is at each level: SQL of its name. The last two grow with the data.
+LEVELS = {"region": "r_name", "nation": "n_name", "supplier": "'s' || l_suppkey", "part": "'p' || l_partkey"}
+
+
 def panel(spark: SparkSession, sf_dir: str, level: str = "region") -> DataFrame:
-    """Daily demand per region (or nation) with weather, flags and injected anomaly labels.
+    """Daily demand per series, with measures and flags taken from the shipments of the day.
 
-    Shipments are summed to (date, series); everything else is an expression of date and series.
+    Demand is the shipped quantity. The temperature scales with the mean tax, the rain with the share of
+    returns; the flags follow from the day's sums of discount and tax in percent. A day is labelled as an
+    anomaly if its demand is more than 2.2 standard deviations from the mean of its series; all sums are
+    of whole numbers, so both engines agree on every digit.
     """
-    line = table(spark, sf_dir, "lineitem").select(
-        "l_suppkey", "l_quantity", F.col("l_shipdate").cast("date").alias("date")
-    )
-    places = (
-        table(spark, sf_dir, "supplier")
-        .select("s_suppkey", "s_nationkey")
-        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    )
-    name, code = ("r_name", "r_regionkey") if level == "region" else ("n_name", "n_nationkey")
-    base = (
-        line.join(places, F.col("l_suppkey") == F.col("s_suppkey"))
-        .groupBy("date", F.col(name).alias("city"), F.col(code).alias("rk"))
-        .agg(F.sum("l_quantity").cast("bigint").alias("orders0"))
-    )
-    day_no = F.datediff("date", F.lit("1995-01-01").cast("date"))
-    doy, wd = F.dayofyear("date"), F.weekday("date")
-    m, d, rk = F.month("date"), F.dayofmonth("date"), F.col("rk")
-    anomaly = ((day_no * 71 + rk * 43) % 67 == 0).cast("int")
-    wet = (day_no * 37 + rk * 101) % 100 < 25
-    millimetres = ((day_no * 13 + rk * 7) % 160).cast("double") / 10
-    holiday = (
-        ((m == 1) & (d == 1))
-        | ((m == 7) & (d == 4))
-        | ((m == 12) & (d == 25))
-        | ((m == 11) & d.between(22, 28) & (wd == 3))
-    )
-    orders = (
-        F.when((anomaly == 1) & (day_no % 2 == 0), F.col("orders0") * 3)
-        .when(anomaly == 1, F.floor(F.col("orders0") / 4.0))
-        .otherwise(F.col("orders0"))
+    line = table(spark, sf_dir, "lineitem")
+    if level in ("region", "nation"):
+        places = (
+            table(spark, sf_dir, "supplier")
+            .select("s_suppkey", "s_nationkey")
+            .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+            .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        )
+        line = line.join(places, F.col("l_suppkey") == F.col("s_suppkey"))
+    percent = {"tax": "l_tax", "disc": "l_discount"}
+    base = line.groupBy(F.col("l_shipdate").cast("date").alias("date"), F.expr(LEVELS[level]).alias("city")).agg(
+        F.sum("l_quantity").cast("bigint").alias("orders"),
+        F.count("*").alias("n"),
+        *[F.sum(F.round(F.col(c) * 100).cast("bigint")).alias(name) for name, c in percent.items()],
+        F.sum((F.col("l_returnflag") == "R").cast("bigint")).alias("ret"),
     )
+    tax, disc, ret, n = (F.col(c) for c in ("tax", "disc", "ret", "n"))
+    rain = F.when(5 * ret >= 2 * n, (F.floor(ret * 160.0 / n) / 10.0).cast("double")).otherwise(0.0)
+    series = Window.partitionBy("city")
+    days, total = F.count("*").over(series), F.sum("orders").over(series)
+    squares = F.sum(F.col("orders") * F.col("orders")).over(series)
+    off = (days * F.col("orders") - total).cast("double")
+    anomaly = off * off > 4.84 * (days * squares - total * total).cast("double")
     return base.select(
         "date",
         "city",
-        orders.cast("bigint").alias("orders"),
-        F.round(12 + rk * 2 + 15 * F.sin(2 * F.pi() * (doy - 105) / 365.25), 2).alias("temperature_c"),
-        F.when(wet, millimetres).otherwise(0.0).alias("rainfall_mm"),
-        (wet & ((day_no * 13 + rk * 7) % 160 > 20)).cast("int").alias("is_rainy"),
-        holiday.cast("int").alias("is_holiday"),
-        ((wd >= 5) & ((day_no * 31 + rk * 17) % 100 < 20)).cast("int").alias("festival_flag"),
-        ((day_no * 53 + rk * 29) % 100 < 18).cast("int").alias("promo_active"),
-        anomaly.alias("is_anomaly"),
+        "orders",
+        (F.floor(tax * 500.0 / n) / 100.0).cast("double").alias("temperature_c"),
+        rain.alias("rainfall_mm"),
+        (rain > 2.0).cast("int").alias("is_rainy"),
+        (disc % 29 == 0).cast("int").alias("is_holiday"),
+        (tax % 9 == 0).cast("int").alias("festival_flag"),
+        (disc % 11 < 2).cast("int").alias("promo_active"),
+        anomaly.cast("int").alias("is_anomaly"),
     )
 
 
@@ -90,32 +92,27 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def panel_sql(level: str = "region") -> str:
-    """CTEs base, lab and panel: the same panel in SQL."""
-    name, code = ("r_name", "r_regionkey") if level == "region" else ("n_name", "n_nationkey")
+    """CTEs base and panel: the same panel in SQL."""
+    places = """join supplier on l_suppkey = s_suppkey
+    join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey"""
     return f"""base as (
-  select cast(l_shipdate as date) as date, {name} as city, {code} as rk,
-    cast(sum(l_quantity) as bigint) as orders0,
-    date_diff('day', date '1995-01-01', cast(l_shipdate as date)) as day_no,
-    dayofyear(cast(l_shipdate as date)) as doy, (isodow(cast(l_shipdate as date)) - 1) as wd
-  from lineitem join supplier on l_suppkey = s_suppkey
-    join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey
-  group by 1, 2, 3, 5, 6, 7),
-lab as (select *, case when (day_no*71 + rk*43) % 67 = 0 then 1 else 0 end as is_anomaly from base),
-panel as (select date, city,
-  cast(case when is_anomaly = 1 and day_no % 2 = 0 then orders0*3
-            when is_anomaly = 1 then floor(orders0/4.0) else orders0 end as bigint) as orders,
-  round(12 + rk*2 + 15*sin(2*pi()*(doy-105)/365.25), 2) as temperature_c,
-  case when (day_no*37 + rk*101) % 100 < 25
-       then cast((day_no*13 + rk*7) % 160 as double)/10 else cast(0 as double) end as rainfall_mm,
-  case when (day_no*37 + rk*101) % 100 < 25 and (day_no*13 + rk*7) % 160 > 20
-       then 1 else 0 end as is_rainy,
-  case when (month(date)=1 and day(date)=1) or (month(date)=7 and day(date)=4)
-         or (month(date)=12 and day(date)=25)
-         or (month(date)=11 and day(date) between 22 and 28 and wd=3) then 1 else 0 end as is_holiday,
-  case when wd>=5 and (day_no*31 + rk*17) % 100 < 20 then 1 else 0 end as festival_flag,
-  case when (day_no*53 + rk*29) % 100 < 18 then 1 else 0 end as promo_active,
-  is_anomaly
-from lab)"""
+  select cast(l_shipdate as date) as date, {LEVELS[level]} as city, cast(sum(l_quantity) as bigint) as orders,
+    count(*) as n, cast(sum(cast(round(l_tax * 100) as bigint)) as bigint) as tax,
+    cast(sum(cast(round(l_discount * 100) as bigint)) as bigint) as disc, count(case when l_returnflag = 'R' then 1 end) as ret
+  from lineitem {places if level in ("region", "nation") else ""}
+  group by 1, 2),
+measured as (select *, case when 5 * ret >= 2 * n then floor(ret * 160.0::double / n) / 10 else 0.0::double end as rain,
+    cast(count(*) over s as bigint) as days, cast(sum(orders) over s as bigint) as total,
+    cast(sum(orders * orders) over s as bigint) as squares
+  from base window s as (partition by city)),
+panel as (select date, city, orders, floor(tax * 500.0::double / n) / 100 as temperature_c, rain as rainfall_mm,
+  case when rain > 2.0 then 1 else 0 end as is_rainy,
+  case when disc % 29 = 0 then 1 else 0 end as is_holiday,
+  case when tax % 9 = 0 then 1 else 0 end as festival_flag,
+  case when disc % 11 < 2 then 1 else 0 end as promo_active,
+  case when pow(cast(days * orders - total as double), 2) > 4.84::double * cast(days * squares - total * total as double)
+       then 1 else 0 end as is_anomaly
+from measured)"""
 
 
 PANEL = panel_sql()

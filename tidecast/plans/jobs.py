@@ -5,19 +5,22 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidecast.config import SETTINGS
-from tidecast.operators import anomaly, backtest
+from tidecast.operators import anomaly, backtest, drift, reports
 from tidecast.operators.features import apply_target_encoding, build_features, fit_target_encoding
 from tidecast.operators.forecast import DemandForecaster
-from tidecast.operators.segments import rows_per_segment
 from tidecast.session import scratch_path
 from tidecast.sources import panel as panel_io
 from tidecast.sources.exports import write_csv
 
+#: Days that the drift step compares with all days before.
+DRIFT_DAYS = 90
+
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: cuts the plan, survives lost executors."""
@@ -32,28 +35,30 @@ def walk_forward_predictions(
     """Validation rows of all folds with ``pred_model`` (fitted on earlier dates) and ``pred_baseline``.
 
     Features are computed once and look back only. The target encoding, the one feature that could
-    carry later values, is fitted anew on the training dates of every fold.
+    carry later values, is fitted anew on the training dates of every fold. The folds don't depend on
+    each other, so all are fitted at the same time.
     """
     feats = build_features(df, fill="none", segment_rows=segment_rows).drop("city_target_enc")
     feats = materialize(backtest.assign_folds(feats, n_splits), "folds")
-    parts = []
-    for fold in range(1, n_splits + 1):
+
+    def validate(fold: int) -> DataFrame:
         train, val = feats.where(F.col("fold") < fold), feats.where(F.col("fold") == fold)
         encoding = fit_target_encoding(train)
         model = DemandForecaster(**model_options).fit(
             apply_target_encoding(train, encoding), intervals=False
         )
         scored = model.predict(apply_target_encoding(val, model.encoding))
-        parts.append(
-            scored.select(
-                "fold",
-                "date",
-                "city",
-                "orders",
-                F.col("pred_orders").alias("pred_model"),
-                F.coalesce("orders_lag_7", F.lit(0.0)).alias("pred_baseline"),
-            )
+        return scored.select(
+            "fold",
+            "date",
+            "city",
+            "orders",
+            F.col("pred_orders").alias("pred_model"),
+            F.coalesce("orders_lag_7", F.lit(0.0)).alias("pred_baseline"),
         )
+
+    with ThreadPool(n_splits) as pool:
+        parts = pool.map(validate, range(1, n_splits + 1))
     return materialize(reduce(DataFrame.unionByName, parts), "fold-predictions")
 
 
@@ -80,6 +85,8 @@ class JobResult:
     detector: anomaly.HybridDetector
     summary: DataFrame
     evaluation: DataFrame | None
+    drift: DataFrame
+    card: DataFrame
     paths: dict[str, str] = field(default_factory=dict)
 
 
@@ -90,9 +97,19 @@ def run_daily_job(
     labels_path: str | None = None,
     n_splits: int = SETTINGS.folds,
     as_of: dt.date | None = None,
+    segment_rows: int | None = None,
     **model_options,
 ) -> JobResult:
-    """Load and validate, build features, backtest, fit, detect, evaluate; all artefacts below ``out_dir``."""
+    """Load and validate, build features, backtest, fit, detect, evaluate; all artefacts below ``out_dir``.
+
+    The forecaster learns from features that look back only; the stored feature table is the filled one.
+    The detector learns from the residuals of the backtest, which the models had not seen. Drift compares
+    the newest 90 days with the days before, and the rolling error of the backtest with its alarm.
+
+    Args:
+        segment_rows: run row windows per segment of that many rows instead of per series; for panels
+            with series too long for one task.
+    """
     out = out_dir.rstrip("/")
     paths = {
         "features": f"{out}/features.parquet",
@@ -100,25 +117,34 @@ def run_daily_job(
         "forecaster": f"{out}/forecaster",
         "detector": f"{out}/detector",
         "scored": f"{out}/scored.parquet",
+        "drift": f"{out}/drift.parquet",
+        "card": f"{out}/model_card.parquet",
     }
     orders = materialize(panel_io.read_orders(spark, orders_path, as_of), "orders")
-    segment_rows = rows_per_segment(orders)
     panel_io.write_features(build_features(orders, segment_rows=segment_rows), paths["features"])
-    feats = spark.read.parquet(paths["features"])
 
-    metrics = materialize(evaluate_walk_forward(orders, n_splits, segment_rows, **model_options), "metrics")
+    folds = walk_forward_predictions(orders, n_splits, segment_rows, **model_options)
+    metrics = materialize(backtest.fold_metrics(folds), "metrics")
     write_csv(metrics, paths["metrics"], single_file=True)
 
-    forecaster = DemandForecaster(segment_rows=segment_rows, **model_options).fit(feats)
+    forecaster = DemandForecaster(segment_rows=segment_rows, **model_options).fit(orders)
     forecaster.save(paths["forecaster"])
-    residuals = materialize(anomaly.add_residuals(forecaster.predict_intervals(feats)), "residuals")
-    detector = anomaly.HybridDetector().fit(residuals)
+    unseen = anomaly.add_residuals(folds.withColumnRenamed("pred_model", "pred_orders"))
+    detector = anomaly.HybridDetector().fit(unseen)
     detector.save(paths["detector"])
-    detector.transform(residuals).write.mode("overwrite").parquet(paths["scored"])
+    score_history(orders, forecaster, detector).write.mode("overwrite").parquet(paths["scored"])
+
+    newest = orders.agg(F.date_sub(F.max("date"), DRIFT_DAYS)).first()[0]
+    recent = F.col("date") > F.lit(newest)
+    psi = drift.population_stability(orders.where(recent), orders.where(~recent))
+    psi.write.mode("overwrite").parquet(paths["drift"])
+    card = reports.model_card(spark.read.parquet(paths["scored"]), age_days=0.0)
+    card.write.mode("overwrite").parquet(paths["card"])
 
     evaluation = None
     if labels_path is not None:
         labels = panel_io.read_labels(spark, labels_path)
         scored = spark.read.parquet(paths["scored"])
         evaluation = anomaly.evaluate_flags(anomaly.join_labels(scored, labels))
-    return JobResult(forecaster, detector, backtest.fold_summary(metrics), evaluation, paths)
+    drifted, card = spark.read.parquet(paths["drift"]), spark.read.parquet(paths["card"])
+    return JobResult(forecaster, detector, backtest.fold_summary(metrics), evaluation, drifted, card, paths)

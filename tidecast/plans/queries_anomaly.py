@@ -174,3 +174,38 @@ def hybrid_evaluate(spark, sf_dir):
     df = stored_residuals(spark, sf_dir)
     flagged = anomaly.resolve_flags(df, anomaly.HybridDetector().fit(df))
     return anomaly.evaluate_flags(anomaly.join_labels(flagged, labels(spark, sf_dir)))
+
+
+@query(
+    "detector_facts",
+    f"""with {SCORED}, n as (select count(*) as n from resid)
+select date, city, round(z_score, 6) as z_score, true as consistent from scored""",
+    python=True,
+)
+def detector_facts(spark, sf_dir):
+    """The z-score, and whether flag, severity and class of a row follow from its two signals."""
+    df = stored_residuals(spark, sf_dir)
+    out = anomaly.HybridDetector().fit(df).transform(df)
+    flag = (F.col("z_score") >= 2.5) | (F.col("forest_score") < 0)
+    severity = 0.6 * F.col("z_score") + 0.4 * F.greatest(F.lit(0.0), -10.0 * F.col("forest_score"))
+    kind = F.when(~flag, "normal").when(F.col("residuals") >= 0, "surge").otherwise("dip")
+    same = (F.col("is_anomaly") == flag) & (F.abs(severity - F.col("anomaly_score")) < 1e-9) & (F.col("anomaly_type") == kind)
+    return rounded(out.select("date", "city", "z_score", same.alias("consistent")), 6, "z_score")
+
+
+@query(
+    "forest_share",
+    f"""with {SCORED} select count(*) as n_rows, cast(ceil(0.01::double * (count(*) - 1)) as bigint) as most_flagged, true as within
+from resid""",
+    python=True,
+)
+def forest_share(spark, sf_dir):
+    """Rows that the forest flags against the contamination: no more than that percentile lets through."""
+    df = stored_residuals(spark, sf_dir)
+    detector = anomaly.HybridDetector(contamination=0.01).fit(df)
+    out = detector.forest.transform(df, "residuals").agg(
+        F.count("forest_score").alias("n_rows"), F.count_if(F.col("forest_score") < 0).alias("flagged")
+    )
+    most = F.ceil(F.lit(0.01) * (F.col("n_rows") - 1))
+    within = (F.col("flagged") <= most) & (F.col("flagged") > 0)
+    return out.select("n_rows", most.cast("bigint").alias("most_flagged"), within.alias("within"))

@@ -365,3 +365,28 @@ def pred_sanitize(spark, sf_dir):
         .otherwise(F.col("pred_orders") - 60)
     )
     return df.select("date", "city", finite_or_zero(raw).alias("pred"))
+
+
+@query("features_from_orders", BUILD_SQL)
+def features_from_orders(spark, sf_dir):
+    """Neither feature file is there: the features are built from the raw orders."""
+    base = scratch_path(spark, "orders")
+    orders_panel(spark, sf_dir).write.parquet(f"{base}/orders.parquet")
+    out = panel_io.read_features(spark, f"{base}/none.parquet", f"{base}/none.csv", f"{base}/orders.parquet")
+    return rounded(out.select("date", *[c for c in orders_panel(spark, sf_dir).columns if c != "date"], *FEATURE_COLUMNS), 6, *FLOATS)
+
+
+@query("lags_by_part", f"with {panel_sql('part')} select date, city, orders, {LAGS_SQL} from panel")
+def lags_by_part(spark, sf_dir):
+    """Lags of as many series as there are parts, so the panel grows with the data."""
+    return features.lag_features(orders_panel(spark, sf_dir, "part")).select("date", "city", "orders", *LAG_FEATURES)
+
+
+@query(
+    "build_features_supplier",
+    f"with {panel_sql('supplier')}, {features_sql()} select city, date, {', '.join(RAW_COLUMNS)}, "
+    f"{', '.join(f'round({c}, 6) as {c}' if c in FLOATS else c for c in FEATURE_COLUMNS)} from feats",
+)
+def build_features_supplier(spark, sf_dir):
+    """All features of as many series as there are suppliers, without the fill."""
+    return rounded(features.build_features(orders_panel(spark, sf_dir, "supplier"), fill="none"), 6, *FLOATS)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidecast.operators import anomaly, backtest, drift, metrics, planning, reports
-from tidecast.plans.catalog import PANEL, SCORED, labels, orders_panel, panel, query, rounded
+from tidecast.plans.catalog import PANEL, SCORED, labels, orders_panel, panel, panel_sql, query, rounded
 from tidecast.sources import exports
 
 ERRORS_SQL = """round(avg(abs(orders - pred_orders) / greatest(orders, 1) * 100), 6) as mape,
@@ -201,9 +201,9 @@ def perf_drift_history(spark, sf_dir):
     return rounded(out, 6, "rolling_mape")
 
 
-def _psi_sql(split: str) -> str:
+def _psi_sql(split: str, panel: str = PANEL) -> str:
     grid = ", ".join(f"{i / 10}" for i in range(11))
-    return f"""with {PANEL}, b as (select city, orders::double as x from panel where date < date '{split}'),
+    return f"""with {panel}, b as (select city, orders::double as x from panel where date < date '{split}'),
 n as (select city, orders::double as x from panel where date >= date '{split}'),
 e as (select city, list_sort(list_distinct(quantile_cont(x, [{grid}]))) as e, count(*) as nb from b group by 1),
 k as (select city, case when len(e) < 2 then 1 else len(e) - 1 end as bins, e, nb from e),
@@ -228,6 +228,16 @@ def psi_by_city(spark, sf_dir):
     return rounded(out, 6, "psi")
 
 
+@query("psi_by_part", _psi_sql("1999-01-01", panel_sql("part")))
+def psi_by_part(spark, sf_dir):
+    """The same for as many series as there are parts."""
+    df = orders_panel(spark, sf_dir, "part")
+    out = drift.population_stability(
+        df.where(F.col("date") >= "1999-01-01"), df.where(F.col("date") < "1999-01-01")
+    )
+    return rounded(out, 6, "psi")
+
+
 HORIZON_SQL = f"""{SCORED}, horizon as (select date, city, pred_orders, round(pred_orders * 0.8, 4) as pred_p10,
   round(pred_orders * (1 + (0.1 + (orders % 4) * 0.1)), 4) as pred_p90 from resid)"""
 

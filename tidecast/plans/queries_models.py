@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidecast.config import FEATURE_COLUMNS, WEATHER_ATTRIBUTION_FEATURES
-from tidecast.operators import additive, anomaly, explain, forecast, metrics, registry, trees
+from tidecast.operators import additive, anomaly, backtest, explain, forecast, metrics, registry, trees
 from tidecast.operators.features import build_features
 from tidecast.plans import jobs
 from tidecast.plans.catalog import PANEL, SCORED, orders_panel, panel, query, rounded
@@ -17,8 +18,6 @@ from tidecast.sources import panel as panel_io
 from tidecast.sources import weather
 from tidecast.sources.requests import parse_requests, request_features
 
-#: Boosting rounds of the registered queries; the library's own default is 100.
-ROUNDS = 20
 _FITTED: dict[tuple[str, str], forecast.DemandForecaster] = {}
 
 
@@ -26,7 +25,7 @@ def fitted(spark, sf_dir) -> forecast.DemandForecaster:
     """One forecaster per session and data folder, shared by the queries below."""
     where = (spark.sparkContext.applicationId, sf_dir)
     if where not in _FITTED:
-        _FITTED[where] = forecast.DemandForecaster(rounds=ROUNDS).fit(orders_panel(spark, sf_dir))
+        _FITTED[where] = forecast.DemandForecaster().fit(orders_panel(spark, sf_dir))
     return _FITTED[where]
 
 
@@ -252,7 +251,7 @@ def predict_intervals(spark, sf_dir):
 def predict_requests(spark, sf_dir):
     """Requests for the week behind the history, scored with features from the stored tail."""
     model, history = fitted(spark, sf_dir), orders_panel(spark, sf_dir)
-    asked = model.horizon_rows(history, 1).select(
+    asked = model.horizon_rows(history, 7).select(
         F.to_json(F.struct(F.col("date").cast("string").alias("date"), "city", "temperature_c")).alias("request")
     )
     feats = request_features(parse_requests(asked), history, model.encoding)
@@ -276,7 +275,7 @@ def forecast_future(spark, sf_dir):
 @query("walk_forward_eval")
 def walk_forward_eval(spark, sf_dir):
     """Fold metrics of the ensemble against lag 7."""
-    return jobs.evaluate_walk_forward(orders_panel(spark, sf_dir), 5, rounds=ROUNDS)
+    return backtest.fold_metrics(validated(spark, sf_dir))
 
 
 @query("attributions")
@@ -343,7 +342,97 @@ def daily_job(spark, sf_dir):
     """The end-to-end job on the panel written as CSV; returns the label evaluation."""
     base = scratch_path(spark, "job")
     panel_io.write_orders_and_labels(panel(spark, sf_dir), f"{base}/orders", f"{base}/labels")
-    result = jobs.run_daily_job(
-        spark, f"{base}/orders", f"{base}/out", f"{base}/labels", n_splits=3, rounds=5
+    return jobs.run_daily_job(spark, f"{base}/orders", f"{base}/out", f"{base}/labels").evaluation
+
+
+# Facts about the fitted models that SQL can tell from the panel alone.
+_VALIDATED: dict[tuple[str, str], DataFrame] = {}
+
+
+def validated(spark, sf_dir) -> DataFrame:
+    """Validation rows of all folds, once per session and data folder."""
+    where = (spark.sparkContext.applicationId, sf_dir)
+    if where not in _VALIDATED:
+        _VALIDATED[where] = jobs.walk_forward_predictions(orders_panel(spark, sf_dir))
+    return _VALIDATED[where]
+
+
+@query(
+    "walk_forward_baseline",
+    f"""with {PANEL}, dates as (select distinct date from panel),
+ranked as (select date, row_number() over (order by date) as i, count(*) over () as n from dates),
+folded as (select date, 5 - cast(floor((n - i) / floor(n / 6)) as bigint) as fold from ranked),
+naive as (select p.date, city, orders, coalesce(lag(orders, 7) over (partition by city order by p.date), 0)::double as pred,
+    fold from panel p join folded using (date))
+select fold::int as fold, min(date) as val_start, max(date) as val_end, count(*) as n_rows,
+  round(avg(abs(orders - pred) / greatest(orders, 1) * 100), 6) as mape_baseline,
+  round(sqrt(avg((orders - pred) * (orders - pred))), 6) as rmse_baseline
+from naive where fold > 0 group by 1""",
+    python=True,
+)
+def walk_forward_baseline(spark, sf_dir):
+    """Rows that each fold validates, and the baseline's errors on them, out of the validation table."""
+    err = F.col("orders") - F.col("pred_baseline")
+    out = validated(spark, sf_dir).where("pred_model is not null and pred_model >= 0").groupBy("fold").agg(
+        F.min("date").alias("val_start"),
+        F.max("date").alias("val_end"),
+        F.count("*").alias("n_rows"),
+        F.avg(metrics.absolute_percentage_error(pred="pred_baseline")).alias("mape_baseline"),
+        F.sqrt(F.avg(err * err)).alias("rmse_baseline"),
+    )
+    return rounded(out, 6, "mape_baseline", "rmse_baseline")
+
+
+@query(
+    "attribution_sums",
+    f"with {PANEL} select date, city, {len(FEATURE_COLUMNS)}::bigint as n_features, true as adds_up from panel",
+    python=True,
+)
+def attribution_sums(spark, sf_dir):
+    """Whether base value and attributions of a row add up to its tree prediction."""
+    rows = attributions(spark, sf_dir).groupBy("date", "city").agg(
+        F.count("attribution").alias("n_features"),
+        (F.sum("attribution") + F.first("base_value") - F.first("tree_pred")).alias("gap"),
     )
-    return result.evaluation
+    return rows.select("date", "city", "n_features", (F.abs("gap") < 1e-3).alias("adds_up"))
+
+
+@query(
+    "interval_facts",
+    f"with {PANEL} select date, city, orders, true as ordered, true as blended from panel",
+    python=True,
+)
+def interval_facts(spark, sf_dir):
+    """Whether the bands enclose the mean, and the mean is the weighted one of its parts."""
+    out = fitted(spark, sf_dir).predict_intervals(orders_panel(spark, sf_dir))
+    mean = F.greatest(0.6 * F.col("tree_pred") + 0.4 * F.col("additive_pred"), F.lit(0.0))
+    inside = (F.col("pred_p10") <= F.col("pred_orders")) & (F.col("pred_orders") <= F.col("pred_p90")) & (F.col("pred_p10") >= 0)
+    return out.select("date", "city", "orders", inside.alias("ordered"), (F.abs(mean - F.col("pred_orders")) < 1e-9).alias("blended"))
+
+
+@query(
+    "forecast_grid",
+    f"""with {PANEL}, ends as (select city, max(date) as last, avg(temperature_c) as t from panel group by 1)
+select city, cast(last + cast(d as integer) as date) as date, round(t, 6) as temperature_c, true as known
+from ends, range(1, 121) as days(d)""",
+    python=True,
+)
+def forecast_grid(spark, sf_dir):
+    """The rows of a horizon of 120 days, each with a prediction."""
+    out = fitted(spark, sf_dir).forecast_future(orders_panel(spark, sf_dir), 120)
+    known = F.col("pred_orders").isNotNull() & ~F.isnan("pred_orders") & (F.col("pred_p10") <= F.col("pred_p90"))
+    return rounded(out.select("city", "date", "temperature_c", known.alias("known")), 6, "temperature_c")
+
+
+@query(
+    "request_rows",
+    f"""with {PANEL}, ends as (select city, max(date) as last,
+    max_by(orders, date)::double as y from panel group by 1)
+select city, cast(last + cast(d as integer) as date) as date, y as orders_lag_1, count(*) as n, true as scored
+from ends, range(1, 8) as days(d) group by 1, 2, 3""",
+    python=True,
+)
+def request_rows(spark, sf_dir):
+    """One scored row for each request of the week."""
+    out = predict_requests(spark, sf_dir).groupBy("city", "date", "orders_lag_1")
+    return out.agg(F.count("*").alias("n"), F.bool_and(F.col("pred_orders") >= 0).alias("scored"))

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tidecast.operators import quality
-from tidecast.operators.features import last_rows
+from tidecast.operators.features import fit_target_encoding, last_rows
 from tidecast.plans.catalog import PANEL, labels, orders_panel, panel, query, rounded, table
 from tidecast.session import scratch_path
 from tidecast.sources import panel as panel_io
@@ -31,7 +31,7 @@ def scan_labels(spark, sf_dir):
     return panel_io.read_labels(spark, path)
 
 
-@query("panel_daily_sum", f"with {PANEL} select date, city, orders0 as orders from base")
+@query("panel_daily_sum", f"with {PANEL} select date, city, orders from base")
 def panel_daily_sum(spark, sf_dir):
     """Raw facts to the daily grain."""
     places = (
@@ -440,3 +440,46 @@ def union_history_future(spark, sf_dir):
         "date", F.explode(F.sequence(F.date_add("last", 1), F.date_add("last", 14)))
     ).drop("last")
     return panel_io.union_history_future(history, future)
+
+
+@query("read_orders", f"with {PANEL} select * exclude (is_anomaly) from panel")
+def read_orders(spark, sf_dir):
+    """Orders and labels written as two CSV files; the orders read back, validated and typed."""
+    base = scratch_path(spark, "csv")
+    panel_io.write_orders_and_labels(panel(spark, sf_dir), f"{base}/orders", f"{base}/labels")
+    out = panel_io.read_orders(spark, f"{base}/orders", as_of=dt.date(2100, 1, 1))
+    return out.select(*orders_panel(spark, sf_dir).columns)
+
+
+@query("promo_file", f"with {PROMO_SQL} select * from cal")
+def promo_file(spark, sf_dir):
+    """The promotion calendar written as JSON lines and read back."""
+    path = scratch_path(spark, "promos")
+    promos.save_calendar(promo_calendar(spark, sf_dir), path)
+    return promos.load_calendar(spark, path)
+
+
+@query(
+    "request_features",
+    f"""with {PANEL}, ends as (select city, max(date) as last, avg(orders) as enc from panel group by 1),
+asked as (select city, cast(last + cast(d as integer) as date) as date, enc, k
+  from ends, (values (1), (1), (3), (7)) as days(d), (values (0)) as ks(k)),
+tail as (select city, orders::double as y, row_number() over (partition by city order by date desc) as n from panel),
+agg as (select city, max(case when n = 1 then y end) as l1, max(case when n = 7 then y end) as l7,
+    max(case when n = 28 then y end) as l28, avg(case when n <= 7 then y end) as m7,
+    stddev_samp(case when n <= 28 then y end) as s28, max(case when n <= 14 then y end) as x14 from tail group by 1)
+select a.date, a.city, l1 as orders_lag_1, l7 as orders_lag_7, l28 as orders_lag_28, round(m7, 6) as rolling_mean_7,
+  round(s28, 6) as rolling_std_28, x14 as rolling_max_14, round(enc, 6) as city_target_enc,
+  round(l1 / (l7 + 1.0), 6) as lag_7_ratio
+from asked a join agg using (city)""",
+)
+def request_features(spark, sf_dir):
+    """Requests for several days behind the history, one of them twice: a row for each."""
+    history = orders_panel(spark, sf_dir)
+    ends = history.groupBy("city").agg(F.max("date").alias("last"))
+    days = ends.select("city", F.explode(F.array(*[F.date_add("last", d) for d in (1, 1, 3, 7)])).alias("date"))
+    asked = requests.parse_requests(days.select(F.to_json(F.struct(F.col("date").cast("string").alias("date"), "city")).alias("request")))
+    out = requests.request_features(asked, history, fit_target_encoding(history))
+    names = ("rolling_mean_7", "rolling_std_28", "city_target_enc", "lag_7_ratio")
+    lags = ("orders_lag_1", "orders_lag_7", "orders_lag_28", "rolling_max_14")
+    return rounded(out.select("date", "city", *lags, *names), 6, *names)

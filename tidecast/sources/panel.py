@@ -128,7 +128,3 @@ def union_history_future(history: DataFrame, future: DataFrame) -> DataFrame:
     return history.withColumn("is_future", F.lit(False)).unionByName(
         future.withColumn("is_future", F.lit(True)), allowMissingColumns=True
     )
-
-
-def required_only(df: DataFrame) -> DataFrame:
-    return df.select(*REQUIRED_COLUMNS)

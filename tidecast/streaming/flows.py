@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -102,21 +103,27 @@ def streak_alerts(
 ) -> DataFrame:
     """One row for every day that completes or prolongs a streak of values above the threshold.
 
-    The input has one row per series and day, so a batch gives a group at most its new days. Rows of
-    a series have to arrive in date order across batches.
+    The input has one row per series and day, so a batch gives a group at most its new days. The state
+    keeps the last day and the streak that it ended with; a day that is not behind that one comes too
+    late to count and is dropped, so the order in which batches bring days can't make a false streak.
     """
 
     def follow(
         group: tuple, batches: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        run = state.get[0] if state.exists else 0
+        last, run = state.get if state.exists else (None, 0)
         rows = pd.concat(list(batches)).sort_values(ts)
-        runs = []
-        for breach in (rows[value] > threshold).to_numpy():
-            run = run + 1 if breach else 0
-            runs.append(run)
-        state.update((run,))
-        rows = rows.assign(streak=runs)
+        if last is not None:
+            rows = rows[pd.to_datetime(rows[ts]) > pd.Timestamp(last)]
+        if rows.empty:
+            return
+        breach = (rows[value] > threshold).to_numpy()
+        # Days since the latest day without a breach; before the first one the old streak goes on.
+        at = np.arange(len(breach))
+        calm = np.maximum.accumulate(np.where(breach, -1, at))
+        runs = np.where(calm < 0, at + 1 + run, at - calm)
+        state.update((pd.Timestamp(rows[ts].iloc[-1]).date(), int(runs[-1])))
+        rows = rows.assign(streak=runs.astype("int32"))
         yield rows.loc[rows["streak"] >= streak, [key, ts, value, "streak"]]
 
     return (
@@ -125,7 +132,7 @@ def streak_alerts(
         .applyInPandasWithState(
             follow,
             f"`{key}` string, `{ts}` date, `{value}` double, streak int",
-            "streak int",
+            "last date, streak int",
             "append",
             GroupStateTimeout.NoTimeout,
         )
