@@ -2,8 +2,11 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pyarrow as pa
+
 from tests.llm import brute
-from tidecast.llm import ngram_join
+from tidecast.llm import ngram_join, words
 from tidecast.llm.components import components
 
 
@@ -63,12 +66,26 @@ def test_one_of_each_group_stays_with_all_columns(docs, rows):
     assert kept.where("doc_id is null").count() == 1
 
 
-def test_slack_and_deletions_are_allocated_by_cost():
+def test_segments_are_allocated_by_cost():
     plan = ngram_join.bands(85, 10_000)
-    assert plan[1].deletion and plan[1].segments == 1
-    for band in plan[2:]:
+    assert any(b.deletion for b in plan) and not all(b.deletion for b in plan)
+    for band in plan:
         most = 15 * 2 * band.high // 185
         assert band.segments + band.deletion == most + 1 + band.slack
+        assert band.deletion or max(band.rare, band.common) <= band.slack
+
+
+def test_common_elements_change_no_result(spark, docs, rows, monkeypatch):
+    """Whatever counts as common, the components are the same."""
+    expected = ordered(brute.components(rows))
+    for items in (lambda *a: np.zeros(0, np.uint64), lambda *a: np.sort(np.concatenate([all_items(rows)[::2]]))):
+        monkeypatch.setattr(ngram_join, "common_items", items)
+        assert ordered(tuple(r) for r in ngram_join.join_components(docs).collect()) == expected
+
+
+def all_items(rows):
+    data, offsets = words.buffers(pa.array([r[1] for r in rows]))
+    return np.unique(ngram_join.shingle_sets(data, offsets, 4)[0])
 
 
 def test_components_of_chains(spark):

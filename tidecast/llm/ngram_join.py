@@ -1,20 +1,26 @@
 """Exact Jaccard self-join of word n-gram sets by partitioning the universe of n-grams.
 
 Two sets whose Jaccard similarity reaches the threshold differ in at most ``U`` elements, where ``U``
-follows from their sizes. Hashing deals the elements of a set into ``U + 1 + E`` segments, so linked
-sets agree in at least ``E + 1`` of them. Sizes fall into bands; a set emits one signature for each
-segment of its own band, and of the next band if a larger partner may be there.
-
+follows from their sizes. The elements of a set are dealt into ``U + 1 + E`` segments, so linked sets
+agree in at least ``E + 1`` of them. Sizes fall into bands; a set emits one signature for each segment of
+its own band, and of the next band if a larger partner may be there.
+
+* Universe. N-grams that many documents have (common passages, large groups of near copies) go to
+  segments of their own, the others to the rest, both by hash. Which n-grams are common is counted on a
+  sample; it moves work between segments and has no influence on the result.
+* Subsets. A set may leave out ``E`` segments: empty ones first, then those whose signatures are in the
+  largest buckets, by one order for all sets. Of the ``E + 1`` or more segments that two linked sets agree
+  in, the cheapest is left out by neither. Sets that share only a passage leave its segments out and
+  don't meet; copies of one text leave the empty ones out and meet in the common ones.
 * Allocation. A cost model weighs signatures against chance agreements and gives every band its number
-  of segments, its slack ``E`` and whether its first segment also emits its one-deletion neighbourhood
-  (which then counts for two segments); the latter is what short sets get.
-* Subsets. A set may leave out its ``E`` dearest signatures, that is those in the largest buckets, by one
-  order for all sets (empty segments first): of the ``E + 1`` or more signatures that two linked sets share, the cheapest is
-  left out by neither. So common passages and empty segments make no candidates.
+  of segments and its slack ``E``. Bands of short sets may instead get fewer segments, of which the first
+  also emits its one-deletion neighbourhood and then counts for two.
 * Equal sets are one class throughout; classes are joined, not documents.
 * Large buckets. Candidates are verified in stars around the most typical class first. What has become
-  connected needs no more comparison, and only pairs of classes that share a signature but are not yet
-  connected are verified one by one. This finds the same components as comparing all pairs.
+  connected needs no more comparison. Small buckets then compare the pairs that are not connected yet. In
+  large ones classes are compared by their differences from the group's consensus: two classes can only
+  link if both are close to it, and then to the closest of all, or if they share rare differences. This
+  finds the same components as comparing all pairs.
 
 Verification compares the whole sets of 64-bit n-gram hashes.
 
@@ -42,24 +48,38 @@ from tidecast.llm.staging import small, stage
 SLICE_BYTES = 2_000_000
 #: Ratio of the largest sizes of neighbouring bands.
 BAND_RATIO = 1.4
-#: Share of its n-grams that a set is taken to have in common with unrelated ones, for the cost model.
-COMMON = 0.5
+#: N-grams that a set is taken to share with unrelated ones, beside a tenth of all, for the cost model.
+PASSAGE = 50
 #: What comparing two sets costs, in signatures.
 PAIR_COST = 4
 #: Rows up to which the ids of the classes to be verified are broadcast.
 BROADCAST_CLASSES = 200_000
 STAR_ROUNDS = 3
+#: Classes in a bucket up to which all pairs are compared; larger ones are compared by their edits.
+SMALL_BUCKET = 32
+#: Width of a level of ``f``.
+LEVEL = 2
+#: Groups up to which the consensus sets are broadcast.
+BROADCAST_HUBS = 500
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
 @dataclass(frozen=True)
 class Band:
-    """Sizes up to ``high``: segments, slack, and whether segment 0 has a one-deletion neighbourhood."""
+    """Sizes up to ``high``: segments of rare and of common elements, and the slack.
+
+    With ``deletion`` segment 0 has a one-deletion neighbourhood, and common elements are like others.
+    """
 
     high: int
-    segments: int
+    rare: int
+    common: int
     slack: int
-    deletion: bool
+    deletion: bool = False
+
+    @property
+    def segments(self) -> int:
+        return self.rare + self.common
 
 
 def bands(percent: int, many: int, largest: int = 1 << 31) -> list[Band]:
@@ -68,16 +88,17 @@ def bands(percent: int, many: int, largest: int = 1 << 31) -> list[Band]:
     while True:
         most = (100 - percent) * 2 * high // (100 + percent)
         size = 0.85 * high
+        own = size * max(0.3, 0.9 - PASSAGE / size)
         options = []
-        for slack in range(min(2, most), max(3, most // 2), max(1, most // 32)):
-            m = most + 1 + slack
-            # Segments agree if neither set has an element of its own there.
-            chance = math.exp(-2 * (1 - COMMON) * size / m)
-            options.append((m + PAIR_COST * many * _at_least(slack + 1, m, chance), Band(high, m, slack, False)))
+        for extra in sorted({0, *(-(-(most + 1) * k // 8) for k in (1, 2, 3, 4))}):
+            # All segments of either kind can be left out: by sets that have only elements of the other.
+            band = Band(high, most + 1 + extra, most + 1, most + 1 + extra)
+            # Segments of rare elements agree if neither set has an element of its own there.
+            chance = math.exp(-2 * own / band.rare)
+            options.append((band.rare + PAIR_COST * many * _at_least(extra + 1, band.rare, chance), band))
         if 1 <= most <= 2:
-            m = most
-            chance = math.exp(-2 * (1 - COMMON) * size / m) * (1 + size / m)
-            options.append((m + 1 + size / m + PAIR_COST * many * _at_least(1, m, chance), Band(high, m, 0, True)))
+            chance = math.exp(-2 * own / most) * (1 + size / most)
+            options.append((most + 1 + size / most + PAIR_COST * many * _at_least(1, most, chance), Band(high, most, 0, 0, True)))
         out.append(min(options, key=lambda o: o[0])[1])
         if high >= largest:
             return out
@@ -85,9 +106,34 @@ def bands(percent: int, many: int, largest: int = 1 << 31) -> list[Band]:
 
 
 def _at_least(k: int, m: int, chance: float) -> float:
-    """A bound on the chance of k or more agreements among m segments."""
-    logs = math.lgamma(m + 1) - math.lgamma(k + 1) - math.lgamma(m - k + 1) + k * math.log(chance)
-    return math.exp(min(0.0, logs))
+    """A bound on the chance of k or more agreements among m segments (Chernoff)."""
+    x = min(k / m, 1 - 1e-9)
+    if chance >= x:
+        return 1.0
+    chance = max(chance, 1e-300)
+    return math.exp(-m * (x * math.log(x / chance) + (1 - x) * math.log((1 - x) / (1 - chance))))
+
+
+def common_items(docs: DataFrame, n: int, doc_id: str, text: str, sample: int = 8000, least: int = 6, most: int = 500_000) -> np.ndarray:
+    """Hashes of n-grams that ``least`` or more of about ``sample`` documents have, sorted.
+
+    Only costs depend on it. Of very many, the ``most`` frequent are taken.
+    """
+    total = max(1, docs.count())
+    share = min(1.0, max(sample, total / 500) / total)
+    picked = F.pmod(F.xxhash64(doc_id, F.lit(17)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = words.buffers(batch.column(0))
+            for low, high in words.slices(offsets, SLICE_BYTES):
+                sets, _ = shingle_sets(data[offsets[low] : offsets[high]], offsets[low : high + 1], n)
+                items, count = np.unique(sets, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(_signed(items)), pa.array(count)], names=["item", "n"])
+
+    counts = docs.where(picked).select(F.col(text)).mapInArrow(run, "item long, n long").groupBy("item").agg(F.sum("n").alias("n"))
+    rows = counts.where(F.col("n") >= least).orderBy(F.desc("n"), "item").limit(most).select("item").collect()
+    return np.sort(np.array([r.item for r in rows], np.int64).view(np.uint64))
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -130,7 +176,7 @@ def _in_band(values: np.ndarray, number: int) -> np.ndarray:
     return words.mix(values) & np.uint64(2**64 - 64) | np.uint64(number)
 
 
-def signatures(sets: np.ndarray, bounds: np.ndarray, plan: list[Band], percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def signatures(sets: np.ndarray, bounds: np.ndarray, plan: list[Band], percent: int, common: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Signatures of each set in its own band, and in the next one if a partner may be there, with bounds.
 
     Also how many of them it may leave out in either band; empty segments have used up some of the slack.
@@ -139,6 +185,9 @@ def signatures(sets: np.ndarray, bounds: np.ndarray, plan: list[Band], percent:
     spare = np.zeros((len(sizes), 2), np.int32)
     highs = np.array([b.high for b in plan])
     own = np.searchsorted(highs, sizes)
+    is_common = np.zeros(len(sets), dtype=bool)
+    if len(common):
+        is_common = common[np.minimum(np.searchsorted(common, sets), len(common) - 1)] == sets
     keys, owners = [], []
     for step in (0, 1):
         for number in np.unique(own + step).tolist():
@@ -154,7 +203,11 @@ def signatures(sets: np.ndarray, bounds: np.ndarray, plan: list[Band], percent:
             n = sizes[rows]
             at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(bounds[rows], n)
             element = words.mix(sets[at] ^ np.uint64(0x5851F42D4C957F2D + number))
-            segment = (element >> np.uint64(33)).astype(np.int64) % band.segments
+            segment = (element >> np.uint64(33)).astype(np.int64)
+            if band.common:
+                segment = np.where(is_common[at], band.rare + segment % band.common, segment % band.rare)
+            else:
+                segment %= band.rare
             element = words.mix(element)
             slot = np.repeat(np.arange(len(rows)) * band.segments, n) + segment
             total = np.zeros(len(rows) * band.segments, np.uint64)
@@ -183,7 +236,7 @@ def _signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
-def sketch(docs: DataFrame, n: int, percent: int, plan: list[Band], doc_id: str, text: str) -> DataFrame:
+def sketch(docs: DataFrame, n: int, percent: int, plan: list[Band], common: np.ndarray, doc_id: str, text: str) -> DataFrame:
     """``doc_id, n_shingles, key, key2, spare, spare_next, signatures`` of every document."""
     schema = T.StructType([
         T.StructField("doc_id", docs.schema[doc_id].dataType), T.StructField("n_shingles", T.LongType()),
@@ -198,7 +251,7 @@ def sketch(docs: DataFrame, n: int, percent: int, plan: list[Band], doc_id: str,
             for low, high in words.slices(offsets, SLICE_BYTES):
                 sets, bounds = shingle_sets(data[offsets[low] : offsets[high]], offsets[low : high + 1], n)
                 key, key2 = class_keys(sets, bounds)
-                signs, at, spare = signatures(sets, bounds, plan, percent)
+                signs, at, spare = signatures(sets, bounds, plan, percent, common)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(low, high - low), pa.array(np.diff(bounds)), pa.array(_signed(key)), pa.array(_signed(key2)),
@@ -265,7 +318,7 @@ def members(sketches: DataFrame, plan: list[Band]) -> DataFrame:
     shared = stage(rows.where("_low != _high").select("bucket", "key").distinct(), "shared")
     sizes = own.select("key", "n_shingles", "spare", "spare_next").distinct()
     band = F.col("bucket").bitwiseAND(63).cast("int")
-    lows = F.array(*[F.lit(b.high) for b in [Band(0, 0, 0, False), *plan[:-1]]])
+    lows = F.array(*[F.lit(b.high) for b in [Band(0, 0, 0, 0), *plan[:-1]]])
     rows = shared.join(sizes, "key").withColumn("band", band)
     rows = rows.withColumn("many", F.count("*").over(by)).withColumn("largest", F.max("n_shingles").over(by))
     slack = F.when(F.col("n_shingles") > F.get(lows, "band"), F.col("spare")).otherwise(F.col("spare_next"))
@@ -287,7 +340,8 @@ def join_components(
     that can be reached by links.
     """
     plan = bands(percent, max(1000, docs.count() // 16))
-    sketches = stage(sketch(docs, n, percent, plan, doc_id, text), "sketches")
+    common = common_items(docs, n, doc_id, text)
+    sketches = stage(sketch(docs, n, percent, plan, common, doc_id, text), "sketches")
     labels = linked_classes(docs, sketches, plan, n, percent, doc_id, text)
     classes = sketches.drop("signatures", "spare", "spare_next").join(labels.select(F.col("node").alias("key"), "component"), "key", "left")
     # Without links a class is its own component; the second hash and the size keep chance equals apart.
@@ -330,30 +384,43 @@ def linked_classes(docs: DataFrame, sketches: DataFrame, plan: list[Band], n: in
     sets = stage(class_sets(docs, one, n, doc_id, text), "sets")
     tested = links = labels = None
     open_rows = rows.withColumn("part", F.col("key"))
-    turn = 0
+    # Stars around typical classes, then around the middles of large buckets, then whatever pairs are left.
+    turn, last = 0, STAR_ROUNDS + 1
     while True:
-        last = turn == STAR_ROUNDS
-        pairs = _across(open_rows) if last else _stars(open_rows, turn)
-        if tested is not None:
-            pairs = pairs.join(tested, ["u", "v"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        found = stage(verify(pairs, sets, percent), "verified")
-        links = found if links is None else links.unionByName(found)
-        none = found.isEmpty()
+        if turn < STAR_ROUNDS:
+            pairs = _stars(open_rows, turn)
+        else:
+            large = stage(_large(open_rows), "large")
+            edits = None if large.isEmpty() else stage(_edits(large, sets, percent), "edits")
+            if turn == STAR_ROUNDS:
+                pairs = _middles(edits) if edits is not None else None
+            else:
+                pairs = _across(_small(open_rows))
+                if edits is not None:
+                    pairs = pairs.unionByName(_sharing_edits(edits)).distinct()
+        none = pairs is None
+        if pairs is not None:
+            if tested is not None:
+                pairs = pairs.join(tested, ["u", "v"], "left_anti")
+            pairs = stage(pairs, "pairs")
+            tested = pairs if tested is None else tested.unionByName(pairs)
+            found = stage(verify(pairs, sets, percent), "verified")
+            links = found if links is None else links.unionByName(found)
+            none = found.isEmpty()
         if labels is None or not none:
             labels = stage(components(links), "labels")
-        if last:
+        if turn == last:
             return labels
         parts = rows.join(labels.select(F.col("node").alias("key"), "component"), "key", "left")
         parts = parts.withColumn("part", F.coalesce("component", "key"))
         by = Window.partitionBy("bucket")
         several = F.min("part").over(by) != F.max("part").over(by)
-        open_rows = stage(parts.withColumn("_open", several).where("_open").select("bucket", "key", "weight", "part"), "open")
+        open_rows = parts.withColumn("_open", several).where("_open").select("bucket", "key", "weight", "part")
+        open_rows = stage(open_rows.withColumn("many", F.count("*").over(by)), "open")
         if open_rows.isEmpty():
             return labels
-        # Stars that connect nothing any more leave the rest to the pairs.
-        turn = STAR_ROUNDS if none else turn + 1
+        # Stars that connect nothing any more leave the rest to what follows.
+        turn = STAR_ROUNDS if none and turn < STAR_ROUNDS else turn + 1
 
 
 def _stars(rows: DataFrame, turn: int) -> DataFrame:
@@ -370,8 +437,94 @@ def _stars(rows: DataFrame, turn: int) -> DataFrame:
     return pairs.select(F.least("key", "_m.key").alias("u"), F.greatest("key", "_m.key").alias("v")).distinct()
 
 
+def _small(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col("many") <= SMALL_BUCKET)
+
+
 def _across(rows: DataFrame) -> DataFrame:
-    """All pairs of classes that share a bucket but are not connected."""
+    """All pairs of classes that share one of these buckets but are not connected."""
+    rows = rows.select("bucket", "key", "part")
     other = rows.select("bucket", F.col("key").alias("v"), F.col("part").alias("other"))
     pairs = rows.select("bucket", F.col("key").alias("u"), "part").join(other, "bucket").where("u < v and part != other")
     return pairs.select("u", "v").distinct()
+
+
+def _large(rows: DataFrame) -> DataFrame:
+    """``hub, key, part``: members of large buckets, grouped by the bucket's most typical class."""
+    rows = rows.where(F.col("many") > SMALL_BUCKET)
+    hub = F.max(F.struct("weight", "key")).over(Window.partitionBy("bucket"))["key"]
+    return rows.select(hub.alias("hub"), "key", "part").distinct()
+
+
+def _edits(large: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``hub, key, part, items, f``: how each class differs from the consensus of its group.
+
+    The consensus holds what more than half of the group has. ``items`` are the elements that a class has
+    beyond it, and the complements of those that it lacks. Two classes differ in as many elements as they
+    have edits, less twice the edits that they share; so with ``f`` = edits - size * (1 - t) / (1 + t)
+    they link if and only if they share ``(f + f') / 2`` edits or more.
+    """
+    members_ = large.join(sets, "key")
+
+    def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hubs = batch.column(0).to_numpy()
+            for hub in np.unique(hubs).tolist():
+                mine = [np.frombuffer(batch.column(1)[i].as_buffer(), np.int64) for i in np.flatnonzero(hubs == hub).tolist()]
+                item, n = np.unique(np.concatenate(mine), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(item), hub)), pa.array(item), pa.array(n)], names=["hub", "item", "n"])
+
+    counts = members_.select("hub", "items").mapInArrow(elements, "hub long, item long, n long").groupBy("hub", "item").agg(F.sum("n").alias("n"))
+    sizes = large.groupBy("hub").agg(F.count("*").alias("many"))
+    usual = counts.join(sizes, "hub").where(2 * F.col("n") > F.col("many")).groupBy("hub").agg(F.collect_list("item").alias("usual"))
+    usual = stage(usual, "consensus")
+    side = F.broadcast(usual) if small(usual, BROADCAST_HUBS) else usual
+    rows = members_.join(side, "hub", "left").select("hub", "key", "part", "items", "usual")
+
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out, f = [], []
+            for own, common in zip(batch.column(3), batch.column(4)):
+                x = np.frombuffer(own.as_buffer(), np.int64)
+                y = common.values.to_numpy() if common.is_valid else np.zeros(0, np.int64)
+                edit = np.concatenate([np.setdiff1d(x, y), ~np.setdiff1d(y, x)])
+                out.append(edit)
+                f.append(len(edit) - (100 - percent) * len(x) / (100 + percent))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array(out, pa.list_(pa.int64())), pa.array(f, pa.float64())], names=["hub", "key", "part", "items", "f"]
+            )
+
+    return rows.mapInArrow(differ, "hub long, key long, part long, items array<long>, f double")
+
+
+def _middles(edits: DataFrame) -> DataFrame:
+    """Pairs of each group's class of least ``f`` with the others.
+
+    If two classes link without sharing an edit (f + f' <= 0), both link with this one.
+    """
+    middle = F.min(F.struct("f", "key", "part")).over(Window.partitionBy("hub"))
+    pairs = edits.select("key", "part", "f", middle.alias("_m")).where((F.col("part") != F.col("_m.part")) & (F.col("f") + F.col("_m.f") <= 1e-6))
+    return pairs.select(F.least("key", "_m.key").alias("u"), F.greatest("key", "_m.key").alias("v")).distinct()
+
+
+def _sharing_edits(edits: DataFrame) -> DataFrame:
+    """Pairs of a group that share rare edits and are not connected.
+
+    Linked classes share at least ``(f + f') / 2`` edits, so of the edits of each, rarest first, all but
+    so many less one are enough to meet. Classes are put into levels of ``f``; a class meets those of its
+    own level and of every lower one with as few edits as that level allows.
+    """
+    rows = edits.withColumn("level", F.floor(F.col("f") / LEVEL).cast("long"))
+    spread = rows.select("hub", "key", F.posexplode("items").alias("_i", "item"))
+    spread = spread.withColumn("_n", F.count("*").over(Window.partitionBy("hub", "item")))
+    nth = F.row_number().over(Window.partitionBy("hub", "key").orderBy("_n", "item"))
+    spread = spread.select("hub", "key", "item", "_n", nth.alias("_nth")).where("_n > 1").drop("_n")
+    levels = rows.groupBy("hub").agg(F.collect_set("level").alias("levels"))
+    met = F.explode(F.filter("levels", lambda at: at <= F.col("level"))).alias("at")
+    asks = rows.join(levels, "hub").select("hub", "key", "part", "level", "f", F.size("items").alias("_m"), met)
+    need = F.greatest(F.lit(1), F.ceil((F.col("f") + F.col("at") * LEVEL) / 2 - 1e-6))
+    asks = asks.withColumn("_upto", F.col("_m") - need + 1).where("_upto > 0")
+    asks = asks.join(spread, ["hub", "key"]).where("_nth <= _upto").select("hub", "item", "at", "key", "part", "level")
+    own = asks.where("at = level").select("hub", "item", "at", F.col("key").alias("v"), F.col("part").alias("other"))
+    pairs = asks.join(own, ["hub", "item", "at"]).where("part != other and (level > at or key < v)")
+    return pairs.select(F.least("key", "v").alias("u"), F.greatest("key", "v").alias("v")).distinct()
