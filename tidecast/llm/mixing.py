@@ -23,7 +23,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_SOURCES = 20_000
 #: Queue buckets are prefixes of the shuffle key of so many hexadecimal digits.
 KEY_DIGITS = 3
-#: Equal slices of virtual time.
+#: Equal slices of virtual time up to 1; the logarithm of later times is cut alike, so there are few.
 TIME_SLICES = 4096
 
 
@@ -48,9 +48,9 @@ def targets(sizes: DataFrame, weights: tuple[float, ...], share: float, max_repe
     everything = Window.partitionBy()
     per = per.withColumn("_level", (F.sum("source_size").over(everything) * share - F.coalesce(F.sum("_limit").over(filled), F.lit(0.0)))
                          / (F.sum("_w").over(everything) - F.coalesce(F.sum("_w").over(filled), F.lit(0.0))))
-    open_ = F.when(F.col("_limit") > F.col("_level") * F.col("_w"), F.col("_level"))
-    per = per.withColumn("_stop", F.min(open_).over(everything))
-    target = F.least(F.col("_limit"), F.coalesce(F.col("_stop") * F.col("_w"), F.col("_limit")))
+    # The level rises with every source that its limit stops and falls after the first that it doesn't.
+    per = per.withColumn("_stop", F.max("_level").over(everything))
+    target = F.least(F.col("_limit"), F.col("_stop") * F.col("_w"))
     return per.select("source", "source_size", target.alias("target"), F.sum("source_size").over(everything).alias("_total"))
 
 
@@ -91,9 +91,10 @@ def queue(
     copies = queued.select("doc_id", "source", "size", "end", "target", "source_size", "_total",
                            F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1))).alias("repeat"))
     finish = (F.col("end") + F.col("repeat") * F.col("source_size")) / F.col("target")
-    copies = copies.withColumn("finish", finish).withColumn("_slice", F.floor(F.col("finish") * TIME_SLICES))
-    # No source passes time 1 before all reach their targets; what comes later by a slice is past the budget.
-    copies = copies.where(F.col("_slice") <= TIME_SLICES)
+    # At time 1 all sources have given their targets; the slices of later times get longer and longer.
+    late = TIME_SLICES + F.floor(F.log2(F.greatest(F.col("finish"), F.lit(1.0))) * TIME_SLICES)
+    slices = F.when(F.col("finish") < 1, F.floor(F.col("finish") * TIME_SLICES)).otherwise(late)
+    copies = copies.withColumn("finish", finish).withColumn("_slice", slices)
     copies = stage(copies, "copies")
     inside, before = running([], "_slice", ["finish", "source", "end", "doc_id"], "size")
     offsets = copies.groupBy("_slice").agg(F.sum("size").alias("_n")).select(F.col("_slice").alias("_t"), before.alias("_first"))

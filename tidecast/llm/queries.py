@@ -47,8 +47,8 @@ lev as (select *, (total * 1.5::double - coalesce(sum(lim) over (order by lim /
       rows between unbounded preceding and 1 preceding), 0::double))
     / (sum(w) over () - coalesce(sum(w) over (order by lim / w, source nulls last
       rows between unbounded preceding and 1 preceding), 0::double)) as lev from lim),
-stop as (select *, min(case when lim > lev * w then lev end) over () as stop from lev),
-targets as (select source, source_size, total, least(lim, coalesce(stop * w, lim)) as target from stop),
+stop as (select *, max(lev) over () as stop from lev),
+targets as (select source, source_size, total, least(lim, stop * w) as target from stop),
 every as (select s.doc_id, s.source, s.size, t.source_size, t.target, t.total
   from sizes s join targets t on s.source is not distinct from t.source),
 queued as (select *, md5(cast(doc_id as varchar) || ':7') as k from every where size > 0),
