@@ -60,7 +60,7 @@ def canonical_lines(text: Column) -> Column:
     for old, new in SPELLINGS:
         t = F.regexp_replace(t, rf"\b{old}\b", new)
     has = plain.rlike("\\b(" + "|".join(old for old, _ in SPELLINGS) + ")\\b")
-    return F.transform(F.split(F.when(has, t).otherwise(plain), "\n"), F.trim)
+    return F.transform(F.split(F.when(has, t).otherwise(plain), "\n"), lambda x: F.trim(x))
 
 
 def _whole(lines: Column) -> Column:
