@@ -10,7 +10,8 @@ Equal vectors are one point that knows its smallest ids; with ``k + 1`` of them
 ties go to smaller ids. Scores are inner products of the original vectors in double precision.
 
 Rows whose vector is null, zero, of another length than most, or holds a null or non-finite component,
-and rows without id, take no part. Rows that share a query's id count as the query's own. An empty table
+and rows without id, take no part. Rows that share a query's id count as the query's own; of queries with
+one id, the least vector asks. An empty table
 gives no rows. Columns other than the id and the vector are not read.
 """
 
@@ -194,6 +195,7 @@ def build_index(rows: DataFrame, k: int = 20, shard_points: int = SHARD_POINTS,
 def search(index: DataFrame, queries: DataFrame, k: int = 20, beam: int = SEARCH_BEAM, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score`` of the nearest rows of every query."""
     queries = valid_rows(queries, vec_id, vector).select(F.col("vec_id").alias("query_id"), F.col("vector").alias("query"))
+    queries = queries.groupBy("query_id").agg(F.min("query").alias("query"))
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     shards = index.agg(F.max("shard")).first()[0]
     asked = queries.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
