@@ -58,7 +58,7 @@ STAR_ROUNDS = 3
 #: Classes in a bucket up to which all pairs are compared; larger ones are compared by their edits.
 SMALL_BUCKET = 32
 #: Width of a level of ``f``.
-LEVEL = 2
+LEVEL = 6
 #: Groups up to which the consensus sets are broadcast.
 BROADCAST_HUBS = 500
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -450,10 +450,19 @@ def _across(rows: DataFrame) -> DataFrame:
 
 
 def _large(rows: DataFrame) -> DataFrame:
-    """``hub, key, part``: members of large buckets, grouped by the bucket's most typical class."""
+    """``hub, key, part``: members of large buckets, all of a bucket in one group.
+
+    A bucket's group is named by its most typical class, or by the most typical one that this class meets
+    in any bucket, so the buckets of one large family of texts make one group.
+    """
     rows = rows.where(F.col("many") > SMALL_BUCKET)
-    hub = F.max(F.struct("weight", "key")).over(Window.partitionBy("bucket"))["key"]
-    return rows.select(hub.alias("hub"), "key", "part").distinct()
+    rows = rows.withColumn("_top", F.max(F.struct("weight", "key")).over(Window.partitionBy("bucket")))
+    above = stage(rows.groupBy("key").agg(F.max("_top")["key"].alias("_above")), "above")
+    grouped = rows.select(F.col("_top.key").alias("hub"), "key", "part").distinct()
+    for _ in range(2):
+        up = above.select(F.col("key").alias("hub"), "_above")
+        grouped = grouped.join(up, "hub").select(F.col("_above").alias("hub"), "key", "part").distinct()
+    return grouped
 
 
 def _edits(large: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
