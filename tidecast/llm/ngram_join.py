@@ -58,7 +58,7 @@ STAR_ROUNDS = 3
 #: Classes in a bucket up to which all pairs are compared; larger ones are compared by their edits.
 SMALL_BUCKET = 32
 #: Width of a level of ``f``.
-LEVEL = 6
+LEVEL = 4
 #: Groups up to which the consensus sets are broadcast.
 BROADCAST_HUBS = 500
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
