@@ -18,7 +18,8 @@ def corpus(n: int = 160, seed: int = 3) -> list[tuple]:
         word = lambda: "".join(rnd.choice(parts[lang]) for _ in range(rnd.randint(1, 4)))  # noqa: E731, B023
         words = [word() for _ in range(rnd.choice([3, 12, 40, 120, 400]))]
         if rows and rnd.random() < 0.3:
-            words = (rnd.choice(rows)[1] or "x").split(" ")
+            _, text, lang, _ = rnd.choice(rows)
+            words = text.split(" ")
             if rnd.random() < 0.6:
                 words[rnd.randrange(len(words))] = word()
         rows.append((i, " ".join(words), lang, f"s{rnd.choice([0, 0, 0, 1, 2])}"))
