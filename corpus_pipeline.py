@@ -21,8 +21,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group linked by four-word n-grams at a Jaccard similarity of 0.85."""
-    return ngram_join.keep_one(docs)
+    """Keep one document of each group linked by five-word n-grams at a Jaccard similarity of 0.8."""
+    return ngram_join.keep_one(docs, n=5, percent=80)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

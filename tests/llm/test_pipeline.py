@@ -56,6 +56,19 @@ def test_stages_over_planted_cases(spark, docs, rows, tmp_path):
     assert Counter(r.doc_id for r in seen["packing"] if r.piece == 0) == times
 
 
+def test_near_copies_by_five_words_and_a_similarity_of_080(spark, docs, rows):
+    """Appended text and single-word edits that four-word n-grams at 0.85 do not link."""
+    words = [f"w{i}" for i in range(500)]
+    edited = [f"x{i}" if i % 45 == 20 else w for i, w in enumerate(words)]
+    planted = [(6000, words), (6001, edited), (6002, words + [f"y{i}" for i in range(100)]), (6003, words + [f"z{i}" for i in range(130)])]
+    planted = [(i, " ".join(w), "aa", "s0", 1, 7, 8, "x", 9, 10) for i, w in planted]
+    every = [*rows, *planted]
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs.unionByName(spark.createDataFrame(planted, docs.schema)), "").collect()
+    assert sorted({r.doc_id for r in kept}, key=key) == sorted({i for i, _, c in brute.components(every, 5, 80) if i is None or i == c}, key=key)
+    assert sorted(r.doc_id for r in kept if (r.doc_id or 0) >= 6000) == [6000, 6003]
+    assert {6001, 6002} <= {i for i, _, c in brute.components(every) if i == c}
+
+
 def test_pipeline_of_an_empty_table(spark, empty, tmp_path):
     empty.write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
