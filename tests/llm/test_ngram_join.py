@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from tests.llm import brute
 from tidecast.llm import ngram_join, words
@@ -83,6 +84,32 @@ def test_common_elements_change_no_result(spark, docs, rows, monkeypatch):
         assert ordered(tuple(r) for r in ngram_join.join_components(docs).collect()) == expected
 
 
+#: A text of 90 words, a pair with 14 edits in common and 8 of its own each, and texts with one word replaced.
+BASE = [f"w{i}" for i in range(90)]
+PAIR = [[*BASE[11:], *[f"both{i}" for i in range(7)], *[f"u{i}" for i in range(4)]], [*BASE[:4], *BASE[15:], *[f"both{i}" for i in range(7)], *[f"v{i}" for i in range(4)]]]
+NEAR = [[*BASE[:20], f"x{k}", *BASE[21:]] for k in range(12)]
+
+
+def by_edits(spark, monkeypatch, rows, buckets):
+    """Components of single words at 0.8, with given buckets and comparison by edits only."""
+    monkeypatch.setattr(ngram_join, "SMALL_BUCKET", 2)
+    monkeypatch.setattr(ngram_join, "_stars", lambda rows, turn: rows.select(F.col("key").alias("u"), F.col("key").alias("v")).limit(0))
+    given = spark.createDataFrame(buckets, "doc_id long, bucket long, weight long")
+    monkeypatch.setattr(ngram_join, "members", lambda sketches, plan: sketches.join(given, "doc_id").select("bucket", "key", "weight").distinct())
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    return ordered(tuple(r) for r in ngram_join.join_components(df, n=1, percent=80).collect())
+
+
+def test_repeated_rows_in_a_large_bucket(spark, monkeypatch):
+    """Edits of a text count once, however often its row is there."""
+    rows = [(i, " ".join(w)) for i, w in enumerate([BASE, *PAIR, *NEAR])]
+    rows += [rows[1], rows[1], rows[2], rows[2]]
+    buckets = [(i, 0, 99 if i == 0 else 50) for i in range(15)]
+    expected = ordered(brute.components(rows, 1, 80))
+    assert {c for _, _, c in expected} == {0, 1}
+    assert by_edits(spark, monkeypatch, rows, buckets) == expected
+
+
 def all_items(rows):
     data, offsets = words.buffers(pa.array([r[1] for r in rows]))
     return np.unique(ngram_join.shingle_sets(data, offsets, 4)[0])

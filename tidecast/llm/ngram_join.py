@@ -381,7 +381,8 @@ def linked_classes(docs: DataFrame, sketches: DataFrame, plan: list[Band], n: in
     rows = members(sketches, plan)
     one = sketches.where("doc_id is not null").join(rows.select("key").distinct(), "key")
     one = stage(one.groupBy("key").agg(F.min("doc_id").alias("doc_id")), "chosen")
-    sets = stage(class_sets(docs, one, n, doc_id, text), "sets")
+    # Rows that repeat an id with its text bring the same set again; its edits would count several times.
+    sets = stage(class_sets(docs, one, n, doc_id, text).dropDuplicates(["key"]), "sets")
     tested = links = labels = None
     open_rows = rows.withColumn("part", F.col("key"))
     # Stars around typical classes, then around the middles of large buckets, then whatever pairs are left.
