@@ -110,6 +110,15 @@ def test_repeated_rows_in_a_large_bucket(spark, monkeypatch):
     assert by_edits(spark, monkeypatch, rows, buckets) == expected
 
 
+def test_links_without_shared_edits_in_the_last_turn(spark, monkeypatch):
+    """When the bucket of near copies closes, what the pair has in common becomes the consensus of the rest."""
+    rows = [(i, " ".join(w)) for i, w in enumerate([BASE, *PAIR, *NEAR])]
+    buckets = [(i, 0, 99 if i == 0 else 50) for i in range(3)] + [(i, 1, 99 if i == 0 else 50) for i in (0, *range(3, 15))]
+    expected = ordered(brute.components(rows, 1, 80))
+    assert {c for _, _, c in expected} == {0, 1}
+    assert by_edits(spark, monkeypatch, rows, buckets) == expected
+
+
 def all_items(rows):
     data, offsets = words.buffers(pa.array([r[1] for r in rows]))
     return np.unique(ngram_join.shingle_sets(data, offsets, 4)[0])

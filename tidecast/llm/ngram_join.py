@@ -398,7 +398,8 @@ def linked_classes(docs: DataFrame, sketches: DataFrame, plan: list[Band], n: in
             else:
                 pairs = _across(_small(open_rows))
                 if edits is not None:
-                    pairs = pairs.unionByName(_sharing_edits(edits)).distinct()
+                    # The groups that are left have another consensus, with which other classes are close.
+                    pairs = pairs.unionByName(_middles(edits)).unionByName(_sharing_edits(edits)).distinct()
         none = pairs is None
         if pairs is not None:
             if tested is not None:
