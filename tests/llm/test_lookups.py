@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import textwrap
 
 import numpy as np
 import pytest
@@ -98,6 +99,16 @@ def test_licences_in_any_spelling(spark):
     assert by[3] == (None, "", 0)  # "M.I.T." is three words
 
 
+def test_known_texts_wrapped_at_any_width(spark):
+    """Lines of the body that begin with "copyright" stay, copyright lines go."""
+    head = "Copyright (c) 2024 Somebody\nCopyright The Authors\nCopyright Holder: Me\n\n"
+    cases = [(name, t) for name, t in licenses.KNOWN if len(t) > 200]
+    rows = [(i * 1000 + w, head + "\n\n".join(textwrap.fill(p, w) for p in t.split("\n"))) for i, (_, t) in enumerate(cases) for w in range(20, 121)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.whole_license for r in licenses.find_licenses(df, licenses.known_licenses(spark)).collect()}
+    assert got == {i: cases[i // 1000][0] for i, _ in rows}
+
+
 def test_no_licences_known(spark, docs, empty):
     none = licenses.known_licenses(spark).limit(0)
     assert licenses.find_licenses(docs, none).where("n_notices > 0").count() == 0

@@ -1,7 +1,8 @@
 """Licence texts by canonical digest, in SQL functions only.
 
 A text is brought to a canonical form (ASCII letters in lower case, copyright signs spelled out, runs of
-everything but letters and digits one space, copyright lines left out, equivalent spellings alike), and
+everything but letters and digits one space, copyright lines left out unless they are wrapped lines of a licence's
+body such as "copyright notice and", equivalent spellings alike), and
 its SHA-256 is looked up among the digests of known licences in the same form. The whole text is looked
 up, and every paragraph and line as a text of its own, so a notice inside a document is found as well.
 Only texts of a known licence's length are digested; others can't be equal.
@@ -29,6 +30,9 @@ SPELLINGS = (
     ("non commercial", "noncommercial"), ("whilst", "while"), ("https", "http"),
 )
 
+#: How lines of a licence's body go on that begin with "copyright" by the way they are wrapped.
+BODY = r"notices?\b|(?:holders?|owners?)(?: ?$| (?:be|and|or)\b)"
+
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
 The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
 THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
@@ -55,7 +59,7 @@ def canonical_lines(text: Column) -> Column:
     t = F.lower(text)
     t = F.regexp_replace(t, r"©|\(c\)", " copyright ")
     t = F.regexp_replace(t, r"[^a-z0-9\n]+", " ")
-    t = F.regexp_replace(t, r"(?m)^ ?copyright [^\n]*$|^ ?all rights reserved ?$", "")
+    t = F.regexp_replace(t, rf"(?m)^ ?copyright (?!{BODY})[^\n]*$|^ ?all rights reserved ?$", "")
     plain = t
     for old, new in SPELLINGS:
         t = F.regexp_replace(t, rf"\b{old}\b", new)
