@@ -66,6 +66,35 @@ def test_secrets_of_an_empty_table(empty):
     assert secret_scan.scan(empty, model).collect() == [] and secret_scan.redact(empty, model).collect() == []
 
 
+def test_keys_without_digits_with_prefixes_and_in_paths(spark):
+    """Random keys of letters only, after a lower-case prefix and within a path; ordinary words and capitals stay."""
+    rnd = random.Random(4)
+    key = lambda letters, n=40: "".join(rnd.choice(letters) for _ in range(n))
+    low, up = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    shapes = [
+        lambda: ("", key(low)), lambda: ("", key(up)), lambda: ("", key(low + up)), lambda: ("sk_test_", key(low + "0123456789")),
+        lambda: ("some-path/of_things/", key(low + up + "0123456789")),
+    ]
+    keys = [shape() for shape in shapes for _ in range(12)]
+    ordinary = ["INTERNATIONALIZATIONS", "internationalizations", "a-place-in-the-nature-of-things", "SOME_LONG_TITLE_ABOUT_THINGS", "articles/some-long-title/and_more"]
+    prose = " ".join(w for _, t in secret_rows()[8:9] for w in t.split()) + " international nations of internal relations, organizations and motions."
+    rows = [(i, f"{prose} {' '.join(ordinary)} is {a}{b} {prose}") for i, (a, b) in enumerate(keys)] + [(1000 + i, " ".join([prose] * 20)) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secret_scan.scan(df, secret_scan.fit(df)).collect()}
+    hits = [0] * len(shapes)
+    for i, text in rows:
+        spans = [tuple(map(int, s.split(":")[1:])) for s in got[i].split(",") if s]
+        if i >= 1000:
+            assert not spans
+            continue
+        a, b = keys[i]
+        at = text.index(f"is {a}{b}") + 3
+        assert all(at <= x and y == at + len(a + b) for x, y in spans)
+        hits[i // 12] += bool(spans)
+    # The battery rejects a random key with a small chance.
+    assert min(hits) >= 10, hits
+
+
 def test_encodings():
     assert secret_scan.alphabet(b"0123456789abcdef") == b"0123456789abcdef"
     assert len(secret_scan.alphabet(b"ABCDEFGH234567")) == 32

@@ -1,14 +1,17 @@
 """Secrets in whole texts: fixed patterns, and tokens that pass a battery of randomness tests.
 
-Candidates are maximal runs of 20 or more of ``[A-Za-z0-9+/_-]`` whose characters suggest an encoding
-(hexadecimal, base 32, 36, 62, 64). Three tests ask whether a run is consistent with random characters
+Candidates are maximal runs of 20 or more of ``[A-Za-z0-9+/_-]``, and their parts of 20 or more between
+separators (``+/``, ``_-`` or all four), that have a letter and one kind of separators at most. The
+encoding is the smallest that has all characters (hexadecimal, base 32, 36, 62, letters of one case or
+both, each with separators if there are any); runs of digits alone are numbers. Three tests ask whether a run is consistent with random characters
 of that encoding: chi-squared uniformity over the alphabet, runs above and below its middle, and lag-one
 serial correlation; the smallest of the three p-values counts three times. Ordinary text is the null
 hypothesis to reject: under a character-pair model counted over all documents, the likelihood ratio of
 random against ordinary is a number that ordinary runs exceed ``1 / p`` with a chance of at most ``p``.
+Ordinary is an even mixture of running text, text in capitals, and either as words joined by separators.
 Such bounds shrink with the length, so false discoveries are controlled in classes of length, by the
-Benjamini-Hochberg rule over all candidates of the corpus. A run is reported if the tests pass, the rule
-rejects ordinary text, and no fixed pattern covers part of it.
+Benjamini-Hochberg rule over all candidates of the corpus. A candidate is reported if the tests pass, the
+rule rejects ordinary text, and neither a fixed pattern nor a longer reported one covers part of it.
 
 Null text is empty and has no secrets. Positions are code points, ends exclusive. Repeated rows are
 scanned each. An empty table gives no rows. Columns other than the id and the text are kept by
@@ -48,6 +51,9 @@ _HEX = re.compile(rb"[0-9a-f]+")
 _DIGITS, _LOWERS, _UPPERS = b"0123456789", b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _SYMBOLS = _UPPERS + _LOWERS + _DIGITS + b"+/_-"
 _OTHER = len(_SYMBOLS)
+_PARTS = [re.compile(rb"[A-Za-z0-9%s]{%d,}" % (x, LEAST)) for x in (b"_-", b"+/", b"")]
+#: Mean length of words that separators join.
+JOINED = 8
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray]:
@@ -83,6 +89,27 @@ def alphabet(token: bytes) -> bytes | None:
     return None
 
 
+def encoding(token: bytes) -> bytes | None:
+    """:func:`alphabet`, or else that of letters alone or of one case with separators; None without letters."""
+    own = alphabet(token)
+    if own is not None:
+        return own
+    have = set(token)
+    if not have & set(_LOWERS + _UPPERS):
+        return None
+    own = b"".join(x for x in (_UPPERS, _LOWERS, _DIGITS) if have & set(x))
+    for extra in (b"", b"+/", b"-_"):
+        if have <= set(own + extra):
+            return own + extra
+    return None
+
+
+def candidates(run: bytes) -> list[tuple[int, int]]:
+    """Spans of a run that are tested, the longest first: the run and its parts between separators."""
+    found = {(0, len(run))} | {m.span() for part in _PARTS for m in part.finditer(run)}
+    return sorted((x for x in found if encoding(run[x[0] : x[1]])), key=lambda x: (x[0] - x[1], x[0]))
+
+
 def battery(token: bytes, own: bytes) -> float:
     """Combined p-value of the three randomness tests, for one token and its alphabet."""
     rank = np.zeros(256, np.int64)
@@ -115,12 +142,26 @@ class Model:
 
     def bin(self, token: bytes, own: bytes) -> int:
         """How unlike ordinary text a token is, in tenths of powers of ten."""
-        code = np.append(_OTHER, CODE[np.frombuffer(token, np.uint8)])
-        ratio = -len(token) * math.log(len(own)) - float(self.pairs[code[:-1], code[1:]].sum())
+        plain = [token] if re.search(b"[a-z]", token) else [token, token.lower()]
+        ordinary = [x for t in plain for x in (self._running(t), self._joined(t))]
+        most = max(ordinary)
+        # Four parts of the mixture: running or joined, as it is or in capitals.
+        ordinary = most + math.log(sum(math.exp(x - most) for x in ordinary) / 4)
+        ratio = -len(token) * math.log(len(own)) - ordinary
         return int(min(max(ratio / math.log(10), 0), POWERS) * BINS)
 
+    def _running(self, token: bytes) -> float:
+        code = np.append(_OTHER, CODE[np.frombuffer(token, np.uint8)])
+        return float(self.pairs[code[:-1], code[1:]].sum())
+
+    def _joined(self, token: bytes) -> float:
+        """Words of a mean length of ``JOINED``, each as after a space, with one of four separators between."""
+        cut = re.split(rb"[+/_-]", token)
+        letters, cuts = sum(map(len, cut)), len(cut) - 1
+        return sum(map(self._running, cut)) + letters * math.log(1 - 1 / JOINED) - cuts * math.log(4 * JOINED)
+
     def is_secret(self, token: bytes) -> bool:
-        own = alphabet(token)
+        own = encoding(token)
         if own is None:
             return False
         least = self.least[length_class(len(token))]
@@ -158,7 +199,7 @@ def fit(docs: DataFrame, text: str = "text") -> Model:
                 starts, lengths, _ = _long_runs(part, at)
                 raw = part.tobytes()
                 tokens = [raw[a : a + n] for a, n in zip(starts.tolist(), lengths.tolist())]
-                tokens = [t for t in tokens if alphabet(t)]
+                tokens = [t[x:y] for t in tokens for x, y in candidates(t)]
                 yield pa.RecordBatch.from_arrays([pa.nulls(len(tokens), schema.types[0]), pa.array(tokens, pa.binary())], schema=schema)
         yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], schema.types[0]), pa.nulls(1, pa.binary())], schema=schema)
 
@@ -173,7 +214,7 @@ def fit(docs: DataFrame, text: str = "text") -> Model:
         for batch in batches:
             tokens = batch.column(0).to_pylist()
             kinds = [length_class(len(t)) for t in tokens]
-            bins = [model.bin(t, alphabet(t)) for t in tokens]
+            bins = [model.bin(t, encoding(t)) for t in tokens]
             yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(bins, pa.int32())], names=["kind", "bin"])
 
     found = seen.where("token is not null").select("token").mapInArrow(binned, "kind int, bin int")
@@ -211,8 +252,10 @@ def _spans(data: np.ndarray, offsets: np.ndarray, model: Model | None) -> dict[i
                     out.setdefault(row, []).append((at + m.start(), kind, at + m.end()))
     if model is not None:
         for start, n, row, at in runs:
-            if all(b <= at or a >= at + n for a, _, b in out.get(row, ())) and model.is_secret(raw[start : start + n]):
-                out.setdefault(row, []).append((at, 3, at + n))
+            token = raw[start : start + n]
+            for x, y in candidates(token):
+                if all(b <= at + x or a >= at + y for a, _, b in out.get(row, ())) and model.is_secret(token[x:y]):
+                    out.setdefault(row, []).append((at + x, 3, at + y))
     return {row: sorted(found) for row, found in out.items()}
 
 
