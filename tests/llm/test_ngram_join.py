@@ -76,6 +76,18 @@ def test_segments_are_allocated_by_cost():
         assert band.deletion or max(band.rare, band.common) <= band.slack
 
 
+def test_partners_are_at_most_one_band_up(spark):
+    for percent in (30, 50, 60, 80, 85):
+        highs = [b.high for b in ngram_join.bands(percent, 10_000)]
+        assert all(100 * a // percent <= b for a, b in zip(highs, highs[1:]))
+    rows = [(n, " ".join(f"t{n}x{i}" for i in range(n))) for n in range(20, 120)]
+    rows += [(1000 + r[0], r[1] + "".join(f" more{i}" for i in range(r[0] * 66 // 100))) for r in rows]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in ngram_join.join_components(df, n=1, percent=60).collect()]
+    assert ordered(got) == ordered(brute.components(rows, 1, 60))
+    assert len({r[2] for r in got}) == 100
+
+
 def test_common_elements_change_no_result(spark, docs, rows, monkeypatch):
     """Whatever counts as common, the components are the same."""
     expected = ordered(brute.components(rows))

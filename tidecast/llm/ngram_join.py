@@ -46,7 +46,7 @@ from tidecast.llm.components import components
 from tidecast.llm.staging import small, stage
 
 SLICE_BYTES = 2_000_000
-#: Ratio of the largest sizes of neighbouring bands.
+#: Least ratio of the largest sizes of neighbouring bands.
 BAND_RATIO = 1.4
 #: N-grams that a set is taken to share with unrelated ones, beside a tenth of all, for the cost model.
 PASSAGE = 50
@@ -102,7 +102,8 @@ def bands(percent: int, many: int, largest: int = 1 << 31) -> list[Band]:
         out.append(min(options, key=lambda o: o[0])[1])
         if high >= largest:
             return out
-        high = max(high + 6, int(high * BAND_RATIO))
+        # A linked partner is in the same band or the next one.
+        high = max(high + 6, int(high * BAND_RATIO), 100 * high // percent)
 
 
 def _at_least(k: int, m: int, chance: float) -> float:
