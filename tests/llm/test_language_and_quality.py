@@ -177,3 +177,13 @@ def test_quality_of_an_empty_table(empty):
 def test_no_python_in_the_quality_plan(docs):
     text = outliers.judge(docs)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in text for x in ("Python", "Pandas", "InArrow", "NestedLoop", "Cartesian"))
+
+
+def test_all_letters_of_a_long_run_count():
+    """A run of which only the first 64 and the last letters look like another language."""
+    rnd = random.Random(2)
+    parts = {"aa": ["ka", "lo", "mi", "tu", "ra", "no"], "bb": ["sch", "ber", "ung", "eit", "zen", "ach"]}
+    run = lambda label, n: "".join(rnd.choice(parts[label]) for _ in range(n))
+    crf = language.train({label: [[run(label, rnd.randint(1, 4)) for _ in range(60)] for _ in range(20)] for label in parts}, 20)
+    word = run("aa", 32) + run("bb", 200) + run("aa", 3)
+    assert crf.labels[int(crf.emission(word).argmax())] == "bb"

@@ -60,7 +60,7 @@ def features(word: str, lexicon: dict[str, int], n_labels: int) -> list[int]:
     marked = f"<{word}>"
     parts = [f"p{word[:k]}" for k in range(1, min(4, len(word)) + 1)]
     parts += [f"s{word[-k:]}" for k in range(1, min(4, len(word)) + 1)]
-    parts += [marked[i : i + 3] for i in range(min(len(marked), 64) - 2)]
+    parts += [marked[i : i + 3] for i in range(len(marked) - 2)]
     low = 18 + n_labels
     return out + [low + zlib.crc32(p.encode()) % (WEIGHTS - low) for p in parts]
 
