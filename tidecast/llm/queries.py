@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecast.llm import binary, graph_search, language, licenses, mixing, ngram_join, outliers, packing, secret_scan, url_filters
+from tidecast.llm import binary, conversations, graph_search, language, licenses, mixing, ngram_join, outliers, packing, secret_scan, url_filters
 from tidecast.llm.staging import new_path
+from tidecast.plans.catalog import WITH_PYTHON
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -188,3 +189,62 @@ def temporal_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = events.join(named.where("host != ''"), F.col("page_id") == (F.col("user_id") * 31 + F.col("event_id")) % n)
     entries = entries.select(F.col("event_type").alias("list"), pattern.alias("pattern"), action.alias("action"), F.col("ts").cast("timestamp_ntz").alias("ts"))
     return url_filters.active_entries(pages, entries)
+
+
+REPAIR_SQL = r"""
+with recursive keyed as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as k from conversations),
+kinds as (select *, xor(list_reduce(flatten(list_transform(string_split(k, ''), lambda x: [ascii(x), -1, -1, -1, -1, -1, -1, -1, -1]::bigint[])),
+    lambda c, x: case when x >= 0 then xor(c, x) when c & 1 = 1 then xor(c >> 1, 3988292384::bigint) else c >> 1 end, 4294967295::bigint), 4294967295::bigint) % 20 as kind from keyed),
+damaged as (select conv_id, turn, case kind when 4 then 'user' else role end as role,
+    case kind when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
+  from kinds, (values (1), (2)) as twice(n) where kind != 0 and (n = 1 or kind = 3)),
+placed as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i from damaged),
+again as (select *, row_number() over (partition by conv_id, role, text order by i) > 1 as again,
+    lag(role) over (partition by conv_id order by i) as before, rtrim(text, E' \t\n\x0b\x0c\r') as kept from placed),
+faults as (select *, kept = '' as blank, kept != '' and again as dup, kept != '' and not again and right(kept, 1) not in ('.', '!', '?') as cut,
+    before is not null and left(before, 1) || ' ' || left(role, 1) not in ('s u', 'u a', 'a u') as bad from again),
+counted as (select conv_id, cast(coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as bigint) as gaps, count(*) filter (blank) as blank,
+    count(*) filter (dup) as duplicate, count(*) filter (cut) as truncated, count(*) filter (bad) as illegal, count(*) as n from faults group by conv_id),
+dp as (
+  select conv_id, n, 0::bigint as i, {'c': 0::bigint, 'a': '', 'r': []::varchar[]} as s0, {'c': 1000000000::bigint, 'a': '', 'r': []::varchar[]} as s1,
+    {'c': 1000000000::bigint, 'a': '', 'r': []::varchar[]} as s2, {'c': 1000000000::bigint, 'a': '', 'r': []::varchar[]} as s3 from counted
+  union all
+  select conv_id, n, i,
+    case when x then d0 else d0 end,
+    list_min([d1, case when not x and l = 's' then {'c': t0.c + e, 'a': t0.a || 'K', 'r': list_append(t0.r, own)} else none end]),
+    list_min([d2, case when x then none else {'c': t0.c + 3 + e, 'a': t0.a || 'R', 'r': list_append(t0.r, 'user:' || text)} end,
+      case when x then none else {'c': t1.c + 3 + e, 'a': t1.a || 'R', 'r': list_append(t1.r, 'user:' || text)} end,
+      case when x then none else {'c': t3.c + 3 + e, 'a': t3.a || 'R', 'r': list_append(t3.r, 'user:' || text)} end,
+      case when not x and l = 'u' then {'c': t0.c + e, 'a': t0.a || 'K', 'r': list_append(t0.r, own)} else none end,
+      case when not x and l = 'u' then {'c': t1.c + e, 'a': t1.a || 'K', 'r': list_append(t1.r, own)} else none end,
+      case when not x and l = 'u' then {'c': t3.c + e, 'a': t3.a || 'K', 'r': list_append(t3.r, own)} else none end]),
+    list_min([d3, case when x then none else {'c': t2.c + 3 + e, 'a': t2.a || 'R', 'r': list_append(t2.r, 'assistant:' || text)} end,
+      case when not x and l = 'a' then {'c': t2.c + e, 'a': t2.a || 'K', 'r': list_append(t2.r, own)} else none end])
+  from (select *, {'c': t0.c + 4, 'a': t0.a || 'D', 'r': t0.r} as d0, {'c': t1.c + 4, 'a': t1.a || 'D', 'r': t1.r} as d1,
+      {'c': t2.c + 4, 'a': t2.a || 'D', 'r': t2.r} as d2, {'c': t3.c + 4, 'a': t3.a || 'D', 'r': t3.r} as d3,
+      {'c': 1000000000::bigint, 'a': '', 'r': []::varchar[]} as none
+    from (select d.conv_id, d.n, f.i, f.text, f.blank or f.dup as x, left(f.role, 1) as l, f.role || ':' || f.text as own, case when f.cut then 3 else 0 end as e,
+        s0 as t0, s1 as t1,
+        list_min([s2, {'c': s0.c + 3, 'a': s0.a || 'I', 'r': list_append(s0.r, 'user:')}, {'c': s1.c + 3, 'a': s1.a || 'I', 'r': list_append(s1.r, 'user:')},
+          {'c': s3.c + 3, 'a': s3.a || 'I', 'r': list_append(s3.r, 'user:')}]) as t2,
+        list_min([s3, {'c': s2.c + 3, 'a': s2.a || 'I', 'r': list_append(s2.r, 'assistant:')},
+          {'c': s0.c + 6, 'a': s0.a || 'II', 'r': list_concat(s0.r, ['user:', 'assistant:'])}, {'c': s1.c + 6, 'a': s1.a || 'II', 'r': list_concat(s1.r, ['user:', 'assistant:'])}]) as t3
+      from dp d join faults f on f.conv_id is not distinct from d.conv_id and f.i = d.i + 1))),
+ends as (select conv_id, list_min([s0, s3, {'c': s2.c + 3, 'a': s2.a || 'I', 'r': list_append(s2.r, 'assistant:')},
+    {'c': s1.c + 6, 'a': s1.a || 'II', 'r': list_concat(s1.r, ['user:', 'assistant:'])}]) as best from dp where i = n)
+select c.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+  coalesce(illegal, 0) as illegal, coalesce(best.c, 0) as cost, coalesce(best.a, '') as audit, sha256(coalesce(array_to_string(best.r, chr(10)), '')) as repaired_sha256
+from (select distinct conv_id from conversations) c left join counted n on n.conv_id is not distinct from c.conv_id
+  left join ends e on e.conv_id is not distinct from c.conv_id
+"""
+
+
+WITH_PYTHON.add("op13_bidirectional_repair")
+
+
+@query("op13_bidirectional_repair", REPAIR_SQL)
+def bidirectional_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations with planted faults, and the cheapest repair of each."""
+    damaged = conversations.damage(table(spark, sf_dir, "conversations"))
+    return conversations.digests(conversations.repair(damaged))
