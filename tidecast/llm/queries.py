@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecast.llm import binary, conversations, graph_search, language, licenses, mixing, ngram_join, outliers, packing, secret_scan, url_filters
+from tidecast.llm import binary, conversations, graph_search, language, licenses, merkle, mixing, ngram_join, outliers, packing, secret_scan, url_filters
 from tidecast.llm.staging import new_path
 from tidecast.plans.catalog import WITH_PYTHON
 
@@ -191,11 +191,14 @@ def temporal_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.active_entries(pages, entries)
 
 
+#: CRC-32 of the ASCII text k, bit by bit.
+CRC_SQL = """xor(list_reduce(flatten(list_transform(string_split(k, ''), lambda x: [ascii(x), -1, -1, -1, -1, -1, -1, -1, -1]::bigint[])),
+    lambda c, x: case when x >= 0 then xor(c, x) when c & 1 = 1 then xor(c >> 1, 3988292384::bigint) else c >> 1 end, 4294967295::bigint), 4294967295::bigint)"""
+
 REPAIR_SQL = r"""
 with recursive keyed as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
     coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as k from conversations),
-kinds as (select *, xor(list_reduce(flatten(list_transform(string_split(k, ''), lambda x: [ascii(x), -1, -1, -1, -1, -1, -1, -1, -1]::bigint[])),
-    lambda c, x: case when x >= 0 then xor(c, x) when c & 1 = 1 then xor(c >> 1, 3988292384::bigint) else c >> 1 end, 4294967295::bigint), 4294967295::bigint) % 20 as kind from keyed),
+kinds as (select *, {crc} % 20 as kind from keyed),
 damaged as (select conv_id, turn, case kind when 4 then 'user' else role end as role,
     case kind when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
   from kinds, (values (1), (2)) as twice(n) where kind != 0 and (n = 1 or kind = 3)),
@@ -237,7 +240,7 @@ select c.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coales
   coalesce(illegal, 0) as illegal, coalesce(best.c, 0) as cost, coalesce(best.a, '') as audit, sha256(coalesce(array_to_string(best.r, chr(10)), '')) as repaired_sha256
 from (select distinct conv_id from conversations) c left join counted n on n.conv_id is not distinct from c.conv_id
   left join ends e on e.conv_id is not distinct from c.conv_id
-"""
+""".replace("{crc}", CRC_SQL)
 
 
 WITH_PYTHON.add("op13_bidirectional_repair")
@@ -248,3 +251,41 @@ def bidirectional_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations with planted faults, and the cheapest repair of each."""
     damaged = conversations.damage(table(spark, sf_dir, "conversations"))
     return conversations.digests(conversations.repair(damaged))
+
+
+MERKLE_SQL = r"""
+with recursive fields as (select *, cast(doc_id as varchar) as k, coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') as a,
+    coalesce(strlen(text) || ':' || text, '-') as z from documents),
+hashed as (select doc_id, lang, sha256(coalesce(strlen(k) || ':' || k, '-') || a || coalesce(len(cast(n_chars as varchar)) || ':' || n_chars, '-') || z) as leaf,
+    sha256(coalesce(strlen(k) || ':' || k, '-') || a || coalesce(len(cast(n_chars + case when {crc} % 7 = 0 then 1 else 0 end as varchar)) || ':'
+      || (n_chars + case when {crc} % 7 = 0 then 1 else 0 end), '-') || z) as tampered from fields),
+leaves as (select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as idx from hashed),
+up as (select lang, 0 as level, list(leaf order by idx) as nodes from leaves group by lang
+  union all select lang, level + 1, list_transform(range(0, (len(nodes) + 1) // 2), lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], ''))) from up where len(nodes) > 1),
+subroots as (select lang, nodes[1] as subroot, row_number() over (order by lang nulls first) - 1 as idx from up where len(nodes) = 1),
+top as (select 0 as level, list(subroot order by idx) as nodes from subroots
+  union all select level + 1, list_transform(range(0, (len(nodes) + 1) // 2), lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], ''))) from top where len(nodes) > 1),
+inner_nodes as (select lang, level, unnest(nodes) as h, unnest(range(len(nodes))) as i from up where len(nodes) > 1),
+top_nodes as (select level, unnest(nodes) as h, unnest(range(len(nodes))) as i from top where len(nodes) > 1),
+inner_steps as (select l.doc_id, l.lang, l.idx, list(case when (l.idx >> u.level) & 1 = 1 then 'L' else 'R' end || coalesce(n.h, '') order by u.level) as steps
+  from leaves l join (select lang, level from up where len(nodes) > 1) u on l.lang is not distinct from u.lang
+  left join inner_nodes n on n.lang is not distinct from l.lang and n.level = u.level and n.i = xor(l.idx >> u.level, 1::bigint) group by 1, 2, 3),
+top_steps as (select s.lang, list(case when (s.idx >> t.level) & 1 = 1 then 'L' else 'R' end || coalesce(n.h, '') order by t.level) as steps
+  from subroots s cross join (select level from top where len(nodes) > 1) t left join top_nodes n on n.level = t.level and n.i = xor(s.idx >> t.level, 1::bigint) group by 1),
+every as (select l.doc_id, l.leaf, l.tampered, s.subroot, (select nodes[1] from top where len(nodes) = 1) as root, list_concat(coalesce(i.steps, []), coalesce(t.steps, [])) as steps
+  from leaves l join subroots s on s.lang is not distinct from l.lang left join inner_steps i on i.lang is not distinct from l.lang and i.idx = l.idx
+  left join top_steps t on t.lang is not distinct from l.lang)
+select doc_id, leaf, subroot, root, sha256(coalesce(array_to_string(list_transform(steps, lambda x: x[2:]), ''), '')) as proof_sha256, folded_root, folded_root = root as verified
+from (select *, list_reduce(steps, lambda h, x: sha256(case when x[1] = 'L' then x[2:] || h else h || x[2:] end), tampered) as folded_root from every)
+""".replace("{crc}", CRC_SQL)
+
+
+@query("op12_merkle_climb", MERKLE_SQL)
+def merkle_climb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof, and whether its row folds to the root after one in seven has been tampered with."""
+    docs = table(spark, sf_dir, "documents")
+    more = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.col("n_chars").cast("decimal(20, 0)") + 1)
+    fields = ("doc_id", "source", "lang")
+    rows = docs.select("doc_id", "lang", merkle.leaf(*fields, "n_chars", "text").alias("leaf"), F.when(more.isNotNull(), merkle.leaf(*fields, more, "text")).alias("tampered"))
+    rows = rows.withColumn("tampered", F.coalesce("tampered", "leaf"))
+    return merkle.verify(rows, F.col("lang"), "tampered")
