@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecast.llm import binary, conversations, graph_search, language, licenses, merkle, mixing, ngram_join, outliers, packing, secret_scan, url_filters
+from tidecast.llm import binary, classifier, conversations, graph_search, language, licenses, merkle, mixing, ngram_join, outliers, packing, secret_scan, url_filters
 from tidecast.llm.staging import new_path
 from tidecast.plans.catalog import WITH_PYTHON
 
@@ -191,6 +191,13 @@ def temporal_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.active_entries(pages, entries)
 
 
+@query("op11_subword_classifier")
+def subword_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learned from the labels of those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return classifier.score(docs, classifier.fit(docs, table(spark, sf_dir, "labels")))
+
+
 #: CRC-32 of the ASCII text k, bit by bit.
 CRC_SQL = """xor(list_reduce(flatten(list_transform(string_split(k, ''), lambda x: [ascii(x), -1, -1, -1, -1, -1, -1, -1, -1]::bigint[])),
     lambda c, x: case when x >= 0 then xor(c, x) when c & 1 = 1 then xor(c >> 1, 3988292384::bigint) else c >> 1 end, 4294967295::bigint), 4294967295::bigint)"""
