@@ -25,10 +25,12 @@ from pyspark.sql import functions as F
 
 from tidecast.llm.staging import small, stage
 
-STRIDE = 8
+STRIDE = 12
 #: Leaves that share one copy of a node, and the most copies of a node.
 SHARE, COPIES = 1 << 16, 256
 BROADCAST_ROWS = 100_000
+#: Node rows of at most STRIDE siblings that every executor may hold, about 500 bytes each.
+BROADCAST_NODES = 20_000
 TOP = ""
 
 
@@ -69,15 +71,16 @@ def _numbered(rows: DataFrame, order: list[str]) -> DataFrame:
     return rows.drop("_at", "_part", "_first", "_before")
 
 
-_LEVELS = """
+#: Digests are kept as 32 bytes and hashed as hex text.
+_PAIR = "unhex(sha2(concat(lower(hex(below[2 * j])), coalesce(lower(hex(get(below, 2 * j + 1))), '')), 256))"
+_LEVELS = f"""
 case when steps = 0 then array(transform(members, m -> m.digest)) else
-aggregate(sequence(1, steps), array(transform(members, m -> m.digest)), (built, k) -> concat(built, array(
-    transform(sequence(0, shiftright(size(element_at(built, -1)) - 1, 1)), j ->
-        sha2(concat(element_at(built, -1)[2 * j], coalesce(get(element_at(built, -1), 2 * j + 1), '')), 256))))) end
+aggregate(sequence(1, steps), array(transform(members, m -> m.digest)), (built, k) -> concat(built,
+    transform(array(element_at(built, -1)), below -> transform(sequence(0, shiftright(size(below) - 1, 1)), j -> {_PAIR})))) end
 """
 _SIBLINGS = """
 case when steps = 0 then cast(array() as array<binary>)
-else transform(sequence(0, steps - 1), k -> unhex(get(levels[k], shiftright(j, k) ^ 1))) end
+else transform(sequence(0, steps - 1), k -> get(levels[k], shiftright(j, k) ^ 1)) end
 """
 
 
@@ -126,7 +129,7 @@ def _node_rows(group: DataFrame, step: int, parents: DataFrame | None) -> DataFr
 def build_manifest(rows: DataFrame, group: Column, doc_id: str = "doc_id", leaf_digest: str = "leaf") -> Manifest:
     """Build all trees over ``rows``; ``group`` and the columns named say what their tree, order and hash are."""
     tree = F.coalesce(F.concat(F.lit("="), group.cast("string")), F.lit("-"))
-    rows = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"), tree.alias("tree"), F.col(leaf_digest).alias("digest"), F.lit(1).cast("long").alias("weight"), F.col(doc_id).alias("at"))
+    rows = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns if c != leaf_digest]).alias("row"), tree.alias("tree"), F.unhex(leaf_digest).alias("digest"), F.lit(1).cast("long").alias("weight"), F.col(doc_id).alias("at"))
     lower, ends = _build(_numbered(rows, ["at", "digest"]), ["row"])
     ends = stage(ends, "subroots")
     top = _numbered(ends.withColumnRenamed("tree", "name").withColumn("tree", F.lit(TOP)), ["name"])
@@ -140,10 +143,10 @@ def build_manifest(rows: DataFrame, group: Column, doc_id: str = "doc_id", leaf_
     for part in inner:
         part = part.withColumn("salt", F.explode(F.sequence(F.lit(0), _copies(F.col("weight")) - 1))).select(*columns)
         nodes = part if nodes is None else nodes.unionByName(part)
-    subroots = ends.select("tree", F.col("digest").alias("subroot"))
+    subroots = ends.select("tree", F.lower(F.hex("digest")).alias("subroot"))
     if root is None:
         return Manifest(leaves, leaves, subroots, None)
-    return Manifest(stage(leaves.drop("weight"), "leaves"), stage(nodes, "nodes"), subroots, root.digest)
+    return Manifest(stage(leaves.drop("weight"), "leaves"), stage(nodes, "nodes"), subroots, bytes(root.digest).hex())
 
 
 def _fold(start: str, siblings: str, idx: str) -> str:
@@ -159,23 +162,24 @@ def _flat(siblings: str) -> str:
 
 
 def climb(manifest: Manifest, candidate: str, keep: list[str]) -> DataFrame:
-    """Ascend from every leaf with the digest in column ``candidate`` (hex): ``keep, tree, digest, proof_sha256, folded_root``.
+    """Ascend from every leaf with the digest in column ``candidate`` (hex; null: its own): ``keep, tree, digest, proof_sha256, folded_root``.
 
     ``proof_sha256`` is the hash of all siblings from leaf to root. The query's rows are written before it
     returns, since its row limit has to be off while it runs.
     """
     spark = manifest.leaves.sparkSession
-    start = manifest.leaves.selectExpr(f"named_struct({', '.join(f'{c!r}, row.`{c}`' for c in keep)}) as kept", "unhex(digest) as own", "tree as home", "xxhash64(tree, idx) as h", "idx as at", f"unhex(row.`{candidate}`) as start", "siblings as around", "parent_tree", "parent_step", "parent_idx", "parent_copies")
+    start = manifest.leaves.selectExpr(f"named_struct({', '.join(f'{c!r}, row.`{c}`' for c in keep)}) as kept", "digest as own", "tree as home", "xxhash64(tree, idx) as h", "idx as at", f"coalesce(unhex(row.`{candidate}`), digest) as start", "siblings as around", "parent_tree", "parent_step", "parent_idx", "parent_copies")
     limit = "spark.sql.cteRecursionRowLimit"
     before = spark.conf.get(limit)
     spark.conf.set(limit, "-1")
+    hint = "/*+ broadcast(n) */" if small(manifest.nodes, BROADCAST_NODES) else ""
     try:
         done = spark.sql(
             f"""
             with recursive climb(kept, own, home, h, tree, step, idx, salt, folded, proof) as (
               select kept, own, home, h, parent_tree, parent_step, parent_idx, cast(pmod(h, parent_copies) as int), {_fold("start", "around", "at")}, {_flat("around")} from {{start}}
               union all
-              select c.kept, c.own, c.home, c.h, n.parent_tree, n.parent_step, n.parent_idx, cast(pmod(c.h, n.parent_copies) as int),
+              select {hint} c.kept, c.own, c.home, c.h, n.parent_tree, n.parent_step, n.parent_idx, cast(pmod(c.h, n.parent_copies) as int),
                 {_fold("c.folded", "n.siblings", "n.idx")}, concat(c.proof, {_flat("n.siblings")})
               from climb c join {{nodes}} n on c.tree = n.tree and c.step = n.step and c.idx = n.idx and c.salt = n.salt)
             select kept.*, home as tree, lower(hex(own)) as digest, sha2(lower(hex(proof)), 256) as proof_sha256, lower(hex(folded)) as folded_root
@@ -190,13 +194,14 @@ def climb(manifest: Manifest, candidate: str, keep: list[str]) -> DataFrame:
 
 def verify(rows: DataFrame, group: Column, candidate: str, doc_id: str = "doc_id", leaf_digest: str = "leaf") -> DataFrame:
     """``doc_id, leaf, subroot, root, proof_sha256, folded_root, verified``: whether ``candidate`` folds to the root that the leaves have."""
-    manifest = build_manifest(rows, group, doc_id, leaf_digest)
+    changed = F.when(F.col(candidate) != F.col(leaf_digest), F.col(candidate))
+    manifest = build_manifest(rows.select(F.col(doc_id).alias("doc_id"), group.alias("group"), F.col(leaf_digest).alias("leaf"), changed.alias("candidate")), F.col("group"))
     schema = f"doc_id {rows.schema[doc_id].dataType.simpleString()}, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean"
     if manifest.root is None:
         return rows.sparkSession.createDataFrame([], schema)
-    climbed = climb(manifest, candidate, [doc_id])
+    climbed = climb(manifest, "candidate", ["doc_id"])
     subroots = F.broadcast(manifest.subroots) if small(manifest.subroots, BROADCAST_ROWS) else manifest.subroots
     return climbed.join(subroots, "tree").select(
-        F.col(doc_id).alias("doc_id"), F.col("digest").alias("leaf"), "subroot", F.lit(manifest.root).alias("root"), "proof_sha256", "folded_root",
+        "doc_id", F.col("digest").alias("leaf"), "subroot", F.lit(manifest.root).alias("root"), "proof_sha256", "folded_root",
         (F.col("folded_root") == F.lit(manifest.root)).alias("verified"),
     )
