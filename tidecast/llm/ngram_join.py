@@ -37,13 +37,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidecast.llm import words
 from tidecast.llm.components import components
-from tidecast.llm.staging import small, stage
+from tidecast.llm.staging import small, stage, worker_store
 
 SLICE_BYTES = 2_000_000
 #: Least ratio of the largest sizes of neighbouring bands.
@@ -57,8 +57,10 @@ BROADCAST_CLASSES = 200_000
 STAR_ROUNDS = 3
 #: Classes in a bucket up to which all pairs are compared; larger ones are compared by their edits.
 SMALL_BUCKET = 32
-#: Width of a level of ``f``.
+#: Width of the levels of ``f`` next to 0.
 LEVEL = 4
+#: Bound on the rounding errors of ``f``.
+ROUNDING = 1e-6
 #: Groups up to which the consensus sets are broadcast.
 BROADCAST_HUBS = 500
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -247,6 +249,7 @@ def sketch(docs: DataFrame, n: int, percent: int, plan: list[Band], common: np.n
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_store("ngram_join")  # what another operator has left goes
         for batch in batches:
             data, offsets = words.buffers(batch.column(1))
             for low, high in words.slices(offsets, SLICE_BYTES):
@@ -307,27 +310,34 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "u long, v long")
 
 
-def members(sketches: DataFrame, plan: list[Band]) -> DataFrame:
+def distinct_classes(sketches: DataFrame) -> DataFrame:
+    """One row for each class of equal sets, with its least document; copies are combined before they are shuffled."""
+    own = sketches.where("doc_id is not null and n_shingles > 0")
+    kept = ("n_shingles", "spare", "spare_next", "signatures")
+    return own.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first(F.struct(*kept)).alias("s")).select("key", "doc_id", "s.*")
+
+
+def _by_bucket(rows: DataFrame, *facts: Column) -> DataFrame:
+    """The rows with facts of their bucket, which are combined before the shuffle; a join spreads the rows of a hot bucket."""
+    return rows.join(rows.groupBy("bucket").agg(*facts), "bucket")
+
+
+def members(classes: DataFrame, plan: list[Band]) -> DataFrame:
     """``bucket, key, weight``: signatures that classes share, without the dearest ones of each class.
 
     ``weight`` grows with the buckets that a class is in, so it is largest for the typical class of a group.
     """
-    own = sketches.where("doc_id is not null")
-    by = Window.partitionBy("bucket")
-    rows = own.select("key", F.explode("signatures").alias("bucket"))
-    rows = rows.select("key", "bucket", F.min("key").over(by).alias("_low"), F.max("key").over(by).alias("_high"))
-    shared = stage(rows.where("_low != _high").select("bucket", "key").distinct(), "shared")
-    sizes = own.select("key", "n_shingles", "spare", "spare_next").distinct()
+    rows = classes.select("key", "n_shingles", "spare", "spare_next", F.explode(F.array_distinct("signatures")).alias("bucket"))
+    shared = _by_bucket(rows, F.count("*").alias("many"), F.max("n_shingles").alias("largest")).where("many > 1")
     band = F.col("bucket").bitwiseAND(63).cast("int")
     lows = F.array(*[F.lit(b.high) for b in [Band(0, 0, 0, 0), *plan[:-1]]])
-    rows = shared.join(sizes, "key").withColumn("band", band)
-    rows = rows.withColumn("many", F.count("*").over(by)).withColumn("largest", F.max("n_shingles").over(by))
-    slack = F.when(F.col("n_shingles") > F.get(lows, "band"), F.col("spare")).otherwise(F.col("spare_next"))
     # Without a set of the band itself, its smaller partners meet in their own band.
-    rows = rows.where(F.col("largest") > F.get(lows, "band"))
+    rows = shared.withColumn("band", band).where(F.col("largest") > F.get(lows, "band"))
+    slack = F.when(F.col("n_shingles") > F.get(lows, "band"), F.col("spare")).otherwise(F.col("spare_next"))
     dear = Window.partitionBy("key", "band").orderBy(F.col("many").desc(), "bucket")
     rows = rows.withColumn("_nth", F.row_number().over(dear)).where(F.col("_nth") > slack)
-    rows = rows.withColumn("many", F.count("*").over(by)).where("many > 1")
+    rows = stage(rows.select("bucket", "key"), "shared")
+    rows = _by_bucket(rows, F.count("*").alias("many")).where("many > 1")
     weight = F.sum("many").over(Window.partitionBy("key"))
     return stage(rows.select("bucket", "key", weight.alias("weight")), "members")
 
@@ -379,9 +389,9 @@ def keep_one(docs: DataFrame, n: int = 4, percent: int = 85, doc_id: str = "doc_
 
 def linked_classes(docs: DataFrame, sketches: DataFrame, plan: list[Band], n: int, percent: int, doc_id: str, text: str) -> DataFrame:
     """``node, component`` of all classes that link with another one."""
-    rows = members(sketches, plan)
-    one = sketches.where("doc_id is not null").join(rows.select("key").distinct(), "key")
-    one = stage(one.groupBy("key").agg(F.min("doc_id").alias("doc_id")), "chosen")
+    classes = stage(distinct_classes(sketches), "distinct")
+    rows = members(classes, plan)
+    one = stage(classes.select("key", "doc_id").join(rows.select("key").distinct(), "key", "left_semi"), "chosen")
     # Rows that repeat an id with its text bring the same set again; its edits would count several times.
     sets = stage(class_sets(docs, one, n, doc_id, text).dropDuplicates(["key"]), "sets")
     tested = links = labels = None
@@ -395,7 +405,7 @@ def linked_classes(docs: DataFrame, sketches: DataFrame, plan: list[Band], n: in
             large = stage(_large(open_rows), "large")
             edits = None if large.isEmpty() else stage(_edits(large, sets, percent), "edits")
             if turn == STAR_ROUNDS:
-                pairs = _middles(edits) if edits is not None else None
+                pairs = _middles(edits).unionByName(_edit_stars(edits)).distinct() if edits is not None else None
             else:
                 pairs = _across(_small(open_rows))
                 if edits is not None:
@@ -415,11 +425,9 @@ def linked_classes(docs: DataFrame, sketches: DataFrame, plan: list[Band], n: in
         if turn == last:
             return labels
         parts = rows.join(labels.select(F.col("node").alias("key"), "component"), "key", "left")
-        parts = parts.withColumn("part", F.coalesce("component", "key"))
-        by = Window.partitionBy("bucket")
-        several = F.min("part").over(by) != F.max("part").over(by)
-        open_rows = parts.withColumn("_open", several).where("_open").select("bucket", "key", "weight", "part")
-        open_rows = stage(open_rows.withColumn("many", F.count("*").over(by)), "open")
+        parts = parts.select("bucket", "key", "weight", F.coalesce("component", "key").alias("part"))
+        facts = F.min("part").alias("_low"), F.max("part").alias("_high"), F.count("*").alias("many")
+        open_rows = stage(_by_bucket(parts, *facts).where("_low != _high").drop("_low", "_high"), "open")
         if open_rows.isEmpty():
             return labels
         # Stars that connect nothing any more leave the rest to what follows.
@@ -431,10 +439,9 @@ def _stars(rows: DataFrame, turn: int) -> DataFrame:
 
     Each turn leaves out the part of the middle before, which has been compared with the others.
     """
-    by = Window.partitionBy("bucket")
-    middle = F.max(F.struct("weight", "key", "part")).over(by)
+    middle = F.max(F.struct("weight", "key", "part")).alias("_m")
     for _ in range(turn + 1):
-        rows = rows.withColumn("_m", middle).where("key = _m.key or part != _m.part")
+        rows = _by_bucket(rows, middle).where("key = _m.key or part != _m.part")
         stars, rows = rows, rows.where("part != _m.part").drop("_m")
     pairs = stars.where("part != _m.part")
     return pairs.select(F.least("key", "_m.key").alias("u"), F.greatest("key", "_m.key").alias("v")).distinct()
@@ -458,8 +465,7 @@ def _large(rows: DataFrame) -> DataFrame:
     A bucket's group is named by its most typical class, or by the most typical one that this class meets
     in any bucket, so the buckets of one large family of texts make one group.
     """
-    rows = rows.where(F.col("many") > SMALL_BUCKET)
-    rows = rows.withColumn("_top", F.max(F.struct("weight", "key")).over(Window.partitionBy("bucket")))
+    rows = _by_bucket(rows.where(F.col("many") > SMALL_BUCKET), F.max(F.struct("weight", "key")).alias("_top"))
     above = stage(rows.groupBy("key").agg(F.max("_top")["key"].alias("_above")), "above")
     grouped = rows.select(F.col("_top.key").alias("hub"), "key", "part").distinct()
     for _ in range(2):
@@ -514,29 +520,52 @@ def _middles(edits: DataFrame) -> DataFrame:
 
     If two classes link without sharing an edit (f + f' <= 0), both link with this one.
     """
-    middle = F.min(F.struct("f", "key", "part")).over(Window.partitionBy("hub"))
-    pairs = edits.select("key", "part", "f", middle.alias("_m")).where((F.col("part") != F.col("_m.part")) & (F.col("f") + F.col("_m.f") <= 1e-6))
+    middle = edits.groupBy("hub").agg(F.min(F.struct("f", "key", "part")).alias("_m"))
+    pairs = edits.select("hub", "key", "part", "f").join(middle, "hub").where((F.col("part") != F.col("_m.part")) & (F.col("f") + F.col("_m.f") <= ROUNDING))
+    return pairs.select(F.least("key", "_m.key").alias("u"), F.greatest("key", "_m.key").alias("v")).distinct()
+
+
+def _spread(edits: DataFrame) -> DataFrame:
+    """``hub, item, key, part, f, reach``: the edits of each class that others share and that a partner may have to be found by.
+
+    Linked classes share at least ``(f + f') / 2`` edits. If a class has ``r`` edits from here on, rarest first, then
+    the rarest one that it shares with a partner is here only if ``f' <= 2 r - f``, which is the edit's ``reach``. One order holds for all
+    classes of a group, so the rarest shared edit is the same for both.
+    """
+    rows = edits.select("hub", "key", "part", "f", F.explode("items").alias("item"))
+    counts = rows.groupBy("hub", "item").agg(F.count("*").alias("_n"))
+    rows = rows.join(counts, ["hub", "item"])
+    left = F.row_number().over(Window.partitionBy("hub", "key").orderBy(F.desc("_n"), F.desc("item")))
+    rows = rows.withColumn("reach", 2 * left - F.col("f") + ROUNDING)
+    return rows.where("_n > 1").drop("_n")
+
+
+def _edit_stars(edits: DataFrame) -> DataFrame:
+    """Pairs of the class of least ``f`` among those that share an edit with the others, as far as its edit's reach goes."""
+    rows = stage(_spread(edits), "spread")
+    middle = rows.groupBy("hub", "item").agg(F.min(F.struct("f", "key", "part")).alias("_m"))
+    pairs = rows.join(middle, ["hub", "item"]).where((F.col("part") != F.col("_m.part")) & (F.col("_m.f") <= F.col("reach")))
     return pairs.select(F.least("key", "_m.key").alias("u"), F.greatest("key", "_m.key").alias("v")).distinct()
 
 
 def _sharing_edits(edits: DataFrame) -> DataFrame:
-    """Pairs of a group that share rare edits and are not connected.
+    """Pairs of a group that share an edit within the reach of both and are not connected.
 
-    Linked classes share at least ``(f + f') / 2`` edits, so of the edits of each, rarest first, all but
-    so many less one are enough to meet. Classes are put into levels of ``f``; a class meets those of its
-    own level and of every lower one with as few edits as that level allows.
+    Each class is once under each edit. Classes are put into levels of ``f`` whose width grows with its distance from 0, so
+    they are few; a class meets those of its own level and of every lower one that its edit reaches.
     """
-    rows = edits.withColumn("level", F.floor(F.col("f") / LEVEL).cast("long"))
-    spread = rows.select("hub", "key", F.posexplode("items").alias("_i", "item"))
-    spread = spread.withColumn("_n", F.count("*").over(Window.partitionBy("hub", "item")))
-    nth = F.row_number().over(Window.partitionBy("hub", "key").orderBy("_n", "item"))
-    spread = spread.select("hub", "key", "item", "_n", nth.alias("_nth")).where("_n > 1").drop("_n")
-    levels = rows.groupBy("hub").agg(F.collect_set("level").alias("levels"))
-    met = F.explode(F.filter("levels", lambda at: at <= F.col("level"))).alias("at")
-    asks = rows.join(levels, "hub").select("hub", "key", "part", "level", "f", F.size("items").alias("_m"), met)
-    need = F.greatest(F.lit(1), F.ceil((F.col("f") + F.col("at") * LEVEL) / 2 - 1e-6))
-    asks = asks.withColumn("_upto", F.col("_m") - need + 1).where("_upto > 0")
-    asks = asks.join(spread, ["hub", "key"]).where("_nth <= _upto").select("hub", "item", "at", "key", "part", "level")
-    own = asks.where("at = level").select("hub", "item", "at", F.col("key").alias("v"), F.col("part").alias("other"))
-    pairs = asks.join(own, ["hub", "item", "at"]).where("part != other and (level > at or key < v)")
+    rows = stage(_spread(edits), "spread")
+    rows = rows.withColumn("level", _level(F.col("f"))).withColumn("last", F.least("level", _level(F.col("reach"))))
+    own = rows.where("last = level").select("hub", "item", F.col("level").alias("at"), F.col("key").alias("v"), F.col("part").alias("other"), F.col("f").alias("g"), F.col("reach").alias("far"))
+    levels = own.groupBy("hub", "item").agg(F.collect_set("at").alias("levels"))
+    met = F.explode(F.filter("levels", lambda at: at <= F.col("last"))).alias("at")
+    asks = rows.join(levels, ["hub", "item"]).select("hub", "item", "key", "part", "f", "reach", "level", met)
+    near = (F.col("g") <= F.col("reach")) & (F.col("f") <= F.col("far"))
+    pairs = asks.join(own, ["hub", "item", "at"]).where("part != other and (level > at or key < v)").where(near)
     return pairs.select(F.least("key", "v").alias("u"), F.greatest("key", "v").alias("v")).distinct()
+
+
+def _level(f: Column) -> Column:
+    """A step function that never falls: steps widen by half from one to the next, on either side of 0."""
+    steps = F.floor(F.log(F.greatest(F.abs(f), F.lit(LEVEL)) / LEVEL) / math.log(1.5))
+    return F.when(f >= LEVEL, steps + 1).when(f >= 0, 0).otherwise(-1 - steps).cast("int")
