@@ -246,7 +246,7 @@ def repair(turns: DataFrame, long_rows: int = 512, long_bytes: int = 1 << 24) ->
 
 def _remembered(name: str, fn: Callable, letters: pd.Series, most: int) -> list:
     """``fn`` of each conversation's letters; few patterns make up most conversations, so a worker keeps what it has solved."""
-    known = worker_store().setdefault(name, {})
+    known = worker_store("conversations").setdefault(name, {})
     if len(known) > most:
         known.clear()
     for x in set(letters) - known.keys():

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -38,6 +39,8 @@ UNKNOWN = "und"
 WEIGHTS = 1 << 17
 SLICE_BYTES = 2_000_000
 REMEMBERED = 1_500_000
+#: New runs of letters that are featurised at a time, and their bytes.
+CHUNK, CHUNK_BYTES = 4096, 1 << 17
 #: Chain steps that are multiplied one after the other; chains beyond that run side by side.
 STRIDE = 128
 
@@ -277,7 +280,39 @@ class _Worker:
 
     def forget(self) -> None:
         self.keys, self.rows = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.table = np.zeros((0, len(self.crf.labels)), np.float32)
+        self.table, self.used = np.zeros((1 << 12, len(self.crf.labels)), np.float32), 0
+
+    def add(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Put the emissions of runs of letters into the table; NaN where a run holds no letter.
+
+        A run's Python objects live no longer than those of ``CHUNK`` runs or ``CHUNK_BYTES`` bytes.
+        """
+        crf, first = self.crf, self.used
+        self.used += len(starts)
+        if self.used > len(self.table):
+            grown = np.zeros((max(self.used, 2 * len(self.table)), self.table.shape[1]), np.float32)
+            grown[:first] = self.table[:first]
+            self.table = grown
+        low = 0
+        while low < len(starts):
+            size = np.cumsum(lengths[low : low + CHUNK])
+            high = low + max(1, int(np.searchsorted(size, CHUNK_BYTES, side="right")))
+            flat, counts = array("i"), []
+            for a, n in zip(starts[low:high].tolist(), lengths[low:high].tolist()):
+                before = len(flat)
+                for w in letter_words(data[a : a + n].tobytes().decode("utf-8", "replace")):
+                    flat.extend(features(w, crf.lexicon, len(crf.labels)))
+                counts.append(len(flat) - before)
+            out = self.table[first + low : first + high]
+            out[:] = np.nan
+            some = np.flatnonzero(counts)
+            if len(some):
+                column, ends = np.frombuffer(flat, np.int32), np.cumsum(counts)
+                bounds = (ends - counts)[some]
+                for y in range(len(crf.labels)):
+                    out[some, y] = np.add.reduceat(crf.weights[column, y], bounds, dtype=np.float64)
+            low = high
+        return np.arange(first, self.used)
 
     def label(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Probabilities of the letter words of a slice, the rows that they belong to, and how they switch."""
@@ -290,19 +325,9 @@ class _Worker:
         have = at < len(self.keys)
         have[have] = self.keys[at[have]] == uniq[have]
         new = np.flatnonzero(~have)
-        text = [data[a : a + n].tobytes().decode("utf-8", "replace") for a, n in zip(starts[place[new]].tolist(), lengths[place[new]].tolist())]
-        fresh = np.full((len(new), len(crf.labels)), np.nan, np.float32)
-        lists = [(i, letter_words(t)) for i, t in enumerate(text)]
-        pairs = [(i, f) for i, found in lists for w in found if any(c.isalpha() for c in w) for f in features(w, crf.lexicon, len(crf.labels))]
-        if pairs:
-            owner, column = np.array(pairs).T
-            hit = np.unique(owner)
-            for y in range(len(crf.labels)):
-                fresh[hit, y] = np.bincount(owner, weights=crf.weights[column, y], minlength=len(new))[hit]
-        rows_new = len(self.table) + np.arange(len(new))
+        rows_new = self.add(data, starts[place[new]], lengths[place[new]])
         row = np.empty(len(uniq), np.int64)
         row[have], row[new] = self.rows[at[have]], rows_new
-        self.table = np.concatenate([self.table, fresh])
         self.keys, self.rows = np.insert(self.keys, at[new], uniq[new]), np.insert(self.rows, at[new], rows_new)
         emit = self.table[row[number]].astype(np.float64)
         keep = ~np.isnan(emit[:, 0])
@@ -324,7 +349,7 @@ def _predictor(crf: Crf):
         n = len(offsets) - 1
         best, score, count, moves = np.zeros(n, np.int64), np.zeros(n), np.zeros(n, np.int64), np.zeros(n, np.int64)
         if crf.weights is not None:
-            store = worker_store()
+            store = worker_store("language")
             if store.get("crf", (None,))[0] != token:
                 store["crf"] = (token, _Worker(crf))
             total, count, moves = store["crf"][1].label(data, offsets)

@@ -30,9 +30,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def worker_store() -> dict:
-    """A dictionary that lives as long as the Python worker, so that caches outlast one task."""
-    return vars(sys.modules.setdefault("_tidecast_worker", types.ModuleType("_tidecast_worker")))
+def worker_store(owner: str) -> dict:
+    """A dictionary that lives as long as the Python worker, so that caches outlast one task.
+
+    A worker goes through many stages. It keeps the caches of one operator; when another one asks, they go.
+    """
+    held = vars(sys.modules.setdefault("_tidecast_worker", types.ModuleType("_tidecast_worker")))
+    if held.get("owner") != owner:
+        held.update(owner=owner, store={})
+    return held["store"]
 
 
 def small(df: DataFrame, rows: int) -> bool:

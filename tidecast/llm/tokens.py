@@ -196,7 +196,7 @@ class Encoder:
 
 def encoder(path: str) -> Encoder:
     """The worker's encoder for a vocabulary file."""
-    store = worker_store()
+    store = worker_store("tokens")
     key = f"encoder {path}"
     if key not in store:
         store[key] = Encoder(path)
