@@ -311,10 +311,14 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def distinct_classes(sketches: DataFrame) -> DataFrame:
-    """One row for each class of equal sets, with its least document; copies are combined before they are shuffled."""
+    """The sketches without further copies: one row for each class of equal sets.
+
+    Copies are found by keys and row numbers alone, so signatures are not shuffled for it.
+    """
     own = sketches.where("doc_id is not null and n_shingles > 0")
-    kept = ("n_shingles", "spare", "spare_next", "signatures")
-    return own.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first(F.struct(*kept)).alias("s")).select("key", "doc_id", "s.*")
+    first = own.groupBy("key").agg(F.min("row").alias("_first"))
+    copies = stage(own.select("key", "row").join(first, "key").where("row != _first").select("row"), "copies")
+    return own.join(F.broadcast(copies) if small(copies, BROADCAST_CLASSES) else copies, "row", "left_anti")
 
 
 def _by_bucket(rows: DataFrame, *facts: Column) -> DataFrame:
@@ -327,8 +331,13 @@ def members(classes: DataFrame, plan: list[Band]) -> DataFrame:
 
     ``weight`` grows with the buckets that a class is in, so it is largest for the typical class of a group.
     """
-    rows = classes.select("key", "n_shingles", "spare", "spare_next", F.explode(F.array_distinct("signatures")).alias("bucket"))
-    shared = _by_bucket(rows, F.count("*").alias("many"), F.max("n_shingles").alias("largest")).where("many > 1")
+    # All but a few signatures have one class only; this pass keeps those of several, with 16 bytes for each.
+    by = Window.partitionBy("bucket")
+    rows = classes.select("key", F.explode(F.array_distinct("signatures")).alias("bucket"))
+    rows = rows.select("key", "bucket", F.min("key").over(by).alias("_low"), F.max("key").over(by).alias("_high"))
+    shared = stage(rows.where("_low != _high").select("bucket", "key"), "shared")
+    shared = shared.join(classes.select("key", "n_shingles", "spare", "spare_next"), "key")
+    shared = _by_bucket(shared, F.count("*").alias("many"), F.max("n_shingles").alias("largest"))
     band = F.col("bucket").bitwiseAND(63).cast("int")
     lows = F.array(*[F.lit(b.high) for b in [Band(0, 0, 0, 0), *plan[:-1]]])
     # Without a set of the band itself, its smaller partners meet in their own band.
@@ -336,7 +345,7 @@ def members(classes: DataFrame, plan: list[Band]) -> DataFrame:
     slack = F.when(F.col("n_shingles") > F.get(lows, "band"), F.col("spare")).otherwise(F.col("spare_next"))
     dear = Window.partitionBy("key", "band").orderBy(F.col("many").desc(), "bucket")
     rows = rows.withColumn("_nth", F.row_number().over(dear)).where(F.col("_nth") > slack)
-    rows = stage(rows.select("bucket", "key"), "shared")
+    rows = stage(rows.select("bucket", "key"), "dear")
     rows = _by_bucket(rows, F.count("*").alias("many")).where("many > 1")
     weight = F.sum("many").over(Window.partitionBy("key"))
     return stage(rows.select("bucket", "key", weight.alias("weight")), "members")
@@ -352,9 +361,9 @@ def join_components(
     """
     plan = bands(percent, max(1000, docs.count() // 16))
     common = common_items(docs, n, doc_id, text)
-    sketches = stage(sketch(docs, n, percent, plan, common, doc_id, text), "sketches")
+    sketches = stage(sketch(docs, n, percent, plan, common, doc_id, text).withColumn("row", F.monotonically_increasing_id()), "sketches")
     labels = linked_classes(docs, sketches, plan, n, percent, doc_id, text)
-    classes = sketches.drop("signatures", "spare", "spare_next").join(labels.select(F.col("node").alias("key"), "component"), "key", "left")
+    classes = sketches.drop("signatures", "spare", "spare_next", "row").join(labels.select(F.col("node").alias("key"), "component"), "key", "left")
     # Without links a class is its own component; the second hash and the size keep chance equals apart.
     alone = F.col("component").isNull()
     name = F.struct(
@@ -389,7 +398,7 @@ def keep_one(docs: DataFrame, n: int = 4, percent: int = 85, doc_id: str = "doc_
 
 def linked_classes(docs: DataFrame, sketches: DataFrame, plan: list[Band], n: int, percent: int, doc_id: str, text: str) -> DataFrame:
     """``node, component`` of all classes that link with another one."""
-    classes = stage(distinct_classes(sketches), "distinct")
+    classes = distinct_classes(sketches)
     rows = members(classes, plan)
     one = stage(classes.select("key", "doc_id").join(rows.select("key").distinct(), "key", "left_semi"), "chosen")
     # Rows that repeat an id with its text bring the same set again; its edits would count several times.
