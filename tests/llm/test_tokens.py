@@ -112,27 +112,72 @@ def test_packing_an_empty_table(empty):
     assert packing.pack(packing.cut_pieces(empty, WORD)).collect() == []
 
 
+def checked(histogram, capacity=2048):
+    """Number of sequences of the plan, and the share of the tokens below ``capacity`` that the program placed."""
+    plan, n_program = packing.make_plan(histogram, capacity)
+    placed = defaultdict(int)
+    for content, times in plan:
+        assert times > 0 and sum(k * v for k, v in content.items()) <= capacity
+        for k, v in content.items():
+            placed[k] += v * times
+    assert placed == {k: v for k, v in histogram.items() if v}
+    first = capacity in histogram
+    made = sum(times * sum(k * v for k, v in content.items()) for content, times in plan[first : first + n_program])
+    return sum(t for _, t in plan), made / max(1, sum(k * v for k, v in histogram.items() if k < capacity))
+
+
 @pytest.mark.parametrize("many", [1, 40, 3000])
 def test_plan_places_all_lengths_in_few_sequences(many):
     rng = np.random.default_rng(many)
     lengths = np.clip(rng.lognormal(6, 1, many * 20).astype(int), 1, 2048)
     histogram = {int(k): int(v) for k, v in zip(*np.unique(lengths, return_counts=True))}
-    plan = packing.make_plan(histogram)
-    placed = defaultdict(int)
-    for content, times in plan:
-        assert sum(k * v for k, v in content.items()) <= 2048
-        for k, v in content.items():
-            placed[k] += v * times
-    assert placed == histogram
-    bound = -(-int(lengths.sum()) // 2048)
-    assert sum(t for _, t in plan) <= bound * 1.02 + 1
+    sequences, share = checked(histogram)
+    assert sequences <= -(-int(lengths.sum()) // 2048) * 1.002 + 1
+    assert share >= 0.5
+
+
+def test_plan_of_documents_comes_from_the_program(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    pieces = packing.cut_pieces(docs, WORD)
+    histogram = {r.length: r["count"] for r in pieces.groupBy("length").count().collect()}
+    sequences, share = checked(histogram)
+    assert sequences <= -(-sum(k * v for k, v in histogram.items()) // 2048) * 1.01
+    assert share >= 0.5
+
+
+def test_the_program_beats_best_fit():
+    """Lengths whose size says little: a third of a sequence and more, or five of them."""
+    rng = np.random.default_rng(0)
+    near_thirds = np.clip(rng.normal(680, 30, 20_000).astype(int), 1, 2047)
+    histogram = {int(k): int(v) for k, v in zip(*np.unique(near_thirds, return_counts=True))}
+    for counts, most in ((histogram, 6670), ({1100: 3000, 950: 2500, 700: 1000, 600: 4000, 353: 2000}, 5256)):
+        sequences, share = checked(counts)
+        assert sequences <= most < sum(t for _, t in packing.best_fit(counts, 2048)) - 50
+        assert share == 1
+
+
+@pytest.mark.parametrize("histogram", [{}, {2048: 3}, {5: 3}, {2000: 7, 1500: 9}, {1: 100_000, 2: 5}, {700: 1000, 2048: 2}])
+def test_plan_of_odd_histograms(histogram):
+    assert checked(histogram)[0] == sum(t for _, t in packing.best_fit(histogram, 2048))
+
+
+def test_dual_prices_bound_every_configuration():
+    lengths, counts = np.array([353, 600, 700, 950, 1100]), np.array([2000, 4000, 1000, 2500, 3000])
+    found, bound, dual = packing.solve(lengths, counts, 2048, 2000, 0.1, 0.01)
+    assert packing.best_configuration(lengths, dual, counts, 2048)[1] <= 1 + 1e-9
+    assert bound == pytest.approx(float(dual @ counts))
+    covered = sum(config * x for config, x in found)
+    assert (covered >= counts * (1 - 1e-9)).all()
+    assert bound <= sum(x for _, x in found) <= 1.03 * bound
 
 
 def test_knapsack_prices():
     lengths, prices = np.array([2, 3, 7]), np.array([1.0, 1.6, 3.0])
-    best = packing.best_configuration(lengths, prices, 10)
-    value = max(a * 1.0 + b * 1.6 + c * 3.0 for a in range(6) for b in range(4) for c in range(2) if 2 * a + 3 * b + 7 * c <= 10)
-    assert float(best @ prices) == pytest.approx(value) and best @ lengths <= 10
+    for bounds in ([9, 9, 9], [1, 2, 1], [0, 3, 0]):
+        best, found = packing.best_configuration(lengths, prices, np.array(bounds), 10)
+        fits = [(a, b, c) for a in range(bounds[0] + 1) for b in range(bounds[1] + 1) for c in range(bounds[2] + 1) if 2 * a + 3 * b + 7 * c <= 10]
+        assert found == pytest.approx(max(float(np.dot(x, prices)) for x in fits)) == pytest.approx(float(best @ prices))
+        assert tuple(best) in fits
 
 
 def test_repeats_of_one_length_are_placed():
