@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -95,6 +97,34 @@ def test_stability_index(spark):
     assert got["shift"].drifted
 
 
+def psi_exact(new, base):
+    """With edges as fractions."""
+    base, n = sorted(base), len(base)
+    edges = set()
+    for i in range(11):
+        whole, rest = divmod((n - 1) * i, 10)
+        edges.add(base[whole] + Fraction(rest, 10) * (base[min(whole + 1, n - 1)] - base[whole]))
+    inner = sorted(edges)[1:-1]
+    bins = max(1, len(edges) - 1)
+    share = lambda values: [max(sum(sum(e <= v for e in inner) == b for v in values) / len(values), 1e-6) for b in range(bins)]
+    return sum((q - p) * math.log(q / p) for p, q in zip(share(base), share(new)))
+
+
+def test_values_on_the_edges_of_bins(spark):
+    """Interpolated edges that are whole numbers, for which products of doubles are off."""
+    rng = np.random.default_rng(7)
+    base, new = [], []
+    for i in range(60):
+        n = int(rng.integers(5, 40))
+        base += [(f"c{i}", int(v)) for v in rng.integers(0, 30, n) * rng.choice([1, 3, 10])]
+        new += [(f"c{i}", int(v)) for v in rng.integers(0, 300, 25)]
+    schema = "city string, orders bigint"
+    got = {r.city: r.psi for r in drift.population_stability(spark.createDataFrame(new, schema), spark.createDataFrame(base, schema)).collect()}
+    for city, psi in got.items():
+        assert psi == pytest.approx(psi_exact([v for c, v in new if c == city], [v for c, v in base if c == city]), abs=1e-9)
+    assert len(got) == 60
+
+
 def test_rolling_accuracy_counts_days(spark):
     rows = [(DAY, 100, 90.0), (DAY, 100, 70.0), (DAY + dt.timedelta(days=6), 100, 100.0), (DAY + dt.timedelta(days=7), 100, 50.0)]
     df = spark.createDataFrame(rows, "date date, orders bigint, pred_orders double")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,8 +22,8 @@ def _bucket(value: Column) -> Column:
     return F.floor(F.signum(value) * F.log2(1 + F.abs(value)) * 64)
 
 
-def quantiles(counts: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
-    """(keys, n_rows, quantiles array) from ``value_counts``.
+def _values_at(counts: DataFrame, keys: list[str], ranks: list[Callable[[Column], Column]]) -> DataFrame:
+    """(keys, n_rows, at_0, at_1, ...): the values at ranks (from 0), each a function of the key's number of rows.
 
     Values are counted by ranges first. The running count over a key's ranges tells in which of them the
     wanted ranks lie, and only those are ranked value by value. So no task sorts all values of a key;
@@ -37,8 +39,8 @@ def quantiles(counts: DataFrame, keys: list[str], probs: list[float]) -> DataFra
         .withColumn("total", F.sum("_size").over(by_key))
         .withColumn("_before", F.col("_upto") - F.col("_size"))
     )
-    ranks = [f((F.col("total") - 1) * F.lit(float(p))) for p in probs for f in (F.floor, F.ceil)]
-    holds = F.exists(F.array(*ranks), lambda r: (F.col("_before") <= r) & (r < F.col("_upto")))
+    wanted = F.array(*[rank(F.col("total")) for rank in ranks])
+    holds = F.exists(wanted, lambda r: (F.col("_before") <= r) & (r < F.col("_upto")))
     ranges = ranges.where(holds).select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_bucket").alias("_wanted"), "_before", "total")
     same = F.col("_bucket") == F.col("_wanted")
     for k in keys:
@@ -47,19 +49,38 @@ def quantiles(counts: DataFrame, keys: list[str], probs: list[float]) -> DataFra
     ranked = placed.join(ranges, same).select(
         *keys, "value", (F.col("_before") + F.sum("n").over(inside)).alias("upto"), "total"
     )
-    picks = []
-    for i, p in enumerate(probs):
-        rank = (F.col("total") - 1) * F.lit(float(p))
-        picks.append(F.min(F.when(F.col("upto") > F.floor(rank), F.col("value"))).alias(f"lo_{i}"))
-        picks.append(F.min(F.when(F.col("upto") > F.ceil(rank), F.col("value"))).alias(f"hi_{i}"))
-    picked = ranked.groupBy(*keys).agg(F.first("total").alias("n_rows"), *picks)
+    picks = [F.min(F.when(F.col("upto") > rank(F.col("total")), F.col("value"))).alias(f"at_{i}") for i, rank in enumerate(ranks)]
+    return ranked.groupBy(*keys).agg(F.first("total").alias("n_rows"), *picks)
+
+
+def quantiles(counts: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+    """(keys, n_rows, quantiles array) from ``value_counts``, interpolated between neighbouring values."""
+    ranks = [lambda total, p=p, f=f: f((total - 1) * F.lit(float(p))) for p in probs for f in (F.floor, F.ceil)]
 
     def interpolated(i: int, p: float):
         rank = (F.col("n_rows") - 1) * F.lit(float(p))
-        return F.col(f"lo_{i}") + (F.col(f"hi_{i}") - F.col(f"lo_{i}")) * (rank - F.floor(rank))
+        low, high = F.col(f"at_{2 * i}"), F.col(f"at_{2 * i + 1}")
+        return low + (high - low) * (rank - F.floor(rank))
 
-    return picked.select(
+    return _values_at(counts, keys, ranks).select(
         *keys,
         "n_rows",
         F.array(*[interpolated(i, p) for i, p in enumerate(probs)]).alias("quantiles"),
     )
+
+
+def scaled_quantiles(counts: DataFrame, keys: list[str], parts: int) -> DataFrame:
+    """(keys, n_rows, quantiles array): the edges of ``parts`` equal parts, each times ``parts``.
+
+    A rank (n - 1) * i / parts is split by whole-number division, so for whole values the scaled edges are whole
+    and a value on an edge is told exactly: ``parts * value >= edge``.
+    """
+    place = lambda total, i: (total - 1) * F.lit(i)
+    low = [lambda total, i=i: ((place(total, i) - place(total, i) % parts) / parts).cast("long") for i in range(parts + 1)]
+    ranks = [rank for first in low for rank in (first, lambda total, f=first: F.least(f(total) + 1, total - 1))]
+
+    def edge(i: int):
+        low, high = F.col(f"at_{2 * i}"), F.col(f"at_{2 * i + 1}")
+        return low * parts + (high - low) * (place(F.col("n_rows"), i) % parts)
+
+    return _values_at(counts, keys, ranks).select(*keys, "n_rows", F.array(*[edge(i) for i in range(parts + 1)]).alias("quantiles"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidecast.config import SETTINGS
-from tidecast.functions.quantiles import quantiles, value_counts
+from tidecast.functions.quantiles import scaled_quantiles, value_counts
 
 BINS = 10
 FLOOR = 1e-6
@@ -25,7 +25,8 @@ def population_stability(
     """
     base_counts = value_counts(baseline, [key], value)
     new_counts = value_counts(new, [key], value)
-    deciles = quantiles(base_counts, [key], [i / BINS for i in range(BINS + 1)])
+    # Edges times BINS: whole for whole values, so a value on an edge is never off by a rounding error.
+    deciles = scaled_quantiles(base_counts, [key], BINS)
     edges = deciles.select(key, F.array_distinct("quantiles").alias("edges"))
     both = base_counts.withColumn("is_new", F.lit(False)).unionByName(
         new_counts.withColumn("is_new", F.lit(True))
@@ -39,7 +40,7 @@ def population_stability(
         F.when(degenerate, F.lit(1)).otherwise(F.size("edges") - 1).alias("bins"),
         # A constant baseline has the single bin [0, inf): negatives fall out of it.
         F.when(degenerate, F.when(F.col("value") >= 0, F.lit(0)))
-        .otherwise(F.size(F.filter(inner, lambda e: e <= F.col("value"))))
+        .otherwise(F.size(F.filter(inner, lambda e: e <= BINS * F.col("value"))))
         .alias("bin"),
     )
 

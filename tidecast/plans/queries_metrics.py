@@ -202,14 +202,16 @@ def perf_drift_history(spark, sf_dir):
 
 
 def _psi_sql(split: str, panel: str = PANEL) -> str:
-    grid = ", ".join(f"{i / 10}" for i in range(11))
-    return f"""with {panel}, b as (select city, orders::double as x from panel where date < date '{split}'),
-n as (select city, orders::double as x from panel where date >= date '{split}'),
-e as (select city, list_sort(list_distinct(quantile_cont(x, [{grid}]))) as e, count(*) as nb from b group by 1),
+    # Deciles times 10, in whole numbers.
+    edge = "l[(n - 1) * i // 10 + 1] * (10 - (n - 1) * i % 10) + coalesce(l[(n - 1) * i // 10 + 2], 0) * ((n - 1) * i % 10)"
+    return f"""with {panel}, b as (select city, orders as x from panel where date < date '{split}'),
+n as (select city, orders as x from panel where date >= date '{split}'),
+v as (select city, list(x order by x) as l, count(x) as n from b where x is not null group by 1),
+e as (select city, list_sort(list_distinct(list_transform(range(11), lambda i: {edge}))) as e, n as nb from v),
 k as (select city, case when len(e) < 2 then 1 else len(e) - 1 end as bins, e, nb from e),
 side as (select 'b' as s, city, x from b union all select 'n', city, x from n),
 placed as (select s, k.city, case when len(e) < 2 then case when x >= 0 then 0 end
-    else len(list_filter(e[2:len(e)-1], lambda v: v <= x)) end as bin from side join k using (city)),
+    else len(list_filter(e[2:len(e)-1], lambda v: v <= 10 * x)) end as bin from side join k using (city)),
 cnt as (select s, city, bin, count(*) as c from placed group by 1, 2, 3),
 tot as (select city, count(*) filter (s = 'b') as tb, count(*) filter (s = 'n') as tn from placed group by 1),
 grid as (select city, unnest(range(bins)) as bin from k),
