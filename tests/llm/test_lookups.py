@@ -50,6 +50,24 @@ def test_search_finds_most_of_the_nearest(spark):
     assert hits >= 0.95 * 20 * len(queries)
 
 
+@pytest.mark.parametrize("long", [None, 100.0, 1e6, 1e25])
+def test_recall_does_not_depend_on_lengths(spark, long):
+    """Lengths over six powers of ten, or one vector that is longer than all others by far."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(1600, 12))
+    if long is None:
+        x *= 10 ** rng.uniform(-3, 3, (1600, 1))
+    else:
+        x[11] *= long
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    queries = rows[::20]
+    found = graph_search.search(graph_search.build_index(df, shard_points=800), df.where("vec_id % 20 = 0")).collect()
+    exact = nearest(rows, queries, 20)
+    hits = len({(r.query_id, r.vec_id) for r in found} & {(i, j) for i, _ in queries for j, _ in exact[i]})
+    assert len(found) == 20 * len(queries) and hits >= 0.95 * len(found)
+
+
 def test_equal_vectors_and_small_tables_are_exact(spark):
     nan = float("nan")
     rows = [(i, [1.0, 2.0]) for i in range(30)] + [(100, [0.0, 0.0]), (101, None), (102, [1.0, nan]), (103, [None, 1.0]), (104, [1.0, 2.0, 3.0]),

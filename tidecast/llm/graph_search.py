@@ -1,10 +1,10 @@
 """Approximate nearest neighbours by inner product on robust-pruned directed graphs.
 
-Distinct vectors are dealt by hash into shards of a bounded size, and each shard builds one graph: points
-are added in batches, a greedy beam search over the graph so far proposes neighbours, and relaxed pruning
+Distinct vectors are dealt into bands of lengths, each up to twice the one before, and inside a band by hash into shards of a bounded size.
+Each shard builds one graph: points are added in batches, a greedy beam search over the graph so far proposes neighbours, and relaxed pruning
 keeps a proposal only if no kept neighbour is clearly nearer to it. An extra coordinate makes all lengths
-in a shard equal, so the nearest point is the one with the largest inner product. Every query searches
-every shard with a beam, many queries in step, and the shards' best are merged.
+in a shard equal, so the nearest point is the one with the largest inner product; as lengths differ by a factor of two at most, it never
+drowns the others. Every query searches every shard with a beam, many queries in step, and the shards' best are merged.
 
 Equal vectors are one point that knows its smallest ids; with ``k + 1`` of them no answer is lost, since
 ties go to smaller ids. Scores are inner products of the original vectors in double precision.
@@ -24,25 +24,34 @@ from pyspark.sql import functions as F
 
 from tidecast.llm.staging import stage
 
-#: Points in a shard, neighbours of a point, beam widths, relaxation of pruning.
-SHARD_POINTS, DEGREE, BUILD_BEAM, SEARCH_BEAM, ALPHA = 8192, 48, 64, 128, 1.2
+#: Points in a shard, as few and as many (large tables have larger shards, so queries visit fewer).
+SHARD_POINTS, MOST_POINTS, SHARDS = 8192, 65_536, 64
+#: Neighbours of a point, beam widths, relaxation of pruning.
+DEGREE, BUILD_BEAM, SEARCH_BEAM, ALPHA = 48, 64, 128, 1.2
 #: Queries or points handled in step, and points added in one batch.
 IN_STEP, BATCH = 256, 1024
 #: Queries that one task searches a shard with.
-QUERY_BLOCK = 8192
+QUERY_BLOCK = 65_536
+
+
+def scaled(x: np.ndarray) -> np.ndarray:
+    """The vectors over the power of two next to their largest component, so that no product overflows."""
+    most = np.abs(x).max(initial=0)
+    return np.ldexp(x, -int(np.frexp(most)[1])) if most else x
 
 
 def lifted(x: np.ndarray) -> np.ndarray:
-    """Vectors with a coordinate that makes their lengths equal."""
+    """Scaled vectors with a coordinate that makes their lengths equal."""
+    x = scaled(x)
     norms = (x * x).sum(axis=1)
-    return np.concatenate([x, np.sqrt(np.maximum(0, norms.max() - norms))[:, None]], axis=1).astype(np.float32)
+    return np.concatenate([x, np.sqrt(np.maximum(0, norms.max() - norms))[:, None]], axis=1)
 
 
 def beam_search(x: np.ndarray, graph: np.ndarray, entry: int, queries: np.ndarray, beam: int, expand: int = 4) -> tuple[np.ndarray, np.ndarray]:
     """The best points found for each query, nearest first, and their inner products; -1 fills up."""
     n, rows = len(queries), np.arange(len(queries))[:, None]
     ids = np.full((n, beam), -1)
-    near = np.full((n, beam), -np.inf, np.float32)
+    near = np.full((n, beam), -np.inf)
     done = np.ones((n, beam), dtype=bool)
     seen = np.zeros((n, len(x)), dtype=bool)
     ids[:, 0], near[:, 0], done[:, 0], seen[:, entry] = entry, queries @ x[entry], False, True
@@ -67,7 +76,7 @@ def beam_search(x: np.ndarray, graph: np.ndarray, entry: int, queries: np.ndarra
         fresh = found >= 0
         r, c = np.nonzero(fresh)
         seen[r, found[r, c]] = True
-        score = np.full(found.shape, -np.inf, np.float32)
+        score = np.full(found.shape, -np.inf)
         score[r, c] = np.einsum("ij,ij->i", x[found[r, c]], queries[r])
         ids, near = np.concatenate([ids, found], axis=1), np.concatenate([near, score], axis=1)
         done = np.concatenate([done, ~fresh], axis=1)
@@ -144,7 +153,8 @@ def search_shard(x: np.ndarray, graph: np.ndarray, entry: int, queries: np.ndarr
     """Points found for each query, nearest first by the lifted vectors; all of a shard that is small."""
     if len(x) <= max(beam, wanted):
         return np.broadcast_to(np.arange(len(x)), (len(queries), len(x)))
-    lifted_queries = np.concatenate([queries, np.zeros((len(queries), 1))], axis=1).astype(np.float32)
+    most = np.abs(queries).max(axis=1, initial=0, keepdims=True)
+    lifted_queries = np.concatenate([np.ldexp(queries, -np.frexp(most)[1]), np.zeros((len(queries), 1))], axis=1)
     parts = [beam_search(x, graph, entry, lifted_queries[i : i + IN_STEP], beam)[0] for i in range(0, len(queries), IN_STEP)]
     return np.concatenate(parts)
 
@@ -175,7 +185,17 @@ def build_index(rows: DataFrame, k: int = 20, shard_points: int = SHARD_POINTS,
     rows = rows.withColumn("_nth", nth).where(F.col("_nth") <= k + 1)
     points = rows.groupBy("_a", "_b").agg(F.first("vector").alias("vector"), F.sort_array(F.collect_list("vec_id")).alias("ids"))
     points = stage(points, "points")
-    shards = max(1, -(-points.count() // shard_points))
+    most = F.array_max(F.transform("vector", F.abs))
+    squares = F.aggregate(F.transform("vector", lambda v: F.pow(v / most, 2)), F.lit(0.0), lambda a, v: a + v)
+    banded = points.withColumn("band", F.floor(F.log2(most) + F.log2(squares) / 2).cast("int"))
+    # At most one band for each exponent of a double.
+    bands = sorted((r.band, r.n) for r in banded.groupBy("band").agg(F.count("*").alias("n")).collect())
+    shard_points = min(MOST_POINTS, max(shard_points, sum(n for _, n in bands) // SHARDS))
+    places, shards = [], 0
+    for band, n in bands:
+        places.append((band, shards, -(-n // shard_points)))
+        shards += places[-1][2]
+    places = points.sparkSession.createDataFrame(places, "band int, first int, many int")
 
     def build(table: pa.Table) -> pa.Table:
         x = _matrix(table["vector"])
@@ -187,7 +207,8 @@ def build_index(rows: DataFrame, k: int = 20, shard_points: int = SHARD_POINTS,
             "neighbours": neighbours, "entry": pa.array(np.full(n, entry), pa.int32()),
         })
 
-    dealt = points.select(F.pmod("_a", F.lit(shards)).cast("int").alias("shard"), "ids", "vector")
+    shard = (F.col("first") + F.pmod("_a", F.col("many"))).cast("int")
+    dealt = banded.join(F.broadcast(places), "band").select(shard.alias("shard"), "ids", "vector")
     schema = "shard int, point int, ids array<bigint>, vector array<double>, neighbours array<int>, entry int"
     return stage(dealt.groupBy("shard").applyInArrow(build, schema), "index")
 
