@@ -17,7 +17,7 @@ from tidecast.llm.staging import stage
 
 def test_names():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language", "near_duplicates", "secrets", "mixing", "packing"]
-    assert {q.split("_")[0] for q in queries.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in queries.QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert {"pipeline", *queries.QUERIES} <= set(entry.queries())
 
 

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidecast.llm import simple8b, words
+from tidecast.llm.staging import map_batches
 from tidecast.llm.tokens import SLICE_BYTES, encoder
 
 #: Documents aimed at for each shard.
@@ -77,8 +78,7 @@ def write_ids(
                 )
 
     (
-        docs.select(F.col(doc_id), F.col(text))
-        .mapInArrow(run, schema)
+        map_batches(docs.select(F.col(doc_id), F.col(text)), run, schema)
         .repartitionById(len(bounds) + 1, F.col("shard"))
         .sortWithinPartitions("shard", "doc_id", "n_tokens", "crc")
         .drop("crc")
@@ -125,7 +125,7 @@ def read_ids(spark: SparkSession, path: str, with_ids: bool = False) -> DataFram
                     columns.append(pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.array(ids.astype(np.int64))))
                 yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
 
-    return files.mapInArrow(run, T.StructType(fields))
+    return map_batches(files, run, T.StructType(fields))
 
 
 def corpus_index(spark: SparkSession, path: str) -> DataFrame:

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidecast.llm import words
+from tidecast.llm.staging import map_batches
 from tidecast.llm.language import held_out
 
 SLICE_BYTES = 500_000
@@ -210,4 +211,4 @@ def score(docs: DataFrame, model: Classifier, least: float = 0.7, doc_id: str =
             columns = [*batch.columns[:2], pa.array(p), pa.array((p >= least).astype(np.int32)), pa.array(count.sum(axis=1))]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return docs.select(F.col(doc_id), held_out(doc_id).alias("held_out"), F.col(text)).mapInArrow(run, schema)
+    return map_batches(docs.select(F.col(doc_id), held_out(doc_id).alias("held_out"), F.col(text)), run, schema)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidecast.llm.staging import small, stage, worker_store
+from tidecast.llm.staging import map_batches, small, stage, worker_store
 
 KEEP, REROLE, DELETE, INSERT, TRUNCATED = 0, 3, 4, 3, 3
 #: States of the pattern: nothing yet, after the system turn, after a user's, after an assistant's.
@@ -452,7 +452,7 @@ def digests(found: Repaired) -> DataFrame:
         if state is not None:
             yield pa.RecordBatch.from_arrays([pa.array([now], column), pa.array([state.hexdigest()])], names=["conv_id", "sha"])
 
-    hashed = turns.mapInArrow(run, f"conv_id {kind}, sha string")
+    hashed = map_batches(turns, run, f"conv_id {kind}, sha string")
     rows = rows.alias("r").join(hashed.alias("h"), F.col("r.conv_id").eqNullSafe(F.col("h.conv_id")), "left")
     empty = hashlib.sha256().hexdigest()
     return rows.select("r.conv_id", *COUNTS, "cost", "audit", F.coalesce("r.repaired_sha256", "h.sha", F.lit(empty)).alias("repaired_sha256"))

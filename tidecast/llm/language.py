@@ -32,13 +32,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidecast.llm import words
-from tidecast.llm.staging import worker_store
+from tidecast.llm.staging import map_batches, worker_store
 
 UNKNOWN = "und"
 #: Hashed features; the first entries belong to the lexicon, the length and the bias.
 WEIGHTS = 1 << 17
-SLICE_BYTES = 2_000_000
-REMEMBERED = 1_500_000
+SLICE_BYTES = 1_000_000
+REMEMBERED = 800_000
 #: New runs of letters that are featurised at a time, and their bytes.
 CHUNK, CHUNK_BYTES = 4096, 1 << 17
 #: Chain steps that are multiplied one after the other; chains beyond that run side by side.
@@ -378,7 +378,7 @@ def predict(docs: DataFrame, crf: Crf, doc_id: str = "doc_id", text: str = "text
                 columns = [*(c.slice(low, high - low) for c in batch.columns[:2]), pa.array([names[i] for i in best], pa.string())]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(score), pa.array(count), pa.array(moves)], names=schema.names)
 
-    return docs.select(F.col(doc_id), held_out(doc_id).alias("held_out"), F.col(text)).mapInArrow(run, schema)
+    return map_batches(docs.select(F.col(doc_id), held_out(doc_id).alias("held_out"), F.col(text)), run, schema)
 
 
 def keep_languages(docs: DataFrame, crf: Crf, least_score: float = 0.5, text: str = "text") -> DataFrame:
@@ -392,4 +392,4 @@ def keep_languages(docs: DataFrame, crf: Crf, least_score: float = 0.5, text: st
                 best, score, _, _ = label(data[offsets[low] : offsets[high]], offsets[low : high + 1])
                 yield batch.slice(low, high - low).filter(pa.array((best > 0) & (score >= least_score)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)

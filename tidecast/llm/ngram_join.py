@@ -43,7 +43,7 @@ from pyspark.sql import types as T
 
 from tidecast.llm import words
 from tidecast.llm.components import components
-from tidecast.llm.staging import small, stage, worker_store
+from tidecast.llm.staging import map_batches, small, stage, worker_store
 
 SLICE_BYTES = 2_000_000
 #: Least ratio of the largest sizes of neighbouring bands.
@@ -134,7 +134,7 @@ def common_items(docs: DataFrame, n: int, doc_id: str, text: str, sample: int =
                 items, count = np.unique(sets, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(_signed(items)), pa.array(count)], names=["item", "n"])
 
-    counts = docs.where(picked).select(F.col(text)).mapInArrow(run, "item long, n long").groupBy("item").agg(F.sum("n").alias("n"))
+    counts = map_batches(docs.where(picked).select(F.col(text)), run, "item long, n long").groupBy("item").agg(F.sum("n").alias("n"))
     rows = counts.where(F.col("n") >= least).orderBy(F.desc("n"), "item").limit(most).select("item").collect()
     return np.sort(np.array([r.item for r in rows], np.int64).view(np.uint64))
 
@@ -265,7 +265,7 @@ def sketch(docs: DataFrame, n: int, percent: int, plan: list[Band], common: np.n
                     names=schema.names,
                 )
 
-    return docs.select(F.col(doc_id), F.col(text)).mapInArrow(run, schema)
+    return map_batches(docs.select(F.col(doc_id), F.col(text)), run, schema)
 
 
 def class_sets(docs: DataFrame, wanted: DataFrame, n: int, doc_id: str, text: str) -> DataFrame:
@@ -285,7 +285,7 @@ def class_sets(docs: DataFrame, wanted: DataFrame, n: int, doc_id: str, text: st
                 items = [sets[bounds[i] : bounds[i + 1]].tobytes() for i in rows]
                 yield pa.RecordBatch.from_arrays([pa.array(key[rows]), pa.array(items, pa.binary())], names=["key", "items"])
 
-    return found.mapInArrow(run, "key long, items binary")
+    return map_batches(found, run, "key long, items binary")
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -307,7 +307,7 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             keep = pa.array(ok, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["u", "v"])
 
-    return both.mapInArrow(run, "u long, v long")
+    return map_batches(both, run, "u long, v long")
 
 
 def distinct_classes(sketches: DataFrame) -> DataFrame:
@@ -501,7 +501,7 @@ def _edits(large: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 item, n = np.unique(np.concatenate(mine), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(item), hub)), pa.array(item), pa.array(n)], names=["hub", "item", "n"])
 
-    counts = members_.select("hub", "items").mapInArrow(elements, "hub long, item long, n long").groupBy("hub", "item").agg(F.sum("n").alias("n"))
+    counts = map_batches(members_.select("hub", "items"), elements, "hub long, item long, n long").groupBy("hub", "item").agg(F.sum("n").alias("n"))
     sizes = large.groupBy("hub").agg(F.count("*").alias("many"))
     usual = counts.join(sizes, "hub").where(2 * F.col("n") > F.col("many")).groupBy("hub").agg(F.collect_list("item").alias("usual"))
     usual = stage(usual, "consensus")
@@ -521,7 +521,7 @@ def _edits(large: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 [*batch.columns[:3], pa.array(out, pa.list_(pa.int64())), pa.array(f, pa.float64())], names=["hub", "key", "part", "items", "f"]
             )
 
-    return rows.mapInArrow(differ, "hub long, key long, part long, items array<long>, f double")
+    return map_batches(rows, differ, "hub long, key long, part long, items array<long>, f double")
 
 
 def _middles(edits: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidecast.llm import words
-from tidecast.llm.staging import stage
+from tidecast.llm.staging import map_batches, stage
 from tidecast.llm.tokens import SLICE_BYTES, encoder
 
 #: Buckets that the pieces of one length are dealt over for ranking.
@@ -70,7 +70,7 @@ def cut_pieces(
                     columns.append(pa.array([bytes(p) for p in parts], pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
 
-    return docs.select(F.col(doc_id), F.col(text)).mapInArrow(run, T.StructType(fields))
+    return map_batches(docs.select(F.col(doc_id), F.col(text)), run, T.StructType(fields))
 
 
 def best_configuration(lengths: np.ndarray, prices: np.ndarray, bounds: np.ndarray, capacity: int) -> tuple[np.ndarray, float]:
@@ -298,4 +298,4 @@ def pack(pieces: DataFrame, capacity: int = 2048, rounds: int = 2000, rate: floa
             columns.append(pa.array(slots["offset"][slot] + rank % each * length))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return ranked.mapInArrow(run, schema)
+    return map_batches(ranked, run, schema)

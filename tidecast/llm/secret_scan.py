@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidecast.llm import words
-from tidecast.llm.staging import stage
+from tidecast.llm.staging import map_batches, stage
 
 SLICE_BYTES = 4_000_000
 KINDS = ("assign", "access", "hex", "random")
@@ -203,7 +203,7 @@ def fit(docs: DataFrame, text: str = "text") -> Model:
                 yield pa.RecordBatch.from_arrays([pa.nulls(len(tokens), schema.types[0]), pa.array(tokens, pa.binary())], schema=schema)
         yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], schema.types[0]), pa.nulls(1, pa.binary())], schema=schema)
 
-    seen = stage(docs.select(F.col(text)).mapInArrow(run, "counts array<bigint>, token binary"), "characters")
+    seen = stage(map_batches(docs.select(F.col(text)), run, "counts array<bigint>, token binary"), "characters")
     rows = seen.where("counts is not null").select(F.posexplode("counts").alias("pair", "n")).groupBy("pair").agg(F.sum("n").alias("n")).collect()
     counts = np.ones((_OTHER + 1) ** 2)
     counts[[r.pair for r in rows]] += [r.n for r in rows]
@@ -217,7 +217,7 @@ def fit(docs: DataFrame, text: str = "text") -> Model:
             bins = [model.bin(t, encoding(t)) for t in tokens]
             yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(bins, pa.int32())], names=["kind", "bin"])
 
-    found = seen.where("token is not null").select("token").mapInArrow(binned, "kind int, bin int")
+    found = map_batches(seen.where("token is not null").select("token"), binned, "kind int, bin int")
     table = np.zeros((len(LENGTHS), POWERS * BINS + 1))
     for r in found.groupBy("kind", "bin").agg(F.count("*").alias("n")).collect():
         table[r.kind, r.bin] = r.n
@@ -291,7 +291,7 @@ def scan(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: str
                 columns = [pa.array(list(c), t) for c, t in zip(zip(*rows), [pa.int64()] * 3 + [pa.string()] * 2)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), *columns], names=schema.names)
 
-    return docs.select(F.col(doc_id), F.col(text)).mapInArrow(run, schema)
+    return map_batches(docs.select(F.col(doc_id), F.col(text)), run, schema)
 
 
 def redact(docs: DataFrame, model: Model | None, text: str = "text", mark: str = "[secret]") -> DataFrame:
@@ -320,4 +320,4 @@ def redact(docs: DataFrame, model: Model | None, text: str = "text", mark: str =
             columns = [column if i == at_text else c for i, c in enumerate(batch.columns)]
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)

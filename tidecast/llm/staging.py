@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import sys
 import types
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tidecast.session import scratch_path
 
+#: Rows of an Arrow batch.
+BATCH_ROWS = 2000
+
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder, deleted when the session's JVM ends."""
@@ -41,6 +46,18 @@ def worker_store(owner: str) -> dict:
     return held["store"]
 
 
+def map_batches(df: DataFrame, fn: Callable, schema: T.StructType | str) -> DataFrame:
+    """``mapInArrow`` with batches of at most ``BATCH_ROWS`` rows.
+
+    A batch is held several times on its way (the JVM's buffers, Arrow's, the function's), and the default of 10,000
+    whole texts is too much for two tasks beside a full heap. The session's setting is lowered; it changes no result.
+    """
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(rows)) <= BATCH_ROWS:
+        df.sparkSession.conf.set(rows, str(BATCH_ROWS))
+    return df.mapInArrow(fn, schema)
+
+
 def small(df: DataFrame, rows: int) -> bool:
     """Whether ``df`` has at most ``rows`` rows; reads no more than it needs to know."""
     return df.limit(rows + 1).count() <= rows

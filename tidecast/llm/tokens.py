@@ -17,10 +17,10 @@ from tidecast.llm import words
 from tidecast.llm.staging import worker_store
 
 #: Pieces remembered at once, and the longest piece that is remembered, in bytes.
-REMEMBERED, LONGEST = 2_500_000, 48
+REMEMBERED, LONGEST = 1_200_000, 48
 #: Parts of pieces remembered at once.
-PARTS = 300_000
-SLICE_BYTES = 3_000_000
+PARTS = 150_000
+SLICE_BYTES = 2_000_000
 
 _WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 _LOWER_ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
