@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import PANEL_SCHEMA, demand
-from tidecast.config import FEATURE_COLUMNS
+from tidecast.config import TREE_FEATURES
 from tidecast.operators import additive, anomaly, explain, forecast, registry, trees
 from tidecast.operators.features import build_features
 from tidecast.plans import jobs
@@ -138,9 +138,9 @@ def test_weather_and_promos_reach_the_horizon(spark, panel, forecaster):
 
 
 def test_node_table_scores_like_the_model(spark, panel, forecaster):
-    feats = forecaster.features(panel)
+    feats = forecaster.tree_features(panel)
     pdf = trees.predict_trees(forecaster.tree_model, feats).toPandas()
-    x = pdf[list(FEATURE_COLUMNS)].fillna(0.0).to_numpy(dtype=float)
+    x = pdf.reindex(columns=list(TREE_FEATURES)).fillna(0.0).to_numpy(dtype=float)
     np.testing.assert_allclose(forecaster.nodes(spark).score(x), pdf["tree_pred"], rtol=1e-9)
 
 
@@ -175,7 +175,7 @@ def test_attributions_are_shapley_values(spark, panel):
     model = trees.fit_trees(build_features(panel), rounds=2, depth=3, step=0.5)
     nodes = trees.Nodes.of(trees.node_table(spark, model))
     pdf = build_features(panel).toPandas()
-    x = pdf[list(FEATURE_COLUMNS)].to_numpy(dtype=float)[::40]
+    x = pdf.reindex(columns=list(TREE_FEATURES)).fillna(0.0).to_numpy(dtype=float)[::40]
     phi, base = trees.attribute(nodes, x)
     for row, got in zip(x, phi):
         want, expected = brute_shapley(nodes, row)
@@ -184,7 +184,7 @@ def test_attributions_are_shapley_values(spark, panel):
 
 
 def test_attributions_add_up(spark, panel, forecaster):
-    scored = trees.predict_trees(forecaster.tree_model, forecaster.features(panel))
+    scored = trees.predict_trees(forecaster.tree_model, forecaster.tree_features(panel))
     out = trees.with_attributions(scored, forecaster.nodes(spark))
     total = F.aggregate("attributions", F.col("base_value"), lambda s, v: s + v)
     assert out.select(F.max(F.abs(total - F.col("tree_pred")))).first()[0] < 1e-6

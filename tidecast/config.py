@@ -56,6 +56,10 @@ FEATURE_COLUMNS = (
     *INTERACTION_FEATURES,
     *RATIO_FEATURES,
 )
+#: What tells series apart in the pooled trees; fitted on training days, not part of the feature table.
+SERIES_FEATURES = ("series_weekday", "series_spread")
+#: The columns that the trees split on.
+TREE_FEATURES = (*FEATURE_COLUMNS, *SERIES_FEATURES)
 #: Features whose attributions add up to "the weather part" of a prediction.
 WEATHER_ATTRIBUTION_FEATURES = (*WEATHER_COLUMN_FEATURES, "promo_x_rainy", "festival_x_rainy")
 #: Exogenous flags the additive model may use.
@@ -76,6 +80,9 @@ class Settings:
     boosting_rounds: int = 100
     boosting_step: float = 0.05
     tree_depth: int = 5
+    band_rounds: int = 5
+    band_step: float = 0.5
+    band_depth: int = 3
     max_stale_days: int = 3
     psi_threshold: float = 0.2
     drift_threshold: float = 8.0

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.config import FEATURE_COLUMNS, WEATHER_ATTRIBUTION_FEATURES
+from tidecast.config import FEATURE_COLUMNS, TREE_FEATURES, WEATHER_ATTRIBUTION_FEATURES
 
 
 def _values(df: DataFrame) -> Column:
@@ -41,7 +41,7 @@ def top_drivers(df: DataFrame, n: int = 5) -> DataFrame:
 
     Sorting happens inside the row, so nothing is shuffled. Ties keep the feature order.
     """
-    names = F.array(*[F.lit(c) for c in FEATURE_COLUMNS])
+    names = F.array(*[F.lit(c) for c in TREE_FEATURES])
     items = F.transform(
         "attributions",
         lambda v, i: F.struct((-F.abs(v)).alias("rank"), i.alias("i"), v.alias("attribution")),
@@ -67,13 +67,13 @@ def weather_attribution(df: DataFrame) -> DataFrame:
     """Add ``weather_attribution``: the sum over the weather-related features."""
     total: Column = F.lit(0.0)
     for name in WEATHER_ATTRIBUTION_FEATURES:
-        total = total + F.col("attributions")[FEATURE_COLUMNS.index(name)]
+        total = total + F.col("attributions")[TREE_FEATURES.index(name)]
     return df.withColumn("weather_attribution", total)
 
 
 def global_importance(df: DataFrame, n: int = 15) -> DataFrame:
     """The n features with the largest mean absolute attribution."""
-    names = F.array(*[F.lit(c) for c in FEATURE_COLUMNS])
+    names = F.array(*[F.lit(c) for c in TREE_FEATURES])
     means = (
         df.select(F.posexplode("attributions").alias("i", "v"))
         .groupBy("i")

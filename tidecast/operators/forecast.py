@@ -23,6 +23,7 @@ from tidecast.config import (
     ROLLING_FEATURES,
     ROLLING_WINDOWS,
     SETTINGS,
+    TREE_FEATURES,
 )
 from tidecast.functions.columns import (
     calendar_columns,
@@ -39,6 +40,8 @@ from tidecast.operators.features import (
     fit_target_encoding,
     last_rows,
 )
+from tidecast.operators.profiles import apply_series_profiles, fit_series_profiles
+from tidecast.operators.quantile_trees import QuantileTrees, fit_quantile_trees
 from tidecast.session import scratch_path
 from tidecast.sources.promos import overlay_promos
 from tidecast.sources.weather import override_weather
@@ -91,10 +94,13 @@ class DemandForecaster:
     seed: int = SETTINGS.random_seed
     holdout: float = 0.2
     segment_rows: int | None = None
+    band_rounds: int = SETTINGS.band_rounds
     tree_model: GBTRegressionModel | None = None
     encoding: DataFrame | None = None
     additive: DataFrame | None = None
     bands: DataFrame | None = None
+    profiles: DataFrame | None = None
+    band_trees: QuantileTrees | None = None
     _nodes: trees.Nodes | None = field(default=None, repr=False)
 
     def _fitted(self) -> None:
@@ -108,12 +114,18 @@ class DemandForecaster:
         raw = df.drop(*[c for c in FEATURE_COLUMNS if c in df.columns])
         return build_features(raw, self.encoding, fill="none", segment_rows=self.segment_rows)
 
+    def tree_features(self, df: DataFrame) -> DataFrame:
+        """The frame with all columns that the trees split on."""
+        feats = self.features(df)
+        return feats if self.profiles is None else apply_series_profiles(feats, self.profiles)
+
     def fit(self, df: DataFrame, intervals: bool = True) -> DemandForecaster:
         """Fit on a panel or on a feature table.
 
         The trees learn from rows with all lags, unless there are none. With ``intervals`` a second fit
-        leaves out the newest ``holdout`` share of the days of each series, and the residual quantiles
-        come from there; its encoding is that of the days before. Both fits run at the same time.
+        leaves out the newest ``holdout`` share of the days of each series; its encoding and profiles are those
+        of the days before. The residuals of those days give quantiles per series, and trees on the
+        pinball loss what these quantiles depend on. Both fits run at the same time.
         Fitted tables are written to the shared folder, so that predicting never fits again.
         """
         missing = {"date", "city", "orders"} - set(df.columns)
@@ -121,25 +133,27 @@ class DemandForecaster:
             raise ValueError(f"training data lacks columns: {sorted(missing)}")
         spark = df.sparkSession
         self.encoding = _stored(spark, fit_target_encoding(df), "encoding")
+        self.profiles = _stored(spark, fit_series_profiles(df), "profiles")
         feats = self.features(df)
         if feats is not df:
             # Both fits and the additive model read the features; built ones are stored once.
             feats = _stored(spark, feats, "features")
         with ThreadPool(2) as pool:
             bands = pool.apply_async(self._fit_bands, (feats,)) if intervals else None
-            self.tree_model = self._fit_trees(feats)
+            self.tree_model = self._fit_trees(feats, self.profiles)
             self.additive = _stored(spark, fit_additive(feats), "additive")
-            self.bands = bands.get() if bands else None
+            self.bands, self.band_trees = bands.get() if bands else (None, None)
         self._nodes = None
         return self
 
-    def _fit_trees(self, feats: DataFrame) -> GBTRegressionModel:
+    def _fit_trees(self, feats: DataFrame, profiles: DataFrame) -> GBTRegressionModel:
+        feats = apply_series_profiles(feats, profiles, leave_out=True)
         complete = feats.where(F.col(f"orders_lag_{max(LAGS)}").isNotNull())
         rows = feats if complete.isEmpty() else complete
         return trees.fit_trees(rows, "orders", self.rounds, self.step, self.depth, self.seed)
 
-    def _fit_bands(self, feats: DataFrame) -> DataFrame:
-        """Residual quantiles per series on its newest days, by a model that has not seen them."""
+    def _fit_bands(self, feats: DataFrame) -> tuple[DataFrame, QuantileTrees]:
+        """Residual quantiles per series on its newest days, by a model that has not seen them, and their corrections."""
         day = F.col("date").cast("date")
         span = feats.groupBy("city").agg(F.min(day).alias("_lo"), F.max(day).alias("_hi"))
         kept = F.floor(F.datediff("_hi", "_lo") * (1.0 - self.holdout)).cast("int")
@@ -148,16 +162,20 @@ class DemandForecaster:
         early, late = (placed.where(c).drop("_cut") for c in (day <= F.col("_cut"), day > F.col("_cut")))
         early = _stored(feats.sparkSession, early, "early")
         encoding = _stored(feats.sparkSession, fit_target_encoding(early), "encoding")
-        model = self._fit_trees(apply_target_encoding(early, encoding))
-        held_out = trees.predict_trees(model, apply_target_encoding(late, encoding)).select(
-            "city", (F.col("orders").cast("double") - F.col("tree_pred")).alias("residuals")
-        )
-        return _stored(feats.sparkSession, residual_quantiles(held_out, self.alphas), "bands")
+        profiles = _stored(feats.sparkSession, fit_series_profiles(early), "profiles")
+        model = self._fit_trees(apply_target_encoding(early, encoding), profiles)
+        scored = trees.predict_trees(model, apply_series_profiles(apply_target_encoding(late, encoding), profiles))
+        residual = (F.col("orders").cast("double") - F.col("tree_pred")).alias("residuals")
+        held_out = _stored(feats.sparkSession, scored.select("city", *TREE_FEATURES, residual), "held-out")
+        bands = _stored(feats.sparkSession, residual_quantiles(held_out, self.alphas), "bands")
+        store = lambda df: _stored(feats.sparkSession, df, "left")
+        placed = held_out.join(bands, "city")
+        return bands, fit_quantile_trees(placed, self.alphas, store, rounds=self.band_rounds, seed=self.seed)
 
     def components(self, df: DataFrame) -> DataFrame:
         """Add tree_pred, additive_pred and additive_sigma."""
         self._fitted()
-        return predict_additive(trees.predict_trees(self.tree_model, self.features(df)), self.additive)
+        return predict_additive(trees.predict_trees(self.tree_model, self.tree_features(df)), self.additive)
 
     def predict(self, df: DataFrame) -> DataFrame:
         """Add ``pred_orders`` next to the two components."""
@@ -168,15 +186,23 @@ class DemandForecaster:
 
     def predict_intervals(self, df: DataFrame) -> DataFrame:
         """Add ``pred_orders`` and one band column per alpha."""
-        return self._with_bands(self.predict(df))
+        predicted = self.predict(df)
+        if self.band_trees is None:
+            return self._with_bands(predicted)
+        return self._with_bands(predicted, [self.band_trees.column(a) for a in self.alphas])
 
-    def _with_bands(self, predicted: DataFrame) -> DataFrame:
-        """Bands around predictions; without fitted bands every band equals the mean."""
+    def _with_bands(self, predicted: DataFrame, corrections: list[Column] | None = None) -> DataFrame:
+        """Bands around predictions: the series' quantile of residuals, and what the features change in it.
+
+        Without fitted bands every band equals the mean.
+        """
         if self.bands is None:
             return predicted.withColumns({band_name(a): F.col("pred_orders") for a in self.alphas})
         out = with_series_params(predicted, self.bands)
         for i, alpha in enumerate(self.alphas):
             tree = F.col("tree_pred") + F.col("_params.quantiles")[i]
+            if corrections is not None:
+                tree = tree + corrections[i]
             z = NormalDist().inv_cdf(alpha)
             additive = F.col("additive_pred") + F.lit(z) * F.col("additive_sigma")
             out = out.withColumn(
@@ -216,7 +242,9 @@ class DemandForecaster:
             calendar_columns() | weather_columns(grid.columns) | interaction_columns(grid.columns)
         )
         static = predict_additive(apply_target_encoding(static, self.encoding), self.additive)
-        known = [c for c in FEATURE_COLUMNS if c not in RECURSIVE]
+        if self.profiles is not None:
+            static = apply_series_profiles(static, self.profiles)
+        known = [c for c in TREE_FEATURES if c not in RECURSIVE and c in static.columns]
         day = F.struct(
             "date",
             *[c for c in grid.columns if c not in ("date", "city")],
@@ -231,17 +259,17 @@ class DemandForecaster:
             .groupBy("city")
             .agg(F.array_sort(F.collect_list(F.struct("date", F.col("orders").cast("double").alias("y")))).alias("t"))
         )
-        roll = _roll_forward(self.nodes(history.sparkSession), self.tree_weight, self.additive_weight, known)
+        corrections = [self.band_trees.scorer(a) for a in self.alphas] if self.band_trees is not None else []
+        roll = _roll_forward(self.nodes(history.sparkSession), self.tree_weight, self.additive_weight, known, corrections)
         rolled = days.join(tail, "city").withColumn(
             "steps",
             roll(F.col("t.y"), F.flatten(F.col("days.known")), F.col("days.additive_pred")),
         )
-        rows = rolled.select(
-            "city",
-            F.explode(F.arrays_zip("days", F.col("steps.tree").alias("tree_pred"), F.col("steps.mean").alias("pred_orders"))).alias("z"),
-        ).select("city", "z.days.*", "z.tree_pred", "z.pred_orders")
-        out = self._with_bands(rows).withColumn("orders", F.col("pred_orders"))
-        return out.withColumn("is_future", F.lit(True)).drop("known")
+        steps = [F.col(f"steps.{c}").alias(to) for c, to in (("tree", "tree_pred"), ("mean", "pred_orders"), ("bands", "_bands"))]
+        rows = rolled.select("city", F.explode(F.arrays_zip("days", *steps)).alias("z"))
+        rows = rows.select("city", "z.days.*", "z.tree_pred", "z.pred_orders", "z._bands")
+        out = self._with_bands(rows, [F.col("_bands")[i] for i in range(len(corrections))] or None)
+        return out.withColumn("orders", F.col("pred_orders")).withColumn("is_future", F.lit(True)).drop("known", "_bands")
 
     @staticmethod
     def horizon_rows(history: DataFrame, horizon_days: int) -> DataFrame:
@@ -272,17 +300,20 @@ class DemandForecaster:
                 self.holdout,
                 self.segment_rows,
                 self.bands is not None,
+                self.band_rounds,
             )
         ]
         spark.createDataFrame(
             settings,
             "tree_weight double, additive_weight double, alphas array<double>, rounds int, "
-            "step double, depth int, seed int, holdout double, segment_rows int, has_bands boolean",
+            "step double, depth int, seed int, holdout double, segment_rows int, has_bands boolean, band_rounds int",
         ).write.mode("overwrite").parquet(f"{path}/settings")
         self.tree_model.write().overwrite().save(f"{path}/trees")
         self.encoding.write.mode("overwrite").parquet(f"{path}/encoding")
         self.additive.write.mode("overwrite").parquet(f"{path}/additive")
+        self.profiles.write.mode("overwrite").parquet(f"{path}/profiles")
         if self.bands is not None:
+            self.band_trees.table(spark).write.mode("overwrite").parquet(f"{path}/band_trees")
             self.bands.write.mode("overwrite").parquet(f"{path}/bands")
 
     @classmethod
@@ -301,10 +332,13 @@ class DemandForecaster:
             seed=s.seed,
             holdout=s.holdout,
             segment_rows=s.segment_rows,
+            band_rounds=s.band_rounds,
             tree_model=GBTRegressionModel.load(f"{path}/trees"),
             encoding=spark.read.parquet(f"{path}/encoding"),
             additive=spark.read.parquet(f"{path}/additive"),
             bands=spark.read.parquet(f"{path}/bands") if s.has_bands else None,
+            profiles=spark.read.parquet(f"{path}/profiles"),
+            band_trees=QuantileTrees.of(spark.read.parquet(f"{path}/band_trees"), tuple(s.alphas)) if s.has_bands else None,
         )
 
 
@@ -339,12 +373,12 @@ def _recursive_features(past: np.ndarray) -> np.ndarray:
     return np.nan_to_num(np.column_stack([lags, rolled, ratio, mean_ratio]))
 
 
-def _roll_forward(nodes: trees.Nodes, tree_weight: float, additive_weight: float, known: list[str]):
-    """Function of (tail, known features of all days, additive predictions) -> predictions per day."""
-    place_known = [FEATURE_COLUMNS.index(c) for c in known]
-    place_recursive = [FEATURE_COLUMNS.index(c) for c in RECURSIVE]
+def _roll_forward(nodes: trees.Nodes, tree_weight: float, additive_weight: float, known: list[str], corrections: list):
+    """Function of (tail, known features of all days, additive predictions) -> predictions per day, and what each of ``corrections`` adds to its band."""
+    place_known = [TREE_FEATURES.index(c) for c in known]
+    place_recursive = [TREE_FEATURES.index(c) for c in RECURSIVE]
 
-    @F.pandas_udf("tree array<double>, mean array<double>")
+    @F.pandas_udf("tree array<double>, mean array<double>, bands array<array<double>>")
     def roll(tails: pd.Series, static: pd.Series, additive: pd.Series) -> pd.DataFrame:
         past = np.full((len(tails), TAIL), np.nan)
         for i, tail in enumerate(tails):
@@ -353,14 +387,17 @@ def _roll_forward(nodes: trees.Nodes, tree_weight: float, additive_weight: float
         added = np.stack(additive.to_numpy())
         fixed = np.stack(static.to_numpy()).reshape(len(tails), added.shape[1], len(known))
         tree, mean = np.empty_like(added), np.empty_like(added)
-        x = np.empty((len(tails), len(FEATURE_COLUMNS)))
+        bands = np.zeros((*added.shape, len(corrections)))
+        x = np.zeros((len(tails), len(TREE_FEATURES)))
         for step in range(added.shape[1]):
             x[:, place_known] = fixed[:, step]
             x[:, place_recursive] = _recursive_features(past)
             tree[:, step] = nodes.score(x)
+            for i, score in enumerate(corrections):
+                bands[:, step, i] = score(x)
             raw = tree_weight * tree[:, step] + additive_weight * added[:, step]
             mean[:, step] = np.maximum(0.0, np.nan_to_num(raw, nan=0.0, posinf=0.0, neginf=0.0))
             past = np.column_stack([past[:, 1:], mean[:, step]])
-        return pd.DataFrame({"tree": list(tree), "mean": list(mean)})
+        return pd.DataFrame({"tree": list(tree), "mean": list(mean), "bands": [list(b) for b in bands]})
 
     return roll

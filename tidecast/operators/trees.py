@@ -9,19 +9,24 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecast.config import FEATURE_COLUMNS, SETTINGS
+from tidecast.config import SERIES_FEATURES, SETTINGS, TREE_FEATURES
 from tidecast.session import ensure_checkpoint_dir, scratch_path
 
 VECTOR = "_features"
 
 
+def _values(columns: list[str]) -> list[Column]:
+    absent = set(SERIES_FEATURES) - set(columns)
+    return [F.lit(0.0) if c in absent else F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in TREE_FEATURES]
+
+
 def assemble(df: DataFrame) -> DataFrame:
-    """Feature vector of the 46 columns; a missing value counts as 0."""
-    ready = df.withColumns({f"_x_{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in FEATURE_COLUMNS})
-    names = [f"_x_{c}" for c in FEATURE_COLUMNS]
+    """Feature vector of ``TREE_FEATURES``; a missing value counts as 0, and so does a series feature that is not there."""
+    ready = df.withColumns({f"_x_{c}": x for c, x in zip(TREE_FEATURES, _values(df.columns))})
+    names = [f"_x_{c}" for c in TREE_FEATURES]
     return VectorAssembler(inputCols=names, outputCol=VECTOR).transform(ready).drop(*names)
 
 
@@ -33,7 +38,7 @@ def fit_trees(
     depth: int = SETTINGS.tree_depth,
     seed: int = SETTINGS.random_seed,
 ) -> GBTRegressionModel:
-    """One model over all series. The encoding feature tells the series apart.
+    """One model over all series. The encoding and the series features tell the series apart.
 
     The rows are read a few times to find split candidates and to bin the values; the rounds then
     run on the binned rows, which the estimator keeps itself. Best given a stored feature table.
@@ -144,7 +149,7 @@ def attribute(nodes: Nodes, x: np.ndarray) -> tuple[np.ndarray, float]:
     Shapley weight of a coalition of k others is k! (d-k-1)! / d!, and the sum over coalitions of one
     size is a coefficient of the product of (share_j + pass_j t).
     """
-    phi = np.zeros((len(x), len(FEATURE_COLUMNS)))
+    phi = np.zeros((len(x), len(TREE_FEATURES)))
     base = 0.0
     for value, path in nodes.leaves():
         used = list(path)
@@ -171,8 +176,8 @@ def attribute(nodes: Nodes, x: np.ndarray) -> tuple[np.ndarray, float]:
 
 
 def with_attributions(df: DataFrame, nodes: Nodes, batch_rows: int = 4096) -> DataFrame:
-    """Add ``attributions`` (array aligned with FEATURE_COLUMNS) and ``base_value``."""
-    base = float(attribute(nodes, np.zeros((1, len(FEATURE_COLUMNS))))[1])
+    """Add ``attributions`` (array aligned with TREE_FEATURES) and ``base_value``."""
+    base = float(attribute(nodes, np.zeros((1, len(TREE_FEATURES))))[1])
 
     @F.pandas_udf("array<double>")
     def explain(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -184,5 +189,5 @@ def with_attributions(df: DataFrame, nodes: Nodes, batch_rows: int = 4096) -> Da
             parts = [attribute(nodes, x[i : i + batch_rows])[0] for i in range(0, len(x), batch_rows)]
             yield pd.Series(list(np.concatenate(parts)))
 
-    values = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in FEATURE_COLUMNS])
+    values = F.array(*_values(df.columns))
     return df.withColumn("attributions", explain(values)).withColumn("base_value", F.lit(base))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.config import FEATURE_COLUMNS, WEATHER_ATTRIBUTION_FEATURES
+from tidecast.config import FEATURE_COLUMNS, TREE_FEATURES, WEATHER_ATTRIBUTION_FEATURES
 from tidecast.operators import additive, anomaly, backtest, explain, forecast, metrics, registry, trees
 from tidecast.operators.features import build_features
 from tidecast.plans import jobs
@@ -282,9 +282,9 @@ def walk_forward_eval(spark, sf_dir):
 def attributions(spark, sf_dir):
     """Shapley attributions of the tree prediction, one row per (date, city, feature)."""
     model = fitted(spark, sf_dir)
-    feats = model.features(orders_panel(spark, sf_dir))
+    feats = model.tree_features(orders_panel(spark, sf_dir))
     scored = trees.predict_trees(model.tree_model, trees.with_attributions(feats, model.nodes(spark)))
-    names = F.array(*[F.lit(c) for c in FEATURE_COLUMNS])
+    names = F.array(*[F.lit(c) for c in TREE_FEATURES])
     return scored.select(
         "date",
         "city",
@@ -297,7 +297,7 @@ def attributions(spark, sf_dir):
 @query("tree_importance")
 def tree_importance(spark, sf_dir):
     model = fitted(spark, sf_dir)
-    feats = model.features(orders_panel(spark, sf_dir))
+    feats = model.tree_features(orders_panel(spark, sf_dir))
     return explain.global_importance(trees.with_attributions(feats, model.nodes(spark)), 15)
 
 
@@ -385,7 +385,7 @@ def walk_forward_baseline(spark, sf_dir):
 
 @query(
     "attribution_sums",
-    f"with {PANEL} select date, city, {len(FEATURE_COLUMNS)}::bigint as n_features, true as adds_up from panel",
+    f"with {PANEL} select date, city, {len(TREE_FEATURES)}::bigint as n_features, true as adds_up from panel",
     python=True,
 )
 def attribution_sums(spark, sf_dir):
