@@ -209,6 +209,82 @@ def test_additive_model_recovers_structure(spark):
     assert params.first().sigma < 0.5
 
 
+def broken_trend(n=900, at=450, noise=2.0, seed=6):
+    """A trend that turns once, in series A, and a straight one in series B."""
+    rng = np.random.default_rng(seed)
+    days = np.arange(n)
+    frames = []
+    for city, bend in (("A", -0.4), ("B", 0.0)):
+        y = 300 + 0.2 * days + bend * np.maximum(0, days - at) + rng.normal(0, noise, n)
+        dates = [dt.date(2021, 1, 1) + dt.timedelta(days=int(i)) for i in days]
+        frames.append(pd.DataFrame({"date": dates, "city": city, "orders": y}))
+    return pd.concat(frames, ignore_index=True)
+
+
+def test_trend_changes_are_sparse_and_a_planted_one_is_found(spark):
+    df = spark.createDataFrame(broken_trend(), "date date, city string, orders double")
+    params = {r.city: r for r in additive.fit_additive(df).collect()}
+    changes = {c: np.array(p.coef[2 : 2 + additive.CHANGEPOINTS]) for c, p in params.items()}
+    knots = additive.CHANGEPOINT_RANGE * np.arange(1, additive.CHANGEPOINTS + 1) / (additive.CHANGEPOINTS + 1)
+    near = np.abs(knots - 0.5) < 0.07
+    assert changes["A"][near].sum() == pytest.approx(-0.4 * 899, rel=0.15)
+    assert np.abs(changes["A"][~near]).sum() < 0.25 * np.abs(changes["A"]).sum()
+    assert np.abs(changes["B"]).sum() < 0.1 * np.abs(changes["A"]).sum()
+    assert (changes["A"] == 0).sum() >= 15
+    assert params["A"].sigma == pytest.approx(2.0, rel=0.2) == params["B"].sigma
+
+
+def test_sparse_fit_solves_its_normal_equations():
+    """At the solution the gradient of the squared error equals that of the penalties, and no change of a zero helps."""
+    rng = np.random.default_rng(2)
+    size = len(additive._penalties())
+    x = rng.normal(size=(400, size))
+    truth = np.zeros(size)
+    truth[[0, 1, 5, 40]] = 3, -2, 1.5, 0.7
+    y = x @ truth + rng.normal(0, 0.5, 400)
+    gram, moment, square = x.T @ x, x.T @ y, float(y @ y)
+    coef, sigma = additive.solve_sparse(gram, moment, square, 400)
+    slope = moment - gram @ coef
+    rms = np.sqrt(square / 400)
+    bound = sigma**2 / (additive.CHANGE_SCALE * rms)
+    changes = np.arange(2, 2 + additive.CHANGEPOINTS)
+    used = [k for k in changes if coef[k]]
+    np.testing.assert_allclose(slope[used], bound * np.sign(coef[used]), rtol=0.2)
+    assert (np.abs(slope[changes]) <= 1.3 * bound).all()
+    rest = np.setdiff1d(np.arange(size), changes)
+    np.testing.assert_allclose(slope[rest], additive._penalties()[rest] * coef[rest], atol=0.05 * bound)
+
+
+def test_bands_widen_with_the_horizon(spark):
+    df = spark.createDataFrame(broken_trend(), "date date, city string, orders double")
+    params = additive.fit_additive(df)
+    last = dt.date(2021, 1, 1) + dt.timedelta(days=899)
+    ahead = [(last + dt.timedelta(days=d), c) for d in (-300, 0, 1, 30, 60, 120) for c in "AB"]
+    out = additive.predict_additive(spark.createDataFrame(ahead, "date date, city string"), params).collect()
+    own = {r.city: r for r in params.collect()}
+    for city in "AB":
+        rows = sorted((r.date, r.additive_sigma) for r in out if r.city == city)
+        widths = [s for _, s in rows]
+        assert widths[0] == pytest.approx(widths[1]) == pytest.approx(own[city].sigma)
+        for (day, width) in rows[2:]:
+            h = (day - last).days / own[city].span
+            rate = additive.CHANGEPOINTS / additive.CHANGEPOINT_RANGE
+            assert width == pytest.approx(np.sqrt(own[city].sigma ** 2 + 2 * rate * own[city].change ** 2 * h**3 / 3))
+    a = sorted((r.date, r.additive_sigma) for r in out if r.city == "A")
+    assert a[-1][1] > a[-2][1] > a[-3][1] > a[1][1]
+
+
+def test_variance_of_a_changing_trend_by_simulation():
+    """The closed form of the horizon's variance against drawn changes."""
+    rng = np.random.default_rng(1)
+    rate, scale, h = 30.0, 2.0, 0.3
+    ends = []
+    for _ in range(20_000):
+        at = rng.uniform(0, h, rng.poisson(rate * h))
+        ends.append((rng.laplace(0, scale, len(at)) * (h - at)).sum())
+    assert np.var(ends) == pytest.approx(2 * rate * scale**2 * h**3 / 3, rel=0.05)
+
+
 def test_linear_trend(spark):
     rows = [(dt.date(2024, 1, 1) + dt.timedelta(days=i), "A", 5.0 + 2 * i) for i in range(10)]
     df = spark.createDataFrame(rows, "date date, city string, orders double")
