@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tidecast.operators import anomaly, metrics
 from tidecast.plans.catalog import SCORED, query, rounded, table
 from tidecast.plans.queries_anomaly import residuals
@@ -51,9 +53,7 @@ def stream_score(spark, sf_dir):
     return rounded(flags, 6, "z_score")
 
 
-@query(
-    "stream_breach",
-    f"""with {SCORED}, daily as (select city, date, avg(abs(residuals) / greatest(orders, 1) * 100) as ape
+BREACH_SQL = f"""with {SCORED}, daily as (select city, date, avg(abs(residuals) / greatest(orders, 1) * 100) as ape
   from resid group by 1, 2),
 roll as (select city, date, avg(ape) over (partition by city order by date
     range between interval 6 days preceding and current row) as rolling_mape from daily),
@@ -61,8 +61,10 @@ runs as (select *, sum(case when rolling_mape > 70 then 0 else 1 end) over (part
     rows unbounded preceding) as g from roll),
 s as (select city, date, rolling_mape, cast(count(*) filter (rolling_mape > 70) over (partition by city, g order by date
     rows unbounded preceding) as int) as streak from runs)
-select city, date, round(rolling_mape, 6) as rolling_mape, streak from s where streak >= 3""",
-)
+select city, date, round(rolling_mape, 6) as rolling_mape, streak from s"""
+
+
+@query("stream_breach", BREACH_SQL + " where streak >= 3")
 def stream_breach(spark, sf_dir):
     """Rolling errors arrive as a stream; keyed state counts the days in a row above the threshold."""
     source, out = scratch_path(spark, "rolling"), scratch_path(spark, "alerts")
@@ -70,3 +72,14 @@ def stream_breach(spark, sf_dir):
     alerts = flows.streak_alerts(flows.read_stream(spark, source), threshold=70.0)
     flows.run_to_parquet(alerts, out, scratch_path(spark, "alerts-checkpoint"))
     return rounded(spark.read.parquet(out), 6, "rolling_mape")
+
+
+@query("stream_breach_late", BREACH_SQL + " where streak >= 3 and date < (select max(date) from s) - interval 3 day")
+def stream_breach_late(spark, sf_dir):
+    """The same in event time, with days in any order: what is final when the newest day is three days ahead."""
+    source, out = scratch_path(spark, "rolling"), scratch_path(spark, "alerts")
+    rolling = metrics.rolling_accuracy(naive(spark, sf_dir), 7, key="city")
+    rolling.withColumn("_order", F.xxhash64("city", "date")).sort("_order").drop("_order").write.parquet(source)
+    alerts = flows.late_streak_alerts(flows.read_stream(spark, source), threshold=70.0)
+    flows.run_to_parquet(alerts, out, scratch_path(spark, "alerts-checkpoint"))
+    return rounded(spark.read.parquet(out), 6, "rolling_mape")

@@ -137,3 +137,68 @@ def streak_alerts(
             GroupStateTimeout.NoTimeout,
         )
     )
+
+
+DAY_MS = 86_400_000
+
+
+def late_streak_alerts(
+    daily: DataFrame,
+    key: str = "city",
+    ts: str = "date",
+    value: str = "rolling_mape",
+    threshold: float = SETTINGS.drift_threshold,
+    streak: int = SETTINGS.drift_streak,
+    delay: str = "3 days",
+    idle_days: int = 90,
+) -> DataFrame:
+    """Streak alerts in event time: days may come in any order up to ``delay`` behind the newest one.
+
+    A day waits in the state of its series until the watermark has passed it, and then counts in the order of days, so
+    batches that bring days out of order give what one sorted table gives. A timer wakes a series whose days
+    become final while nothing new arrives. ``idle_days`` after its last day a series leaves the state; if it comes back, its streak
+    starts anew. Days behind the watermark are dropped; of a day that comes twice the first value counts. The state of a series holds the
+    days within ``delay`` and those of one batch.
+    """
+
+    def follow(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last, run, days, values = state.get if state.exists else (-1, 0, [], [])
+        waiting = dict(zip(days, values))
+        for rows in batches:
+            for at, v in zip(rows["_ms"], rows[value]):
+                if at > last and at not in waiting:
+                    waiting[int(at)] = None if pd.isna(v) else float(v)
+        now = state.getCurrentWatermarkMs()
+        final = sorted(at for at in waiting if at < now)
+        alerts = []
+        for at in final:
+            v = waiting.pop(at)
+            run = run + 1 if v is not None and v > threshold else 0
+            last = at
+            if run >= streak:
+                alerts.append((at, v, run))
+        expiry = last + idle_days * DAY_MS
+        if not waiting and expiry <= now:
+            if state.exists:
+                state.remove()
+        else:
+            left = sorted(waiting)
+            state.update((int(last), int(run), left, [waiting[at] for at in left]))
+            state.setTimeoutTimestamp(max(left[0] if left else expiry, now + 1))
+        out = pd.DataFrame(alerts, columns=["_ms", value, "streak"])
+        out.insert(0, key, group[0])
+        yield out
+
+    stamped = daily.select(key, value, F.col(ts).cast("timestamp").alias("_ts")).withWatermark("_ts", delay)
+    alerts = (
+        stamped.select(key, value, "_ts", F.unix_millis("_ts").alias("_ms"))
+        .groupBy(key)
+        .applyInPandasWithState(
+            follow,
+            f"`{key}` string, _ms long, `{value}` double, streak int",
+            "last long, run int, days array<long>, marks array<double>",
+            "append",
+            GroupStateTimeout.EventTimeTimeout,
+        )
+    )
+    return alerts.select(key, F.timestamp_millis("_ms").cast("date").alias(ts), value, "streak")
