@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
@@ -305,19 +306,43 @@ def test_registry(spark, panel, forecaster, tmp_path):
     models.register(forecaster, "v2", "second", dt.datetime(2024, 1, 2))
     models.register(forecaster, "v1", "again", dt.datetime(2024, 1, 3))
     assert [(r.tag, r.description) for r in models.list_versions().collect()] == [("v1", "again"), ("v2", "second")]
+    assert [(r.tag, r.number) for r in models.history().orderBy("tag", "number").collect()] == [("v1", 1), ("v1", 2), ("v2", 1)]
     assert models.load_version("v2").tree_weight == 0.6
+    assert models.age_days("v1", dt.datetime(2024, 1, 2, 12)) == 1.5  # what the tag meant then
+    assert models.age_days("v1", dt.datetime(2024, 1, 5)) == 2.0
+    assert models.age_days("v1", dt.datetime(2023, 1, 1)) is None
     row = models.compare("v1", "v2", panel).first()
     assert row.mape_a == row.mape_b
     assert row.rmse_a_minus_b == 0.0
 
 
+def test_registrations_of_one_tag_at_the_same_time(spark, panel, forecaster, tmp_path):
+    models = registry.ModelRegistry(spark, str(tmp_path / "registry"))
+    path = str(tmp_path / "model")
+    forecaster.save(path)
+    variants = [forecast.DemandForecaster.load(spark, path) for _ in range(3)]
+    for i, model in enumerate(variants):
+        model.tree_weight = 0.1 * (i + 1)
+    # All have looked at the manifest before any writes to it.
+    empty = models.history()
+    models.history = lambda: empty
+    with ThreadPool(3) as pool:
+        numbers = pool.map(lambda m: models.register(m, "same"), variants)
+    del models.history
+    assert sorted(numbers) == [1, 2, 3]
+    winner = variants[numbers.index(3)].tree_weight
+    assert models.load_version("same").tree_weight == pytest.approx(winner)
+    assert models.manifest().count() == 1 and models.history().count() == 3
+    assert models.load_version("same").predict_intervals(panel).count() == panel.count()
+
+
 def test_end_to_end_job(spark, tmp_path):
     pdf = demand(100)
     df = spark.createDataFrame(pdf, PANEL_SCHEMA)
     orders, truth = str(tmp_path / "orders"), str(tmp_path / "labels")
     df.write.csv(orders, header=True)
     df.select("date", "city", F.lit(0).alias("is_anomaly")).write.csv(truth, header=True)
-    result = jobs.run_daily_job(spark, orders, str(tmp_path / "out"), truth, n_splits=3, rounds=2)
+    result = jobs.run_daily_job(spark, orders, str(tmp_path / "out"), truth, n_splits=3, now=dt.datetime(2024, 1, 1), rounds=2)
     summary = result.summary.first()
     assert all(summary[c] >= 0 for c in ("mape_model", "rmse_model", "mae_model", "mape_baseline"))
     assert spark.read.csv(result.paths["metrics"], header=True).count() == 3
@@ -325,7 +350,12 @@ def test_end_to_end_job(spark, tmp_path):
     assert result.evaluation.where("scope = 'overall'").first().n_samples == 200
     assert {r.city for r in result.drift.collect()} == {"Austin", "Chicago"}
     assert "year_month" in spark.read.parquet(result.paths["scored"]).columns
-    assert result.card.count() > 5
+    facts = {r.metric: r.value for r in result.card.where("scope = 'metadata'").collect()}
+    assert facts == {"age_days": 0.0, "is_fitted": 1.0}
+    days = result.performance.orderBy("date").collect()
+    assert len(days) == spark.read.parquet(result.paths["performance"]).count() > 30
+    runs = [d.rolling_mape > 8.0 for d in days]
+    assert [d.drift for d in days] == [i >= 2 and all(runs[i - 2 : i + 1]) for i in range(len(days))]
     assert anomaly.HybridDetector.load(spark, result.paths["detector"]).forest is not None
 
 

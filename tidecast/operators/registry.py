@@ -1,9 +1,17 @@
-"""Versioned forecasters with a manifest table, and champion/challenger comparison."""
+"""Versioned forecasters with a manifest table, and champion/challenger comparison.
+
+A registered model lies in a folder of its own that is never written again. It counts from the moment its manifest
+entry gets its name, by a rename that fails if the name is taken: so two registrations of one tag at the same time get
+two numbers, the higher one is what the tag means, and a reader sees either a whole version or none.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -12,7 +20,8 @@ from tidecast.operators.features import apply_target_encoding
 from tidecast.operators.forecast import DemandForecaster
 
 MANIFEST_SCHEMA = (
-    "tag string, created_at timestamp, description string, tree_weight double, additive_weight double"
+    "tag string, number long, created_at timestamp, description string, tree_weight double, additive_weight double, "
+    "folder string, is_fitted boolean"
 )
 
 
@@ -38,21 +47,27 @@ def compare_predictions(
 
 
 class ModelRegistry:
-    """Forecasters below one folder, one sub-folder per tag, and a manifest of JSON lines."""
+    """Forecasters below one folder, one sub-folder per registration, and a manifest of one JSON file each."""
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def manifest(self) -> DataFrame:
-        """One row per tag; registering a tag again replaces it."""
+    def history(self) -> DataFrame:
+        """One row per registration; ``number`` counts those of a tag from 1."""
         try:
-            rows = self.spark.read.schema(MANIFEST_SCHEMA).json(f"{self.root}/manifest")
+            return self.spark.read.schema(MANIFEST_SCHEMA).json(f"{self.root}/manifest")
         except AnalysisException as error:
             if "PATH_NOT_FOUND" not in str(error):
                 raise
             return self.spark.createDataFrame([], MANIFEST_SCHEMA)
-        newest = F.max_by(F.struct(*[c for c in rows.columns if c != "tag"]), "created_at").alias("m")
+
+    def manifest(self, as_of: dt.datetime | None = None) -> DataFrame:
+        """One row per tag, its latest registration; with ``as_of`` the latest of those made until then."""
+        rows = self.history()
+        if as_of is not None:
+            rows = rows.where(F.col("created_at") <= F.lit(as_of))
+        newest = F.max_by(F.struct(*[c for c in rows.columns if c != "tag"]), "number").alias("m")
         return rows.groupBy("tag").agg(newest).select("tag", "m.*")
 
     def register(
@@ -61,19 +76,62 @@ class ModelRegistry:
         tag: str,
         description: str = "",
         created_at: dt.datetime | None = None,
-    ) -> None:
+    ) -> int:
+        """Store the model and name it; the number of this registration of the tag."""
         if model.tree_model is None:
             raise ValueError("cannot register an unfitted model")
-        model.save(f"{self.root}/{tag}")
-        entry = (tag, created_at or dt.datetime.now(dt.timezone.utc), description, model.tree_weight, model.additive_weight)
-        self.spark.createDataFrame([entry], MANIFEST_SCHEMA).coalesce(1).write.mode("append").json(
-            f"{self.root}/manifest"
-        )
+        folder = f"versions/{uuid.uuid4().hex}"
+        model.save(f"{self.root}/{folder}")
+        moment = created_at or dt.datetime.now(dt.timezone.utc)
+        if moment.tzinfo is None:
+            # Without a zone, a time is one of the session's.
+            moment = self.spark.createDataFrame([(moment,)], "t timestamp").select(F.unix_micros("t")).first()[0]
+            moment = dt.datetime.fromtimestamp(moment / 1e6, dt.timezone.utc)
+        entry = {
+            "tag": tag, "created_at": moment.isoformat(timespec="microseconds"), "description": description,
+            "tree_weight": model.tree_weight, "additive_weight": model.additive_weight, "folder": folder, "is_fitted": True,
+        }
+        taken = self.history().where(F.col("tag") == tag).agg(F.max("number")).first()[0] or 0
+        while True:
+            taken += 1
+            if self._commit(f"{tag}-{taken}.json", json.dumps(entry | {"number": taken})):
+                return taken
+
+    def _commit(self, name: str, text: str) -> bool:
+        """Write an entry under a hidden name, then rename it; False if the name is taken."""
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        folder = hadoop.fs.Path(f"{self.root}/manifest")
+        files = folder.getFileSystem(conf)
+        files.mkdirs(folder)
+        draft, final = hadoop.fs.Path(folder, f".{uuid.uuid4().hex}"), hadoop.fs.Path(folder, name)
+        out = files.create(draft, False)
+        out.write(bytearray((text + "\n").encode()))
+        out.close()
+        options = self.spark.sparkContext._gateway.new_array(hadoop.fs.Options.Rename, 0)
+        try:
+            qualified = [files.makeQualified(p) for p in (draft, final)]
+            hadoop.fs.FileContext.getFileContext(files.getUri(), conf).rename(*qualified, options)
+        except Py4JJavaError as error:
+            files.delete(draft, False)
+            if "FileAlreadyExistsException" not in error.java_exception.toString():
+                raise
+            return False
+        return True
 
     def load_version(self, tag: str) -> DemandForecaster:
-        if self.manifest().where(F.col("tag") == tag).isEmpty():
+        """The model that a tag means now; a later registration does not touch what has been loaded."""
+        found = self.manifest().where(F.col("tag") == tag).first()
+        if found is None:
             raise ValueError(f"version '{tag}' is not in the registry")
-        return DemandForecaster.load(self.spark, f"{self.root}/{tag}")
+        return DemandForecaster.load(self.spark, f"{self.root}/{found.folder}")
+
+    def age_days(self, tag: str, as_of: dt.datetime) -> float | None:
+        """Days from the registration of what a tag meant at ``as_of`` until then; None without one."""
+        at = F.lit(as_of)
+        age = (F.unix_micros(at.cast("timestamp")) - F.unix_micros("created_at")) / F.lit(86_400_000_000)
+        found = self.manifest(as_of).where(F.col("tag") == tag).select(age.alias("age")).first()
+        return None if found is None else found.age
 
     def list_versions(self) -> DataFrame:
         """Newest first."""

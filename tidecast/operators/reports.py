@@ -119,8 +119,14 @@ def nested_forecast(future: DataFrame, key: str = "city", ts: str = "date") -> D
     return future.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("forecasts"))
 
 
-def model_card(scored: DataFrame, age_days: float = -1.0, key: str = "city") -> DataFrame:
-    """Tidy report card (scope, key, metric, value) in one pass over a scored table."""
+def model_card(
+    scored: DataFrame, age_days: float | None = -1.0, key: str = "city", is_fitted: bool | None = None
+) -> DataFrame:
+    """Tidy report card (scope, key, metric, value) in one pass over a scored table.
+
+    ``age_days`` is that of the model, -1 if unknown; ``is_fitted``, if given, becomes a row of 0 or 1.
+    """
+    age_days = -1.0 if age_days is None else age_days
     err = F.col("orders").cast("double") - F.col("pred_orders")
     inside = F.coalesce(F.col("orders").between(F.col("pred_p10"), F.col("pred_p90")), F.lit(False))
     per_key = scored.groupBy(key).agg(
@@ -158,6 +164,7 @@ def model_card(scored: DataFrame, age_days: float = -1.0, key: str = "city") ->
         cell("calibration", "target_coverage", F.lit(0.8)),
         cell("anomaly", "flag_rate", F.coalesce(F.try_divide("flagged", "rows"), F.lit(0.0))),
         cell("metadata", "age_days", F.lit(float(age_days))),
+        *([] if is_fitted is None else [cell("metadata", "is_fitted", F.lit(float(is_fitted)))]),
     ]
     # An all-series grouping set over no rows still yields the global row.
     return sums.select(

@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidecast.config import SETTINGS
-from tidecast.operators import anomaly, backtest, drift, reports
+from tidecast.operators import anomaly, backtest, drift, registry, reports
 from tidecast.operators.features import apply_target_encoding, build_features, fit_target_encoding
 from tidecast.operators.forecast import DemandForecaster
+from tidecast.operators.metrics import rolling_accuracy
 from tidecast.session import scratch_path
 from tidecast.sources import panel as panel_io
 from tidecast.sources.exports import write_csv
@@ -86,6 +87,7 @@ class JobResult:
     summary: DataFrame
     evaluation: DataFrame | None
     drift: DataFrame
+    performance: DataFrame
     card: DataFrame
     paths: dict[str, str] = field(default_factory=dict)
 
@@ -98,13 +100,16 @@ def run_daily_job(
     n_splits: int = SETTINGS.folds,
     as_of: dt.date | None = None,
     segment_rows: int | None = None,
+    tag: str = "daily",
+    now: dt.datetime | None = None,
     **model_options,
 ) -> JobResult:
     """Load and validate, build features, backtest, fit, detect, evaluate; all artefacts below ``out_dir``.
 
     The forecaster learns from features that look back only; the stored feature table is the filled one.
-    The detector learns from the residuals of the backtest, which the models had not seen. Drift compares
-    the newest 90 days with the days before, and the rolling error of the backtest with its alarm.
+    The detector learns from the residuals of the backtest, which the models had not seen. Data drift compares
+    the newest 90 days with the days before. Performance drift is the rolling error of the backtest, day by day, with
+    its alarm. The forecaster is registered under ``tag``, and the card reads its age and state from the manifest as of ``now``.
 
     Args:
         segment_rows: run row windows per segment of that many rows instead of per series; for panels
@@ -118,6 +123,8 @@ def run_daily_job(
         "detector": f"{out}/detector",
         "scored": f"{out}/scored.parquet",
         "drift": f"{out}/drift.parquet",
+        "performance": f"{out}/performance.parquet",
+        "registry": f"{out}/registry",
         "card": f"{out}/model_card.parquet",
     }
     orders = materialize(panel_io.read_orders(spark, orders_path, as_of), "orders")
@@ -138,7 +145,14 @@ def run_daily_job(
     recent = F.col("date") > F.lit(newest)
     psi = drift.population_stability(orders.where(recent), orders.where(~recent))
     psi.write.mode("overwrite").parquet(paths["drift"])
-    card = reports.model_card(spark.read.parquet(paths["scored"]), age_days=0.0)
+    seen = folds.select("date", "city", "orders", F.col("pred_model").alias("pred_orders"))
+    history = drift.drift_history(rolling_accuracy(seen))
+    history.write.mode("overwrite").parquet(paths["performance"])
+
+    versions = registry.ModelRegistry(spark, paths["registry"])
+    versions.register(forecaster, tag, "daily job", now)
+    moment = now or dt.datetime.now(dt.timezone.utc)
+    card = reports.model_card(spark.read.parquet(paths["scored"]), versions.age_days(tag, moment), is_fitted=True)
     card.write.mode("overwrite").parquet(paths["card"])
 
     evaluation = None
@@ -146,5 +160,5 @@ def run_daily_job(
         labels = panel_io.read_labels(spark, labels_path)
         scored = spark.read.parquet(paths["scored"])
         evaluation = anomaly.evaluate_flags(anomaly.join_labels(scored, labels))
-    drifted, card = spark.read.parquet(paths["drift"]), spark.read.parquet(paths["card"])
-    return JobResult(forecaster, detector, backtest.fold_summary(metrics), evaluation, drifted, card, paths)
+    drifted, errors, card = (spark.read.parquet(paths[p]) for p in ("drift", "performance", "card"))
+    return JobResult(forecaster, detector, backtest.fold_summary(metrics), evaluation, drifted, errors, card, paths)
