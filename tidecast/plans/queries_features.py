@@ -21,6 +21,7 @@ from tidecast.operators.fill import fill_chain
 from tidecast.plans.catalog import PANEL, SCORED, orders_panel, panel_sql, query, rounded
 from tidecast.session import scratch_path
 from tidecast.sources import panel as panel_io
+from tidecast.sources.exports import write_csv
 
 RAW_COLUMNS = (
     "orders",
@@ -315,6 +316,18 @@ def backtest_naive(spark, sf_dir):
     return rounded(backtest.fold_metrics(_fold_predictions(spark, sf_dir)), 6, *SCORES)
 
 
+@query(
+    "fold_csv",
+    f"with {BACKTEST_SQL} select fold, {', '.join(f'round({c}, 6) as {c}' for c in SCORES)} from per_fold",
+)
+def fold_csv(spark, sf_dir):
+    """Fold metrics written as one CSV file and read back."""
+    path = scratch_path(spark, "fold-metrics")
+    metrics = backtest.fold_metrics(_fold_predictions(spark, sf_dir))
+    write_csv(metrics, path, single_file=True)
+    return rounded(spark.read.schema(metrics.schema).csv(path, header=True), 6, *SCORES).select("fold", *SCORES)
+
+
 @query(
     "backtest_summary",
     f"""with {BACKTEST_SQL} select {', '.join(f'round(avg({c}), 6) as {c}' for c in SCORES)},

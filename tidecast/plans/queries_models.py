@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidecast.config import FEATURE_COLUMNS, TREE_FEATURES, WEATHER_ATTRIBUTION_FEATURES
-from tidecast.operators import additive, anomaly, backtest, explain, forecast, metrics, registry, trees
+from tidecast.operators import additive, anomaly, backtest, explain, forecast, metrics, registry, reports, trees
 from tidecast.operators.features import build_features
 from tidecast.plans import jobs
 from tidecast.plans.catalog import PANEL, SCORED, orders_panel, panel, query, rounded
@@ -272,6 +272,13 @@ def forecast_future(spark, sf_dir):
     )
 
 
+@query("forecast_nested_future")
+def forecast_nested_future(spark, sf_dir):
+    """The next fourteen days of every region as one ordered list each."""
+    future = fitted(spark, sf_dir).forecast_future(orders_panel(spark, sf_dir), 14)
+    return reports.nested_forecast(future)
+
+
 @query("walk_forward_eval")
 def walk_forward_eval(spark, sf_dir):
     """Fold metrics of the ensemble against lag 7."""

@@ -31,6 +31,17 @@ def scan_labels(spark, sf_dir):
     return panel_io.read_labels(spark, path)
 
 
+@query("two_sinks", f"with {PANEL} select date, city, orders, is_anomaly from panel")
+def two_sinks(spark, sf_dir):
+    """Orders and labels written to two files, read back and joined; the orders file has no label."""
+    base = scratch_path(spark, "sinks")
+    panel_io.write_orders_and_labels(panel(spark, sf_dir), f"{base}/orders", f"{base}/labels")
+    orders = panel_io.read_orders(spark, f"{base}/orders")
+    if "is_anomaly" in orders.columns:
+        raise ValueError("the label is in the orders file")
+    return orders.select("date", "city", "orders").join(panel_io.read_labels(spark, f"{base}/labels"), ["date", "city"])
+
+
 @query("panel_daily_sum", f"with {PANEL} select date, city, orders from base")
 def panel_daily_sum(spark, sf_dir):
     """Raw facts to the daily grain."""
