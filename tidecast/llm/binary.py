@@ -23,11 +23,14 @@ from pyspark.sql import types as T
 
 from tidecast.llm import simple8b, words
 from tidecast.llm.staging import map_batches
-from tidecast.llm.tokens import SLICE_BYTES, encoder
+from tidecast.llm.tokens import encoder
 
 #: Documents aimed at for each shard.
 SHARD_DOCS = 8192
 
+#: Bytes of text that are encoded at a time.
+SLICE_BYTES = 3_000_000
+
 
 def _bounds(docs: DataFrame, doc_id: str, shard_docs: int) -> list[int]:
     """Document ids that end the shards, from the id column alone."""

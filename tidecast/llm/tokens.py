@@ -18,8 +18,11 @@ from tidecast.llm.staging import worker_store
 
 #: Pieces remembered at once, and the longest piece that is remembered, in bytes.
 REMEMBERED, LONGEST = 1_200_000, 48
+#: For a vocabulary that tells spaces and letter cases apart, so that pieces are more.
+MORE = 2_500_000
 #: Parts of pieces remembered at once.
 PARTS = 150_000
+MORE_PARTS = 300_000
 SLICE_BYTES = 2_000_000
 
 _WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
@@ -94,7 +97,7 @@ class Encoder:
 
     def _encode(self, pieces: list[str]) -> tuple[list[int], list[int]]:
         """Ids of short pieces without outer context, one after the other, and how many each has."""
-        if len(self.parts) > PARTS:
+        if len(self.parts) > (MORE_PARTS if self.keep_space else PARTS):
             self.parts.clear()
         seen, flat, counts = self.parts, [], []
         for parts in self._split(pieces):
@@ -146,7 +149,7 @@ class Encoder:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end: int | None = 0) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows one after the other, each with ``end`` behind it, and the offsets of the rows."""
-        if len(self.keys) > REMEMBERED:
+        if len(self.keys) > (MORE if self.keep_space else REMEMBERED):
             self._forget()
         n_rows = len(offsets) - 1
         starts, lengths, rows = self._cuts(data, offsets)
