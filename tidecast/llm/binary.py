@@ -81,7 +81,7 @@ def write_ids(
                 )
 
     (
-        map_batches(docs.select(F.col(doc_id), F.col(text)), run, schema)
+        map_batches(docs.select(F.col(doc_id), F.col(text)), run, schema, most=10_000)
         .repartitionById(len(bounds) + 1, F.col("shard"))
         .sortWithinPartitions("shard", "doc_id", "n_tokens", "crc")
         .drop("crc")

@@ -46,15 +46,15 @@ def worker_store(owner: str) -> dict:
     return held["store"]
 
 
-def map_batches(df: DataFrame, fn: Callable, schema: T.StructType | str) -> DataFrame:
-    """``mapInArrow`` with batches of at most ``BATCH_ROWS`` rows.
+def map_batches(df: DataFrame, fn: Callable, schema: T.StructType | str, most: int = BATCH_ROWS) -> DataFrame:
+    """``mapInArrow`` with batches of at most ``most`` rows.
 
     A batch is held several times on its way (the JVM's buffers, Arrow's, the function's), and the default of 10,000
     whole texts is too much for two tasks beside a full heap. The session's setting is lowered; it changes no result.
     """
     rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(df.sparkSession.conf.get(rows)) <= BATCH_ROWS:
-        df.sparkSession.conf.set(rows, str(BATCH_ROWS))
+    if not 0 < int(df.sparkSession.conf.get(rows)) <= most:
+        df.sparkSession.conf.set(rows, str(most))
     return df.mapInArrow(fn, schema)
 
 
