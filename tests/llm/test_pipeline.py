@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import ctypes
 import random
 from collections import Counter
 
@@ -11,8 +12,8 @@ from tokenizers import Tokenizer
 import __spark_entry__ as entry
 import corpus_pipeline
 from tests.llm import brute
-from tidecast.llm import packing, queries
-from tidecast.llm.staging import stage
+from tidecast.llm import packing, queries, tokens
+from tidecast.llm.staging import release, stage
 
 
 def test_names():
@@ -74,6 +75,46 @@ def test_pipeline_of_an_empty_table(spark, empty, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
 
 
+def test_stages_hold_little_in_python_workers(spark, docs):
+    """Short batches in every stage with Python, freed memory given back, and few remembered pieces for the same ids."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(rows)
+    try:
+        for name, step in corpus_pipeline.STAGES:
+            if name != "mixing":
+                spark.conf.set(rows, "10000")
+                step(spark, docs, "")
+                assert int(spark.conf.get(rows)) <= 500, name
+    finally:
+        spark.conf.set(rows, before)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    usual, few = (packing.cut_pieces(docs, path, remembered=n) for n in (None, 50))
+    assert sorted(map(str, usual.collect())) == sorted(map(str, few.collect()))
+    held = tokens.Encoder(path, 50)
+    for low in range(0, 1000, 50):
+        text = " ".join(f"w{i}" for i in range(low, low + 50)).encode()
+        held.encode(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+        assert len(held.keys) <= 100
+
+
+def test_a_task_gives_free_memory_back():
+    """Small blocks between kept ones are not returned by free alone."""
+    def resident():
+        return int(open("/proc/self/statm").read().split()[1]) * 4096
+
+    libc = ctypes.CDLL(None)
+    libc.malloc.restype, libc.free.argtypes = ctypes.c_void_p, [ctypes.c_void_p]
+    blocks = [libc.malloc(100_000) for _ in range(1000)]
+    for b in blocks:
+        ctypes.memset(b, 1, 100_000)
+    for b in blocks[:-1]:
+        libc.free(b)
+    full = resident()
+    release()
+    assert full - resident() > 50_000_000
+    libc.free(blocks[-1])
+
+
 def test_vocabulary_path_is_a_parameter(docs):
     a = packing.cut_pieces(docs, public_tokenizers.path("byte_bpe_50k.json")).agg({"length": "sum"}).first()[0]
     b = packing.cut_pieces(docs, public_tokenizers.path("word_bpe_49k.json")).agg({"length": "sum"}).first()[0]

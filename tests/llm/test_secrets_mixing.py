@@ -2,9 +2,11 @@ from __future__ import annotations
 
 import hashlib
 import random
-from collections import defaultdict
+import tracemalloc
+from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm import brute
@@ -61,6 +63,22 @@ def test_secrets_are_masked_and_columns_kept(texts):
     assert got[8] == dict(secret_rows())[8] and got[900].endswith("word #")
 
 
+def test_counting_pairs_holds_little_beside_the_texts():
+    """Pairs of whole texts, none across two, in memory that does not grow with the batch."""
+    texts = ["ab cd " * 2000 + f"{i}" for i in range(700)] + ["x" * 1_300_000, "", None, "y"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    tracemalloc.start()
+    total = sum(np.array(c) for b in secret_scan._characters([batch]) for c in b.column(0).to_pylist() if c)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40_000_000
+    expected = np.zeros(len(total), np.int64)
+    for text, n in Counter(texts).items():
+        code = secret_scan.CODE[np.frombuffer((text or "").encode(), np.uint8)]
+        expected += n * np.bincount(code[:-1] * (secret_scan._OTHER + 1) + code[1:], minlength=len(total))
+    assert (total == expected).all()
+
+
 def test_secrets_of_an_empty_table(empty):
     model = secret_scan.fit(empty)
     assert secret_scan.scan(empty, model).collect() == [] and secret_scan.redact(empty, model).collect() == []

@@ -35,9 +35,12 @@ RANK_BUCKETS = 256
 
 def cut_pieces(
     docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0,
-    doc_id: str = "doc_id", text: str = "text", with_ids: bool = False,
+    doc_id: str = "doc_id", text: str = "text", with_ids: bool = False, remembered: int | None = None,
 ) -> DataFrame:
-    """One row per piece: ``doc_id, piece, start, length, ids_crc32`` and, if wanted, ``ids``."""
+    """One row per piece: ``doc_id, piece, start, length, ids_crc32`` and, if wanted, ``ids``.
+
+    ``remembered`` bounds the pieces of text whose ids a worker keeps; it trades memory for time.
+    """
     kind = docs.schema[doc_id].dataType
     fields = [T.StructField("doc_id", kind), T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()),
               T.StructField("length", T.LongType()), T.StructField("ids_crc32", T.LongType())]
@@ -45,7 +48,7 @@ def cut_pieces(
         fields.append(T.StructField("ids", T.BinaryType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer_path)
+        enc = encoder(tokenizer_path, remembered)
         for batch in batches:
             data, offsets = words.buffers(batch.column(1))
             for low, high in words.slices(offsets, SLICE_BYTES):

@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from tidecast.llm import words
 from tidecast.llm.staging import map_batches, stage
 
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 500_000
 KINDS = ("assign", "access", "hex", "random")
 LEAST = 20
 #: Smallest combined p-value of the battery, and the share of false discoveries.
@@ -178,32 +178,42 @@ def _long_runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts[keep], lengths[keep], rows[keep]
 
 
+def pair_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How often each pair of characters is in the texts, ``SLICE_BYTES`` of them at a time; none across two texts."""
+    size = (_OTHER + 1) ** 2
+    total = np.zeros(size, np.int64)
+    edge = (offsets - offsets[0])[1:-1]
+    edge = np.unique(edge[(edge > 0) & (edge < len(data))]) - 1
+    for low in range(0, len(data) - 1, SLICE_BYTES):
+        code = CODE[data[low : low + SLICE_BYTES + 1]]
+        pair = code[:-1] * (_OTHER + 1) + code[1:]
+        cut = edge[slice(*np.searchsorted(edge, [low, low + len(pair)]))] - low
+        total += np.bincount(pair, minlength=size) - np.bincount(pair[cut], minlength=size)
+    return total
+
+
+def _characters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Candidates of the texts, and at the end one row of pair counts."""
+    total = np.zeros((_OTHER + 1) ** 2, np.int64)
+    schema = pa.schema([("counts", pa.list_(pa.int64())), ("token", pa.binary())])
+    for batch in batches:
+        data, offsets = words.buffers(batch.column(0))
+        for low, high in words.slices(offsets, SLICE_BYTES):
+            part, at = data[offsets[low] : offsets[high]], offsets[low : high + 1]
+            if not len(part):
+                continue
+            total += pair_counts(part, at)
+            starts, lengths, _ = _long_runs(part, at)
+            tokens = [part[a : a + n].tobytes() for a, n in zip(starts.tolist(), lengths.tolist())]
+            tokens = [t[x:y] for t in tokens for x, y in candidates(t)]
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(tokens), schema.types[0]), pa.array(tokens, pa.binary())], schema=schema)
+    yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], schema.types[0]), pa.nulls(1, pa.binary())], schema=schema)
+
+
 def fit(docs: DataFrame, text: str = "text") -> Model:
     """Character pairs and false-discovery thresholds of a corpus, counted over all its texts."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = (_OTHER + 1) ** 2
-        total = np.zeros(size, np.int64)
-        schema = pa.schema([("counts", pa.list_(pa.int64())), ("token", pa.binary())])
-        for batch in batches:
-            data, offsets = words.buffers(batch.column(0))
-            for low, high in words.slices(offsets, SLICE_BYTES):
-                part, at = data[offsets[low] : offsets[high]], offsets[low : high + 1]
-                if not len(part):
-                    continue
-                code = CODE[part]
-                pair = code[:-1] * (_OTHER + 1) + code[1:]
-                edge = (at - at[0])[1:-1]
-                edge = np.unique(edge[(edge > 0) & (edge < len(part))]) - 1
-                total += np.bincount(pair, minlength=size) - np.bincount(pair[edge], minlength=size)
-                starts, lengths, _ = _long_runs(part, at)
-                raw = part.tobytes()
-                tokens = [raw[a : a + n] for a, n in zip(starts.tolist(), lengths.tolist())]
-                tokens = [t[x:y] for t in tokens for x, y in candidates(t)]
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(tokens), schema.types[0]), pa.array(tokens, pa.binary())], schema=schema)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], schema.types[0]), pa.nulls(1, pa.binary())], schema=schema)
-
-    seen = stage(map_batches(docs.select(F.col(text)), run, "counts array<bigint>, token binary"), "characters")
+    seen = stage(map_batches(docs.select(F.col(text)), _characters, "counts array<bigint>, token binary"), "characters")
     rows = seen.where("counts is not null").select(F.posexplode("counts").alias("pair", "n")).groupBy("pair").agg(F.sum("n").alias("n")).collect()
     counts = np.ones((_OTHER + 1) ** 2)
     counts[[r.pair for r in rows]] += [r.n for r in rows]

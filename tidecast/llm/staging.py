@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -46,16 +48,34 @@ def worker_store(owner: str) -> dict:
     return held["store"]
 
 
+def release() -> None:
+    """Give the memory that a finished task has freed back to the system; a worker would keep it through later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim is not None:
+        trim(0)
+
+
+def short_batches(spark: SparkSession, most: int) -> None:
+    """Lower the rows of the session's Arrow batches to ``most``; changes no result."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= most:
+        spark.conf.set(rows, str(most))
+
+
 def map_batches(df: DataFrame, fn: Callable, schema: T.StructType | str, most: int = BATCH_ROWS) -> DataFrame:
-    """``mapInArrow`` with batches of at most ``most`` rows.
+    """``mapInArrow`` with batches of at most ``most`` rows; a task's end gives its free memory back.
 
     A batch is held several times on its way (the JVM's buffers, Arrow's, the function's), and the default of 10,000
     whole texts is too much for two tasks beside a full heap. The session's setting is lowered; it changes no result.
     """
-    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(df.sparkSession.conf.get(rows)) <= most:
-        df.sparkSession.conf.set(rows, str(most))
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(batches)
+        release()
+
+    short_batches(df.sparkSession, most)
+    return df.mapInArrow(run, schema)
 
 
 def small(df: DataFrame, rows: int) -> bool:

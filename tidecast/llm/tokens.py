@@ -34,16 +34,20 @@ class Encoder:
     """Encodes slices of a text column.
 
     ``keep_space`` tells byte-level vocabularies, where white space has ids, from vocabularies that
-    drop white space and letter case.
+    drop white space and letter case. ``remembered`` replaces the usual number of pieces that are kept;
+    parts of pieces are kept in proportion.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = tok = Tokenizer.from_file(path)
         self.keep_space = tok.normalizer is None
         self.normalizer, self.splitter, self.model = tok.normalizer, tok.pre_tokenizer, tok.model
         added = tok.get_added_tokens_decoder().values()
         self.special = re.compile(b"|".join(re.escape(t.content.encode()) for t in added) or b"(?!)")
+        usual = MORE if self.keep_space else REMEMBERED
+        self.most = usual if remembered is None else remembered
+        self.most_parts = (MORE_PARTS if self.keep_space else PARTS) * self.most // usual
         self.parts: dict[str, list[int]] = {}
         self._forget()
 
@@ -97,7 +101,7 @@ class Encoder:
 
     def _encode(self, pieces: list[str]) -> tuple[list[int], list[int]]:
         """Ids of short pieces without outer context, one after the other, and how many each has."""
-        if len(self.parts) > (MORE_PARTS if self.keep_space else PARTS):
+        if len(self.parts) > self.most_parts:
             self.parts.clear()
         seen, flat, counts = self.parts, [], []
         for parts in self._split(pieces):
@@ -149,7 +153,7 @@ class Encoder:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end: int | None = 0) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows one after the other, each with ``end`` behind it, and the offsets of the rows."""
-        if len(self.keys) > (MORE if self.keep_space else REMEMBERED):
+        if len(self.keys) > self.most:
             self._forget()
         n_rows = len(offsets) - 1
         starts, lengths, rows = self._cuts(data, offsets)
@@ -197,10 +201,10 @@ class Encoder:
         return ids, bounds
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, remembered: int | None = None) -> Encoder:
     """The worker's encoder for a vocabulary file."""
     store = worker_store("tokens")
-    key = f"encoder {path}"
+    key = f"encoder {path} {remembered}"
     if key not in store:
-        store[key] = Encoder(path)
+        store[key] = Encoder(path, remembered)
     return store[key]
