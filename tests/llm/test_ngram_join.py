@@ -131,6 +131,25 @@ def test_links_without_shared_edits_in_the_last_turn(spark, monkeypatch):
     assert by_edits(spark, monkeypatch, rows, buckets) == expected
 
 
+def test_edits_of_one_class_alone_make_no_rows(spark, monkeypatch):
+    """Texts that share a passage only have many edits that no other has, and too few in common to link; near copies stay."""
+    rows = [(i, " ".join([*BASE, *[f"own{i}x{k}" for k in range(200)]])) for i in range(40)]
+    rows += [(100 + i, " ".join(w)) for i, w in enumerate([BASE, *PAIR, *NEAR])]
+    made, spread = [], ngram_join._spread
+
+    def counted(edits):
+        made.append((edits.agg(F.sum(F.size("items"))).first()[0], spread(edits).count()))
+        return spread(edits)
+
+    monkeypatch.setattr(ngram_join, "_spread", counted)
+    expected = ordered(brute.components(rows, 1, 80))
+    assert by_edits(spark, monkeypatch, rows, [(r[0], 0, 99 if r[0] == 100 else 50) for r in rows]) == expected
+    assert {c for _, _, c in expected} == {*range(40), 100, 101}
+    # 40 * 200 edits are of one class each. A few may meet a bit of the bitmap.
+    assert made and max(items for items, _ in made) < 400
+    assert max(n for _, n in made) < 100
+
+
 def all_items(rows):
     data, offsets = words.buffers(pa.array([r[1] for r in rows]))
     return np.unique(ngram_join.shingle_sets(data, offsets, 4)[0])

@@ -63,6 +63,8 @@ LEVEL = 4
 ROUNDING = 1e-6
 #: Groups up to which the consensus sets are broadcast.
 BROADCAST_HUBS = 500
+#: Bits of a block of Spark's bitmaps, bits for each edit that classes share, and the most of all (4 MB).
+BLOCK_BITS, EDIT_BITS, MOST_BITS = 1 << 15, 16, 1 << 25
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -486,10 +488,11 @@ def _large(rows: DataFrame) -> DataFrame:
 def _edits(large: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``hub, key, part, items, f``: how each class differs from the consensus of its group.
 
-    The consensus holds what more than half of the group has. ``items`` are the elements that a class has
+    The consensus holds what more than half of the group has. A class's edits are the elements that it has
     beyond it, and the complements of those that it lacks. Two classes differ in as many elements as they
     have edits, less twice the edits that they share; so with ``f`` = edits - size * (1 - t) / (1 + t)
-    they link if and only if they share ``(f + f') / 2`` edits or more.
+    they link if and only if they share ``(f + f') / 2`` edits or more. ``items`` are the edits without those
+    that no other class of the group has; a few of these stay, as shared ones are known by a bitmap.
     """
     members_ = large.join(sets, "key")
 
@@ -503,19 +506,23 @@ def _edits(large: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     counts = map_batches(members_.select("hub", "items"), elements, "hub long, item long, n long").groupBy("hub", "item").agg(F.sum("n").alias("n"))
     sizes = large.groupBy("hub").agg(F.count("*").alias("many"))
-    usual = counts.join(sizes, "hub").where(2 * F.col("n") > F.col("many")).groupBy("hub").agg(F.collect_list("item").alias("usual"))
-    usual = stage(usual, "consensus")
+    counts = stage(counts.where("n > 1").join(sizes, "hub"), "counts")
+    most = 2 * F.col("n") > F.col("many")
+    usual = stage(counts.where(most).groupBy("hub").agg(F.collect_list("item").alias("usual")), "consensus")
+    edit = F.when(most, F.bitwise_not("item")).otherwise(F.col("item"))
+    shared = _bitmap(counts.where(~most | (F.col("many") - F.col("n") > 1)).select("hub", edit.alias("item")))
     side = F.broadcast(usual) if small(usual, BROADCAST_HUBS) else usual
     rows = members_.join(side, "hub", "left").select("hub", "key", "part", "items", "usual")
 
     def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out, f = [], []
-            for own, common in zip(batch.column(3), batch.column(4)):
+            for hub, own, common in zip(batch.column(0).to_numpy(), batch.column(3), batch.column(4)):
                 x = np.frombuffer(own.as_buffer(), np.int64)
                 y = common.values.to_numpy() if common.is_valid else np.zeros(0, np.int64)
                 edit = np.concatenate([np.setdiff1d(x, y), ~np.setdiff1d(y, x)])
-                out.append(edit)
+                at = (edit ^ hub) & (8 * len(shared) - 1)
+                out.append(edit[(shared[at >> 3] >> (at & 7)) & 1 == 1])
                 f.append(len(edit) - (100 - percent) * len(x) / (100 + percent))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:3], pa.array(out, pa.list_(pa.int64())), pa.array(f, pa.float64())], names=["hub", "key", "part", "items", "f"]
@@ -524,6 +531,20 @@ def _edits(large: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_batches(rows, differ, "hub long, key long, part long, items array<long>, f double")
 
 
+def _bitmap(shared: DataFrame) -> np.ndarray:
+    """Bytes of a bitmap that has the bit of every row of ``shared(hub, item)``; its size is bounded, and other edits may meet a bit."""
+    many, bits = shared.count(), BLOCK_BITS
+    while bits < min(EDIT_BITS * many, MOST_BITS):
+        bits *= 2
+    place = shared.select(F.col("item").bitwiseXOR(F.col("hub")).bitwiseAND(F.lit(bits - 1)).alias("at"))
+    block = F.shiftright("at", BLOCK_BITS.bit_length() - 1).alias("block")
+    blocks = place.groupBy(block).agg(F.bitmap_construct_agg(F.col("at").bitwiseAND(F.lit(BLOCK_BITS - 1)).cast("long")).alias("bits"))
+    out = np.zeros((bits // BLOCK_BITS, BLOCK_BITS // 8), np.uint8)
+    for row in blocks.collect():
+        out[row.block] = np.frombuffer(row.bits, np.uint8)
+    return out.ravel()
+
+
 def _middles(edits: DataFrame) -> DataFrame:
     """Pairs of each group's class of least ``f`` with the others.
 
@@ -537,11 +558,14 @@ def _middles(edits: DataFrame) -> DataFrame:
 def _spread(edits: DataFrame) -> DataFrame:
     """``hub, item, key, part, f, reach``: the edits of each class that others share and that a partner may have to be found by.
 
-    Linked classes share at least ``(f + f') / 2`` edits. If a class has ``r`` edits from here on, rarest first, then
+    A class that has fewer edits than it would have to share with the class of least ``f`` links with none. Linked classes share at least ``(f + f') / 2`` edits. If a class has ``r`` edits from here on, rarest first, then
     the rarest one that it shares with a partner is here only if ``f' <= 2 r - f``, which is the edit's ``reach``. One order holds for all
     classes of a group, so the rarest shared edit is the same for both.
     """
-    rows = edits.select("hub", "key", "part", "f", F.explode("items").alias("item"))
+    least = edits.groupBy("hub").agg(F.min("f").alias("_least"))
+    side = F.broadcast(least) if small(least, BROADCAST_CLASSES) else least
+    rows = edits.join(side, "hub").where(2 * F.size("items") >= F.col("f") + F.col("_least") - ROUNDING)
+    rows = rows.select("hub", "key", "part", "f", F.explode("items").alias("item"))
     counts = rows.groupBy("hub", "item").agg(F.count("*").alias("_n"))
     rows = rows.join(counts, ["hub", "item"])
     left = F.row_number().over(Window.partitionBy("hub", "key").orderBy(F.desc("_n"), F.desc("item")))
